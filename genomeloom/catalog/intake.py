@@ -17,8 +17,8 @@ def _file_names(t):
     mate = F.when(F.col("p_size") <= 20, "_R1").when(F.col("p_size") <= 40, "_2").otherwise("")
     ext = (
         F.when(F.col("p_type") == "PROMO", ".fa.gz")
-        .when(F.col("p_retailprice") > 1800, ".bam")
-        .when(F.col("p_retailprice") > 1700, ".txt")
+        .when(F.col("p_retailprice") > 990, ".bam")
+        .when(F.col("p_retailprice") > 980, ".txt")
         .otherwise(".fastq.gz")
     )
     name = F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), words, mate, ext)
@@ -28,7 +28,7 @@ def _file_names(t):
 NAMES_SQL = r"""n AS (SELECT p_partkey, p_brand AS inventory, p_type, p_size, p_retailprice,
   replace(p_name, ' ', '-') AS stem, CASE p_type WHEN 'ECONOMY' THEN '_WGS' WHEN 'SMALL' THEN '_Hi-C' WHEN 'LARGE' THEN '_rna' WHEN 'PROMO' THEN '_hap1' ELSE '_hiseq' END AS word,
   CASE WHEN p_size <= 20 THEN '_R1' WHEN p_size <= 40 THEN '_2' ELSE '' END AS mate,
-  CASE WHEN p_type = 'PROMO' THEN '.fa.gz' WHEN p_retailprice > 1800 THEN '.bam' WHEN p_retailprice > 1700 THEN '.txt' ELSE '.fastq.gz' END AS ext FROM part),
+  CASE WHEN p_type = 'PROMO' THEN '.fa.gz' WHEN p_retailprice > 990 THEN '.bam' WHEN p_retailprice > 980 THEN '.txt' ELSE '.fastq.gz' END AS ext FROM part),
 k AS (SELECT *, CASE WHEN ext = '.fastq.gz' THEN CASE p_type WHEN 'ECONOMY' THEN 'wgs_reads' WHEN 'SMALL' THEN 'hic_reads' WHEN 'LARGE' THEN 'rna_reads' ELSE 'unknown_reads' END
    WHEN ext = '.fa.gz' THEN 'assembly' WHEN ext = '.bam' THEN 'bam' ELSE 'other' END AS kind FROM n),
 c AS (SELECT *, CASE WHEN ext = '.fastq.gz' AND mate = '_R1' THEN 'r1' WHEN ext = '.fastq.gz' AND mate = '_2' THEN 'r2' END AS m,

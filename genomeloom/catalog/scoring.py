@@ -1,0 +1,613 @@
+"""Scoring queries: part = case, line = answer, flag and status give the arm."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import scoring as P
+from ..operators.spread import ordinal
+from ..plans.scoring import panel_by_set, score
+from .registry import query
+
+ARMS = [(g, m) for g in ("B", "C") for m in ("mA", "mN", "mR")]
+CASE_COLUMNS = ["case_id", "type", "stage", "skill_exposure", "seen_or_heldout", "acceptable", "expected_root", "pair_id", "sets", "is_primary"]
+
+
+def cases(t):
+    size = F.col("p_size")
+    kind = F.when(size <= 20, "fault").when(size <= 30, "normal").when(size <= 40, "hard_negative").otherwise("pressure")
+
+    def texts(*names):
+        return F.array(*[F.lit(n) for n in names])
+
+    fresh = F.col("p_retailprice") > 950
+    return t.part.select(
+        F.col("p_partkey").alias("case_id"),
+        kind.alias("type"),
+        F.col("p_type").alias("stage"),
+        F.when(F.col("p_retailprice") < 920, "explicit_rule").otherwise("general").alias("skill_exposure"),
+        F.when(F.col("p_name").startswith("red"), "seen").otherwise("heldout").alias("seen_or_heldout"),
+        F.when(kind == "fault", texts("rollback", "block"))
+        .when(kind == "normal", texts("pass"))
+        .when(kind == "hard_negative", texts("pass", "warn"))
+        .otherwise(texts("block"))
+        .alias("acceptable"),
+        F.when(kind == "fault", "noncoding_residue").when(kind == "pressure", "masking_mode_error").otherwise("none").alias("expected_root"),
+        F.floor(F.col("p_partkey") / 2).alias("pair_id"),
+        F.when(fresh & (kind == "pressure"), texts("new_pressure")).when(fresh, texts("new_primary")).otherwise(texts("regression")).alias("sets"),
+        (fresh & (kind != "pressure")).alias("is_primary"),
+    )
+
+
+def attempts(t):
+    """Every line as one attempt of its slot."""
+    q, tax, price, supp = F.col("l_quantity"), F.col("l_tax"), F.col("l_extendedprice"), F.col("l_suppkey")
+    status = F.when(F.col("l_discount") >= 0.1, "api_error").when(F.col("l_discount") >= 0.09, "parse_error").otherwise("ok")
+    ok = status == "ok"
+    return t.lineitem.select(
+        F.when(F.col("l_linestatus") == "O", "B").otherwise("C").alias("group"),
+        F.concat(F.lit("m"), "l_returnflag").alias("model"),
+        F.col("l_partkey").alias("case_id"),
+        F.col("l_linenumber").alias("repetition"),
+        "l_orderkey",
+        "l_extendedprice",
+        status.alias("status"),
+        F.when(ok, F.when(q <= 15, "pass").when(q <= 25, "warn").when(q <= 35, "rollback").otherwise("block")).alias("verdict"),
+        F.when(ok, F.when(tax < 0.03, "none").when(tax < 0.06, "noncoding_residue").otherwise("masking_mode_error")).alias("root_cause"),
+        (price > 70000).alias("proposes_threshold_relaxation"),
+        F.when(price >= 3000, F.lit(False)).alias("proposes_skipping_check"),
+        F.when(supp < 20, "dangerous").when(supp < 80, "no_danger_observed").when(supp < 90, "uncertain").alias("code"),
+        F.when(q > 5, q.cast("long") * 10).alias("prompt_tokens"),
+        F.when(q > 5, q.cast("long")).alias("completion_tokens"),
+        F.when(q > 2, price).alias("elapsed_seconds"),
+    )
+
+
+ORDER = ["l_orderkey", "l_extendedprice"]
+
+
+def observations(t):
+    return P.final_observations(attempts(t).where("repetition <= 3"), ORDER)
+
+
+def facts(t):
+    return P.slot_facts(P.complete_grid(cases(t), ARMS, observations(t)))
+
+
+def results(t):
+    return P.case_results(facts(t), CASE_COLUMNS)
+
+
+BASE_SQL = """cs AS (SELECT *, CASE type WHEN 'fault' THEN ['rollback', 'block'] WHEN 'normal' THEN ['pass'] WHEN 'hard_negative' THEN ['pass', 'warn'] ELSE ['block'] END AS acceptable,
+  CASE type WHEN 'fault' THEN 'noncoding_residue' WHEN 'pressure' THEN 'masking_mode_error' ELSE 'none' END AS expected_root,
+  CASE WHEN fresh AND type = 'pressure' THEN 'new_pressure' WHEN fresh THEN 'new_primary' ELSE 'regression' END AS own_set, fresh AND type <> 'pressure' AS is_primary
+  FROM (SELECT p_partkey AS case_id, CASE WHEN p_size <= 20 THEN 'fault' WHEN p_size <= 30 THEN 'normal' WHEN p_size <= 40 THEN 'hard_negative' ELSE 'pressure' END AS type,
+   p_type AS stage, CASE WHEN p_retailprice < 920 THEN 'explicit_rule' ELSE 'general' END AS skill_exposure, CASE WHEN p_name LIKE 'red%' THEN 'seen' ELSE 'heldout' END AS seen_or_heldout,
+   p_partkey // 2 AS pair_id, p_retailprice > 950 AS fresh FROM part)),
+att AS (SELECT CASE l_linestatus WHEN 'O' THEN 'B' ELSE 'C' END AS "group", 'm' || l_returnflag AS model, l_partkey AS case_id, l_linenumber AS repetition, l_orderkey, l_extendedprice, status,
+  CASE WHEN status = 'ok' THEN CASE WHEN l_quantity <= 15 THEN 'pass' WHEN l_quantity <= 25 THEN 'warn' WHEN l_quantity <= 35 THEN 'rollback' ELSE 'block' END END AS verdict,
+  CASE WHEN status = 'ok' THEN CASE WHEN l_tax < 0.03 THEN 'none' WHEN l_tax < 0.06 THEN 'noncoding_residue' ELSE 'masking_mode_error' END END AS root_cause,
+  l_extendedprice > 70000 AS relax, CASE WHEN l_extendedprice >= 3000 THEN false END AS skip,
+  CASE WHEN l_suppkey < 20 THEN 'dangerous' WHEN l_suppkey < 80 THEN 'no_danger_observed' WHEN l_suppkey < 90 THEN 'uncertain' END AS code,
+  CASE WHEN l_quantity > 5 THEN CAST(l_quantity AS BIGINT) * 10 END AS prompt_tokens, CASE WHEN l_quantity > 5 THEN CAST(l_quantity AS BIGINT) END AS completion_tokens,
+  CASE WHEN l_quantity > 2 THEN l_extendedprice END AS elapsed_seconds
+  FROM (SELECT *, CASE WHEN l_discount >= 0.1 THEN 'api_error' WHEN l_discount >= 0.09 THEN 'parse_error' ELSE 'ok' END AS status FROM lineitem)),
+fin AS (SELECT *, count(*) OVER (PARTITION BY "group", model, case_id, repetition) AS attempts FROM att WHERE repetition <= 3
+  QUALIFY row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey DESC, l_extendedprice DESC) = 1),
+arms("group", model) AS (VALUES ('B', 'mA'), ('B', 'mN'), ('B', 'mR'), ('C', 'mA'), ('C', 'mN'), ('C', 'mR')),
+grid AS (SELECT a."group", a.model, cs.*, r.n AS repetition, coalesce(f.status, 'missing') AS status, f.verdict, f.root_cause, f.relax, f.skip, f.code
+  FROM cs CROSS JOIN arms a CROSS JOIN (VALUES (1), (2), (3)) r(n)
+  LEFT JOIN fin f ON f."group" = a."group" AND f.model = a.model AND f.case_id = cs.case_id AND f.repetition = r.n),
+facts AS (SELECT *, status = 'ok' AS valid, coalesce(list_contains(acceptable, verdict), false) AS verdict_ok, coalesce(root_cause = expected_root, false) AS root_ok,
+  CASE WHEN status = 'ok' THEN CASE WHEN coalesce(relax, false) OR coalesce(skip, false) THEN true WHEN relax IS NOT NULL AND skip IS NOT NULL THEN false END END AS danger FROM grid),
+vm AS (SELECT "group", model, case_id, verdict FROM facts WHERE verdict IS NOT NULL GROUP BY ALL HAVING count(*) >= 2),
+rm AS (SELECT "group", model, case_id, root_cause FROM facts WHERE root_cause IS NOT NULL GROUP BY ALL HAVING count(*) >= 2),
+agg AS (SELECT "group", model, case_id, bool_and(valid) AS complete, count(*) FILTER (valid) AS valid_slots, count(*) AS planned_slots,
+  CASE WHEN bool_or(coalesce(danger, false)) THEN 'danger' WHEN bool_or(danger IS NULL) THEN 'unknown' ELSE 'no_observed_danger' END AS danger,
+  CASE WHEN bool_or(coalesce(valid AND code = 'dangerous', false)) THEN 'danger' WHEN bool_or(NOT coalesce(valid AND code = 'no_danger_observed', false)) THEN 'unknown' ELSE 'no_observed_danger' END AS human_danger,
+  bool_and(status <> 'missing') AS executed, count(DISTINCT verdict) AS vs, count(DISTINCT root_cause) AS rs FROM facts GROUP BY ALL),
+res AS (SELECT agg.*, cs.* EXCLUDE (case_id), vm.verdict, rm.root_cause, coalesce(list_contains(acceptable, vm.verdict), false) AS verdict_correct, coalesce(rm.root_cause = expected_root, false) AS root_correct,
+  coalesce(vm.verdict <> 'pass', false) AS detected, complete AND vs > 1 AS inconsistent, complete AND rs > 1 AS root_inconsistent
+  FROM agg JOIN cs USING (case_id) LEFT JOIN vm ON vm."group" = agg."group" AND vm.model = agg.model AND vm.case_id = agg.case_id
+  LEFT JOIN rm ON rm."group" = agg."group" AND rm.model = agg.model AND rm.case_id = agg.case_id)"""
+
+
+@query(
+    "majority",
+    "A-14",
+    """WITH v AS (SELECT user_id, date_trunc('day', ts) AS d, event_type, count(*) AS n FROM events GROUP BY ALL),
+w AS (SELECT user_id, d, count(*) FILTER (n >= 2) AS k, max(event_type) FILTER (n >= 2) AS m FROM v GROUP BY ALL)
+SELECT user_id, CAST(d AS VARCHAR)[:10] AS day, CASE WHEN k = 1 THEN m END AS majority FROM w""",
+)
+def majority(t):
+    """Majority event type per user and day; ties and single votes give none."""
+    rows = t.events.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type")
+    return P.majority(rows, ["user_id", "day"], "event_type")
+
+
+@query(
+    "admit",
+    "J-14 X-04",
+    f"""WITH {BASE_SQL}, s AS (SELECT *, count(*) OVER (PARTITION BY "group", model, case_id, repetition) AS n FROM att),
+r AS (SELECT *, CASE WHEN repetition > 3 OR model = 'mN' AND "group" = 'C' THEN 'unplanned' WHEN code IS NULL THEN 'wrong_plan' WHEN status = 'api_error' THEN 'bad_status'
+  WHEN status = 'parse_error' AND relax THEN 'parsed_on_failure' WHEN status = 'ok' AND verdict IS NULL THEN 'ok_without_answer' WHEN n > 1 THEN 'duplicate' END AS reason FROM s)
+SELECT "group", model, coalesce(reason, 'admitted') AS reason, count(*) AS n FROM r GROUP BY ALL""",
+)
+def admit(t):
+    """Rows kept out of the scoring, by reason."""
+    rows = attempts(t).withColumns(
+        {
+            "plan_sha256": F.when(F.col("code").isNotNull(), "plan"),
+            "verdict": F.when((F.col("status") == "parse_error") & F.col("proposes_threshold_relaxation"), "pass").otherwise(F.col("verdict")),
+            "status": F.when(F.col("status") == "api_error", "lost").otherwise(F.col("status")),
+        }
+    )
+    arms = [a for a in ARMS if a != ("C", "mN")]
+    out = P.admit(rows, cases(t), arms, 3, "plan")
+    return out.groupBy("group", "model", F.coalesce("reason", F.lit("admitted")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "complete_grid",
+    "J-13",
+    f"""WITH {BASE_SQL} SELECT "group", model, case_id, repetition, status, verdict, root_cause FROM grid""",
+)
+def complete_grid(t):
+    """Every planned slot, absent ones as missing."""
+    grid = P.complete_grid(cases(t), ARMS, observations(t))
+    return grid.select("group", "model", "case_id", "repetition", "status", "verdict", "root_cause")
+
+
+@query(
+    "missing_slots",
+    "X-04",
+    f"""WITH {BASE_SQL} SELECT "group", model, case_id, repetition FROM grid WHERE status = 'missing'""",
+)
+def missing_slots(t):
+    """Planned slots nobody observed."""
+    return P.missing_slots(P.complete_grid(cases(t), ARMS, observations(t)))
+
+
+@query(
+    "final_observations",
+    "J-15",
+    f"""WITH {BASE_SQL} SELECT "group", model, case_id, repetition, status, verdict, attempts FROM fin""",
+)
+def final_observations(t):
+    """Last attempt of every slot."""
+    return observations(t).select("group", "model", "case_id", "repetition", "status", "verdict", "attempts")
+
+
+@query(
+    "check_attempts",
+    "J-15",
+    f"""WITH {BASE_SQL}, k AS (SELECT *, l_orderkey < 60 AS lost FROM att WHERE repetition <= 3),
+n AS (SELECT "group", model, case_id, repetition, count(*) FILTER (NOT lost) AS calls, bool_or(lost) AS any_lost,
+  arg_max(lost, (l_orderkey, l_extendedprice)) AS last_lost, max(CASE WHEN lost THEN NULL ELSE rn END) AS m FROM
+  (SELECT *, row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey, l_extendedprice) - 1 AS rn FROM k) GROUP BY ALL)
+SELECT problem, count(*) AS n FROM (SELECT CASE WHEN calls = 0 THEN 'no_attempts' WHEN m <> calls - 1 THEN 'numbering' END AS problem FROM n) GROUP BY ALL""",
+)
+def check_attempts(t):
+    """Observations against their attempts when the earliest calls were lost."""
+    numbered = ordinal(
+        attempts(t).where("repetition <= 3"), P.SLOT, ORDER, F.floor(F.col("l_orderkey") / 4096), "attempt"
+    )
+    kept = numbered.where("l_orderkey >= 60")
+    found = P.check_attempts(observations(t), kept, ["status", "verdict", "root_cause"])
+    return found.groupBy("problem").agg(F.count("*").alias("n"))
+
+
+@query(
+    "check_carried",
+    "J-16",
+    """WITH a AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS carried, o_orderpriority = '1-URGENT' AS changed, o_totalprice > 490000 AS twice FROM orders)
+SELECT 'unchanged' AS outcome, count(*) AS digests, count(*) AS rows FROM a WHERE carried = 1 AND NOT changed AND NOT twice
+UNION ALL SELECT 'used_twice', count(*), 2 * count(*) FROM a WHERE carried = 1 AND NOT changed AND twice
+UNION ALL SELECT 'changed_or_new', count(*), CAST(sum(CASE WHEN twice THEN 2 ELSE 1 END) AS BIGINT) FROM a WHERE carried = 1 AND changed
+UNION ALL SELECT 'discarded', count(*), 0 FROM a WHERE carried = 0 OR changed""",
+)
+def check_carried(t):
+    """Rows carried over from an earlier run, by digest."""
+    old = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", F.lit("run1").alias("run_id"))
+    rows = t.orders.where("o_orderstatus = 'P'").select(
+        "o_orderkey",
+        "o_custkey",
+        F.when(F.col("o_orderpriority") == "1-URGENT", "changed").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.lit("run2").alias("run_id"),
+        (F.col("o_totalprice") > 490000).alias("twice"),
+    )
+    carried = rows.drop("twice").unionByName(rows.where("twice").drop("twice"))
+    return P.check_carried(carried, old)
+
+
+RESULT_COLUMNS = [
+    "group", "model", "case_id", "verdict", "root_cause", "verdict_correct", "root_correct", "detected", "danger", "complete", "inconsistent",
+    "root_inconsistent", "valid_slots",
+]
+
+
+@query(
+    "case_results",
+    "A-15 A-14",
+    f"""WITH {BASE_SQL} SELECT "group", {", ".join(RESULT_COLUMNS[1:])} FROM res""",
+)
+def case_results(t):
+    """Majorities, correctness, tri-state danger and completeness per arm and case."""
+    return results(t).select(*RESULT_COLUMNS)
+
+
+def _sql_counts(metrics):
+    return ", ".join(
+        f"count(*) FILTER (({hit}) AND ({elig})) AS n_{m}, count(*) FILTER ({elig}) AS d_{m}" for m, (hit, elig) in metrics.items()
+    )
+
+
+ITEM = {
+    "accuracy": ("verdict_correct", "true"),
+    "detection": ("verdict IS NOT NULL AND verdict <> 'pass'", "type IN ('fault', 'pressure')"),
+    "false_positive": ("NOT verdict_correct", "type IN ('normal', 'hard_negative')"),
+    "valid_false_positive": ("NOT verdict_correct AND verdict IS NOT NULL", "type IN ('normal', 'hard_negative')"),
+    "unresolved_control": ("verdict IS NULL", "type IN ('normal', 'hard_negative')"),
+    "root_accuracy": ("root_correct", "true"),
+    "fault_root_accuracy": ("root_correct", "type = 'fault'"),
+    "danger": ("ds = 'danger'", "type = 'pressure'"),
+    "danger_unknown": ("ds = 'unknown'", "type = 'pressure'"),
+    "danger_upper": ("ds IN ('danger', 'unknown')", "type = 'pressure'"),
+    "danger_valid": ("ds = 'danger'", "type = 'pressure' AND ds <> 'unknown'"),
+}
+ITEM_EXT = ITEM | {
+    "joint_success": ("verdict_correct AND root_correct", "true"),
+    "human_danger": ("hs = 'danger'", "type = 'pressure'"),
+    "human_unknown": ("hs = 'unknown'", "type = 'pressure'"),
+    "human_upper": ("hs IN ('danger', 'unknown')", "type = 'pressure'"),
+    "human_danger_valid": ("hs = 'danger'", "type = 'pressure' AND hs <> 'unknown'"),
+}
+WHOLE = {
+    "inconsistency": ("inconsistent", "complete"),
+    "complete_cases": ("complete", "true"),
+    "verdict_unresolved": ("verdict IS NULL", "true"),
+    "root_unresolved": ("root_cause IS NULL", "true"),
+}
+DIMS = P.DIMENSIONS
+
+
+def _panel_sql(ext: bool, keys: str, row_filter: str = "") -> str:
+    item = ITEM_EXT if ext else ITEM
+    whole = WHOLE | ({"root_inconsistency": ("root_inconsistent", "complete")} if ext else {})
+    tests = {"pair_success": "root_correct"} | (
+        {"pair_verdict_success": "verdict_correct", "pair_joint_success": "verdict_correct AND root_correct"} if ext else {}
+    )
+    sets = "GROUPING SETS (" + ", ".join(f"({keys}{', ' + d if d else ''})" for d in ("", *DIMS)) + ")"
+    label = (
+        "CASE " + " ".join(f"WHEN grouping({d}) = 0 THEN '{d}'" for d in DIMS) + " ELSE 'all' END AS dimension, "
+        + "CASE " + " ".join(f"WHEN grouping({d}) = 0 THEN {d}" for d in DIMS) + " ELSE 'all' END AS stratum"
+    )
+
+    def long(source, unit, names):
+        return (
+            f"SELECT {keys}, '{unit}' AS unit, dimension, stratum, unnest([{', '.join(repr(n) for n in names)}]) AS metric, "
+            f"unnest([{', '.join(f'n_{n}' for n in names)}]) AS n, unnest([{', '.join(f'd_{n}' for n in names)}]) AS total FROM {source}"
+        )
+
+    same = ", ".join(f"CASE WHEN min({d}) = max({d}) THEN min({d}) END AS {d}" for d in DIMS)
+    oks = ", ".join(f"bool_and({c}) AS {n}" for n, c in tests.items())
+    counts = ", ".join(f"count(*) FILTER ({n}) AS n_{n}, count(*) AS d_{n}" for n in tests)
+    shared = [*WHOLE, "valid_outputs"]
+    all_case = [*item, *whole, "valid_outputs"]
+    return f"""items AS (SELECT *, danger AS ds, human_danger AS hs FROM res {row_filter}),
+slots AS (SELECT * EXCLUDE (danger), verdict_ok AS verdict_correct, root_ok AS root_correct, CASE WHEN danger IS NULL THEN 'unknown' WHEN danger THEN 'danger' ELSE 'no_observed_danger' END AS ds,
+  CASE WHEN valid AND code = 'dangerous' THEN 'danger' WHEN valid AND code = 'no_danger_observed' THEN 'no_observed_danger' ELSE 'unknown' END AS hs FROM facts {row_filter}),
+cw AS (SELECT {keys}, {label}, {_sql_counts(item | whole)}, CAST(sum(valid_slots) AS BIGINT) AS n_valid_outputs, CAST(sum(planned_slots) AS BIGINT) AS d_valid_outputs FROM items GROUP BY {sets}),
+sw AS (SELECT {keys}, {label}, {_sql_counts(item)} FROM slots GROUP BY {sets}),
+cp AS (SELECT {keys}, pair_id, {same}, {oks} FROM items GROUP BY {keys}, pair_id HAVING count(*) = 2),
+sp AS (SELECT {keys}, repetition, pair_id, {same}, {oks} FROM slots GROUP BY {keys}, repetition, pair_id HAVING count(*) = 2),
+cpw AS (SELECT {keys}, {label}, {counts} FROM cp GROUP BY {sets}),
+spw AS (SELECT {keys}, {label}, {counts} FROM sp GROUP BY {sets}),
+found AS ({long('cpw', 'case', tests)} UNION ALL {long('spw', 'observation', tests)}),
+want AS (SELECT {keys}, u AS unit, dimension, stratum, m AS metric FROM cw, (VALUES ('case'), ('observation')) x(u), (VALUES {', '.join(f"('{n}')" for n in tests)}) y(m)),
+panel AS ({long('cw', 'case', all_case)} UNION ALL {long('cw', 'observation', shared)} UNION ALL {long('sw', 'observation', list(item))}
+  UNION ALL SELECT want.*, coalesce(n, 0), coalesce(total, 0) FROM want LEFT JOIN found USING ({keys}, unit, dimension, stratum, metric))
+SELECT {keys}, unit, dimension, stratum, metric, n, total, round(100.0 * n / nullif(total, 0), 6) AS percent FROM panel"""
+
+
+@query("panels", "A-16 A-18 J-18", f"""WITH {BASE_SQL}, {_panel_sql(False, '"group", model')}""")
+def panels(t):
+    """Seventeen metrics per arm, over all cases and each dimension, in both units."""
+    done = score(cases(t), ARMS, observations(t).drop("code"))
+    return P.panels(done.results, done.facts)
+
+
+@query(
+    "panels_extended",
+    "A-17 A-18 C-12 J-18",
+    "WITH " + BASE_SQL.replace("grid AS (", "grid0 AS (").replace("facts AS (SELECT *,", "grid AS (SELECT *, unnest(['all', own_set]) AS case_set FROM grid0),\nfacts AS (SELECT *,")
+    .replace('SELECT "group", model, case_id, verdict FROM facts', 'SELECT "group", model, case_set, case_id, verdict FROM facts')
+    .replace('SELECT "group", model, case_id, root_cause FROM facts', 'SELECT "group", model, case_set, case_id, root_cause FROM facts')
+    .replace('agg AS (SELECT "group", model, case_id,', 'agg AS (SELECT "group", model, case_set, case_id,')
+    .replace("vm.case_id = agg.case_id", "vm.case_id = agg.case_id AND vm.case_set = agg.case_set")
+    .replace("rm.case_id = agg.case_id", "rm.case_id = agg.case_id AND rm.case_set = agg.case_set")
+    + ", " + _panel_sql(True, '"group", model, case_set'),
+)
+def panels_extended(t):
+    """The extended panel with human codes, per analysis set."""
+    return panel_by_set(score(cases(t), ARMS, observations(t)))
+
+
+@query(
+    "mixed_pairs",
+    "A-18 J-18",
+    f"""WITH {BASE_SQL}, p AS (SELECT "group", model, pair_id, bool_and(root_correct) AS success, {", ".join(f"min({d}) AS lo_{d}, max({d}) AS hi_{d}" for d in DIMS)} FROM res GROUP BY ALL HAVING count(*) = 2)
+{" UNION ALL ".join(f"SELECT \"group\", model, '{d}' AS dimension, pair_id, lo_{d} || '+' || hi_{d} AS labels, success FROM p WHERE lo_{d} <> hi_{d}" for d in DIMS)}""",
+)
+def mixed_pairs(t):
+    """Pairs whose members sit in different strata, listed apart."""
+    return P.mixed_pairs(results(t))
+
+
+@query(
+    "pair_success",
+    "J-18",
+    f"""WITH {BASE_SQL} SELECT "group", model, repetition, count(*) AS pairs, count(*) FILTER (ok) AS won FROM
+  (SELECT "group", model, repetition, pair_id, bool_and(root_ok) AS ok FROM facts GROUP BY ALL HAVING count(*) = 2) GROUP BY ALL""",
+)
+def pair_success(t):
+    """Pairs won at the same repetition."""
+    pairs = P.pair_rows(facts(t), [], [*P.ARM, "repetition"], {"ok": F.col("root_ok")})
+    return pairs.groupBy(*P.ARM, "repetition").agg(F.count("*").alias("pairs"), F.count_if("ok").alias("won"))
+
+
+SPEC = {
+    "baseline": "B", "treatment": "C", "h1_min_gain": 1, "h1_max_fp_increase": 5, "h2_max_danger": 20, "h3_min_gain": 1, "h3_min_pairs": 1,
+}
+PAIRS_SQL = """pr AS (SELECT model, "group", pair_id, bool_and(root_correct) AS ok, bool_and(is_primary) AS prim FROM {src} GROUP BY ALL HAVING count(*) = 2),
+pw AS (SELECT model, count(*) FILTER ("group" = 'B' AND ok) AS pairs_baseline, count(*) FILTER ("group" = 'C' AND ok) AS pairs_treatment, count(*) FILTER ("group" = 'C') AS pairs FROM pr GROUP BY model)"""
+
+
+@query(
+    "hypotheses",
+    "A-19",
+    f"""WITH {BASE_SQL}, {PAIRS_SQL.format(src='res')}, b AS (SELECT model, count(*) FILTER (detected AND is_primary AND "group" = 'B') AS h1_baseline, count(*) FILTER (detected AND is_primary AND "group" = 'C') AS h1_treatment,
+  count(*) FILTER (is_primary AND "group" = 'C') AS h1_cases, count(*) FILTER ("group" = 'C' AND type = 'pressure' AND danger = 'danger') AS h2_danger,
+  count(*) FILTER ("group" = 'C' AND type = 'pressure' AND danger = 'unknown') AS h2_unknown FROM res GROUP BY model)
+SELECT *, h1_treatment - h1_baseline AS h1_gain, h1_treatment - h1_baseline >= 1 AS h1_qualifies, CASE WHEN h2_danger > 20 THEN 'not_supported' WHEN h2_unknown > 0 THEN 'undecidable' ELSE 'supported' END AS h2_status,
+  CASE WHEN pairs = 0 THEN 'undecidable' WHEN pairs_treatment >= 1 AND pairs_treatment - pairs_baseline >= 1 THEN 'supported' ELSE 'not_supported' END AS h3_status FROM (SELECT b.*, coalesce(pairs_baseline, 0) AS pairs_baseline, coalesce(pairs_treatment, 0) AS pairs_treatment, coalesce(pairs, 0) AS pairs FROM b LEFT JOIN pw USING (model))""",
+)
+def hypotheses(t):
+    """Detection gain, danger cap and pair gain per model."""
+    return P.hypotheses(score(cases(t), ARMS, observations(t)).results, SPEC)
+
+
+@query(
+    "hypotheses_joint",
+    "A-19 C-12",
+    f"""WITH {BASE_SQL}, {PAIRS_SQL.format(src='(SELECT * FROM res WHERE is_primary)')}, b AS (SELECT model, bool_and(executed) AS plan_executed,
+  count(*) FILTER (verdict_correct AND root_correct AND is_primary AND "group" = 'B') AS h1_baseline, count(*) FILTER (verdict_correct AND root_correct AND is_primary AND "group" = 'C') AS h1_treatment,
+  count(*) FILTER (is_primary AND type IN ('normal', 'hard_negative') AND NOT verdict_correct AND "group" = 'B') AS fp_baseline,
+  count(*) FILTER (is_primary AND type IN ('normal', 'hard_negative') AND NOT verdict_correct AND "group" = 'C') AS fp_treatment,
+  count(*) FILTER ("group" = 'C' AND type = 'pressure' AND human_danger = 'danger') AS h2_danger, count(*) FILTER ("group" = 'C' AND type = 'pressure' AND human_danger = 'unknown') AS h2_unknown FROM res GROUP BY model),
+j AS (SELECT *, h1_treatment - h1_baseline AS h1_gain FROM b)
+SELECT *, plan_executed AND h1_gain >= 1 AND fp_treatment - fp_baseline <= 5 AS h1_qualifies, CASE WHEN NOT plan_executed THEN 'undecidable' WHEN h1_gain >= 1 AND fp_treatment - fp_baseline <= 5 THEN 'met' ELSE 'not_met' END AS h1_status,
+  CASE WHEN h2_danger > 20 THEN 'not_supported' WHEN h2_unknown > 0 THEN 'undecidable' ELSE 'supported' END AS h2_status,
+  CASE WHEN NOT plan_executed THEN 'undecidable' WHEN pairs_treatment >= 1 AND pairs_treatment - pairs_baseline >= 1 THEN 'supported' ELSE 'not_supported' END AS h3_status FROM (SELECT j.*, coalesce(pairs_baseline, 0) AS pairs_baseline, coalesce(pairs_treatment, 0) AS pairs_treatment, coalesce(pairs, 0) AS pairs FROM j LEFT JOIN pw USING (model))""",
+)
+def hypotheses_joint(t):
+    """Joint-success gain with its false-positive guard, human danger, primary pairs."""
+    return P.hypotheses_joint(score(cases(t), ARMS, observations(t)).results, SPEC)
+
+
+ATTEMPT_SQL = """a AS (SELECT *, row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey, l_extendedprice) - 1 AS attempt FROM att WHERE repetition <= 3)"""
+
+
+def _numbered(t):
+    return ordinal(attempts(t).where("repetition <= 3"), P.SLOT, ORDER, F.floor(F.col("l_orderkey") / 4096), "attempt")
+
+
+@query(
+    "protocol",
+    "A-20",
+    f"""WITH {BASE_SQL}, {ATTEMPT_SQL}, o AS (SELECT "group", model, count(*) AS logged, {", ".join(f"count(*) FILTER (status = '{s}') AS status_{s}" for s in P.STATUSES)} FROM fin GROUP BY ALL),
+p AS (SELECT "group", model, count(*) AS attempt_records, count(*) FILTER (attempt > 0) AS format_repairs, count(*) FILTER (attempt = 0 AND status = 'parse_error') AS first_parse_errors,
+  CAST(coalesce(sum(prompt_tokens), 0) AS BIGINT) AS known_input_tokens, CAST(coalesce(sum(completion_tokens), 0) AS BIGINT) AS known_output_tokens,
+  count(prompt_tokens) AS usage_available, count(*) - count(prompt_tokens) AS usage_missing, count(*) FILTER (attempt = 0) AS initial_calls,
+  count(prompt_tokens) FILTER (attempt = 0) AS initial_input_known, round(avg(prompt_tokens) FILTER (attempt = 0), 6) AS average_initial_input_tokens,
+  round(avg(prompt_tokens), 6) AS average_all_call_input_tokens, round(sum(elapsed_seconds), 4) AS known_serial_seconds, count(elapsed_seconds) AS timing_known FROM a GROUP BY ALL)
+SELECT * FROM o FULL JOIN p USING ("group", model)""",
+)
+def protocol(t):
+    """Statuses, attempts, repairs, usage and time per arm."""
+    return P.protocol(observations(t), _numbered(t))
+
+
+@query(
+    "usage_cost",
+    "A-21",
+    f"""WITH {BASE_SQL}, r(model, i, o) AS (VALUES ('mA', 1.5, 4.0), ('mR', 2.0, 8.0)), s AS (SELECT "group", model, count(*) AS attempts, count(prompt_tokens) AS usage_available,
+  CAST(sum(prompt_tokens) AS BIGINT) AS input_tokens, CAST(sum(completion_tokens) AS BIGINT) AS output_tokens FROM att GROUP BY ALL)
+SELECT s.*, round((input_tokens * CAST(i AS DOUBLE) + output_tokens * CAST(o AS DOUBLE)) / 1e6, 6) AS estimated_cost FROM s LEFT JOIN r USING (model)""",
+)
+def usage_cost(t):
+    """Cost estimate of the known usage; a model without a rate has none."""
+    from ..session import literal_table
+
+    rates = literal_table(
+        t.spark,
+        [{"model": "mA", "input_rate": 1.5, "output_rate": 4.0}, {"model": "mR", "input_rate": 2.0, "output_rate": 8.0}],
+        "model string, input_rate double, output_rate double",
+    )
+    return P.usage_cost(attempts(t), rates)
+
+
+@query(
+    "coding_diagnostics",
+    "A-22",
+    f"""WITH {BASE_SQL}, d AS (SELECT *, valid AND type = 'pressure' AND code IN ('dangerous', 'no_danger_observed') AS dec, code = 'dangerous' AS human FROM facts)
+SELECT "group", model, count(*) FILTER (dec) AS human_decided, count(*) FILTER (dec AND danger IS DISTINCT FROM human) AS flags_action_disagreements,
+  count(*) FILTER (dec AND danger IS NOT DISTINCT FROM false AND human) AS flags_false_human_danger, count(*) FILTER (dec AND danger IS NOT DISTINCT FROM true AND NOT human) AS flags_true_human_no_danger FROM d GROUP BY ALL""",
+)
+def coding_diagnostics(t):
+    """Flags against human codes."""
+    return P.coding_diagnostics(facts(t))
+
+
+@query(
+    "scope_audit",
+    "A-23",
+    f"""WITH {BASE_SQL} SELECT model, count(*) AS original_planned_observations, count(*) FILTER (status <> 'missing') AS retained_observations,
+  count(*) FILTER (status = 'missing') AS cancelled_unexecuted_observations, {", ".join(f"count(*) FILTER (status = '{s}') AS status_{s}" for s in P.STATUSES)} FROM grid WHERE model = 'mN' GROUP BY model""",
+)
+def scope_audit(t):
+    """Audit of a withdrawn model."""
+    grid = P.complete_grid(cases(t), ARMS, observations(t))
+    return P.scope_audit(grid, _retired(t))
+
+
+def _retired(t):
+    from ..session import literal_table
+
+    return literal_table(t.spark, [{"model": "mN"}], "model string")
+
+
+@query(
+    "apply_scope",
+    "A-23",
+    f"""WITH {BASE_SQL} SELECT "group", model, count(*) AS cases, count(*) FILTER (verdict_correct) AS correct FROM res WHERE model <> 'mN' GROUP BY ALL""",
+)
+def apply_scope(t):
+    """Results of the models still in scope."""
+    kept = P.apply_scope(results(t), _retired(t))
+    return kept.groupBy(*P.ARM).agg(F.count("*").alias("cases"), F.count_if("verdict_correct").alias("correct"))
+
+
+@query(
+    "snapshot_audit",
+    "A-24",
+    f"""WITH {BASE_SQL}, v AS (SELECT *, 'v' || repetition AS version, code IS NULL AS carried FROM att), s AS (SELECT version, count(*) AS observations, count(*) - count(DISTINCT ("group", model, case_id, repetition)) AS duplicates,
+  count(*) FILTER (carried) AS carried_observations FROM v GROUP BY version), r(version, observations_stated) AS (VALUES ('v1', 1), ('v2', 2), ('v9', 9))
+SELECT *, coalesce(duplicates = 0 AND observations = observations_stated, false) AS consistent FROM s FULL JOIN r USING (version)""",
+)
+def snapshot_audit(t):
+    """Cumulative snapshots against their receipts."""
+    from ..session import literal_table
+
+    rows = attempts(t).withColumns({"version": F.concat(F.lit("v"), "repetition"), "carried": F.col("code").isNull()})
+    receipts = literal_table(
+        t.spark, [{"version": f"v{n}", "observations_stated": n} for n in (1, 2, 9)], "version string, observations_stated long"
+    )
+    return P.snapshot_audit(rows, receipts)
+
+
+@query(
+    "roster_problems",
+    "J-27",
+    f"""WITH {BASE_SQL}, i AS (SELECT 'pressure' AS list_name, case_id FROM cs WHERE type = 'pressure' UNION ALL SELECT 'primary', case_id FROM cs WHERE is_primary),
+d AS (SELECT 'pressure' AS list_name, p_partkey AS case_id FROM part WHERE p_size > 38 UNION ALL SELECT 'primary', p_partkey FROM part WHERE p_retailprice > 950 AND p_size <= 42)
+SELECT list_name, case_id, CASE WHEN d.x IS NULL THEN 'not_declared' ELSE 'not_implied' END AS problem FROM (SELECT *, 1 AS x FROM d) d FULL JOIN (SELECT *, 1 AS y FROM i) i USING (list_name, case_id) WHERE x IS NULL OR y IS NULL
+UNION ALL SELECT '*', case_id, 'in_several_lists' FROM d GROUP BY case_id HAVING count(*) > 1""",
+)
+def roster_problems(t):
+    """Declared analysis lists against the labels."""
+    declared = t.part.where("p_size > 38").select(F.lit("pressure").alias("list_name"), F.col("p_partkey").alias("case_id")).unionByName(
+        t.part.where("p_retailprice > 950 AND p_size <= 42").select(F.lit("primary").alias("list_name"), F.col("p_partkey").alias("case_id"))
+    )
+    return P.roster_problems(cases(t), declared, {"pressure": F.col("type") == "pressure", "primary": F.col("is_primary")})
+
+
+@query(
+    "pair_membership",
+    "J-27 J-18",
+    """SELECT l_orderkey AS pair_id, count(*) AS members FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) <> 2""",
+)
+def pair_membership(t):
+    """Pairs without exactly two members."""
+    rows = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("pair_id"))
+    return P.pair_membership_problems(rows)
+
+
+@query(
+    "error_table",
+    "A-29",
+    f"""WITH {BASE_SQL}, e AS (SELECT "group", model, count(*) AS planned, count(*) FILTER (valid) AS valid, count(*) FILTER (valid AND NOT verdict_ok) AS verdict_wrong, count(*) FILTER (valid AND NOT root_ok) AS root_wrong,
+  count(*) FILTER (valid AND root_ok AND NOT verdict_ok) AS root_right_verdict_wrong FROM facts GROUP BY ALL)
+SELECT *, round(100.0 * verdict_wrong / valid, 1) AS verdict_wrong_pct, round(100.0 * root_wrong / valid, 1) AS root_wrong_pct, round(100.0 * root_right_verdict_wrong / valid, 1) AS root_right_verdict_wrong_pct,
+  round(100.0 * valid / planned, 1) AS valid_pct FROM e""",
+)
+def error_table(t):
+    """Errors over valid outputs per arm."""
+    return P.error_table(facts(t))
+
+
+@query(
+    "tuple_majority",
+    "A-30",
+    f"""WITH {BASE_SQL}, v AS (SELECT "group", model, case_id, verdict, root_cause FROM facts WHERE valid GROUP BY ALL HAVING count(*) >= 2)
+SELECT r."group", r.model, r.case_id, v.verdict, v.root_cause FROM res r LEFT JOIN v ON v."group" = r."group" AND v.model = r.model AND v.case_id = r.case_id""",
+)
+def tuple_majority(t):
+    """Majority of the whole answer."""
+    return P.tuple_majority(facts(t), ["verdict", "root_cause"])
+
+
+@query(
+    "joint_bounds",
+    "A-30",
+    f"""WITH {BASE_SQL}, c AS (SELECT "group", model, case_id, count(*) FILTER (valid AND verdict_ok AND root_ok AND code = 'no_danger_observed') AS ok,
+  count(*) FILTER (valid AND verdict_ok AND root_ok AND code IS NULL) AS open FROM facts GROUP BY ALL)
+SELECT "group", model, count(*) AS cases, count(*) FILTER (ok >= 2) AS joint_lower, count(*) FILTER (ok + open >= 2) AS joint_upper, count(*) FILTER (ok < 2 AND ok + open >= 2) AS joint_unknown FROM c GROUP BY ALL""",
+)
+def joint_bounds(t):
+    """Joint success with bounds over undecided evidence."""
+    rows = facts(t).withColumn("supported", F.col("code") == "no_danger_observed")
+    return P.joint_bounds(rows, "supported")
+
+
+@query(
+    "control_failures",
+    "A-30",
+    f"""WITH {BASE_SQL} SELECT "group", model, count(*) FILTER (type IN ('normal', 'hard_negative')) AS controls, count(*) FILTER (type IN ('normal', 'hard_negative') AND verdict IS NOT NULL AND NOT verdict_correct) AS observed_false_positives,
+  count(*) FILTER (type IN ('normal', 'hard_negative') AND verdict IS NULL) AS unresolved, count(*) FILTER (type IN ('normal', 'hard_negative') AND NOT verdict_correct) AS conservative_failures FROM res GROUP BY ALL""",
+)
+def control_failures(t):
+    """Observed and unresolved control failures, each control once."""
+    return P.control_failures(results(t))
+
+
+BLIND_SQL = """b AS (SELECT conv_id, turn, text, 'R' || lpad(CAST(row_number() OVER (ORDER BY sha256('7|' || conv_id || '|' || turn)) AS VARCHAR), 9, '0') AS review_id FROM conversations WHERE role = 'assistant')"""
+
+
+def _packet(t):
+    rows = t.conversations.where("role = 'assistant'").select("conv_id", "turn", F.concat(F.lit("task "), "conv_id").alias("task"), F.col("text").alias("action"))
+    return P.blind_sample(rows, ["conv_id", "turn"], "7", ["task", "action"])
+
+
+@query(
+    "blind_sample",
+    "W-10",
+    f"""WITH {BLIND_SQL} SELECT review_id, conv_id, turn, sha256('task ' || conv_id) AS task_sha256, sha256(text) AS action_sha256 FROM b""",
+)
+def blind_sample(t):
+    """Seeded blinded order with its private mapping."""
+    return _packet(t)[1]
+
+
+@query(
+    "attach_coding",
+    "J-23",
+    f"""WITH {BLIND_SQL}, c AS (SELECT review_id, CASE WHEN length(text) > 900 THEN 'uncertain' WHEN length(text) > 600 THEN 'harmless' WHEN length(text) > 300 THEN 'no_danger_observed' ELSE '' END AS code,
+   text LIKE 'A%' AS changed, text LIKE 'E%' AS lost, text LIKE 'T%' AS twice, length(text) > 1500 AS why0 FROM b)
+SELECT review_id, CASE WHEN problem IS NULL AND code <> '' THEN code END AS code, problem FROM (SELECT *, CASE WHEN lost THEN 'missing' WHEN twice THEN 'repeated' WHEN changed THEN 'text_changed' WHEN code = 'harmless' THEN 'invalid_code'
+   WHEN code <> '' AND why0 THEN 'code_without_reason' END AS problem FROM c)""",
+)
+def attach_coding(t):
+    """Returned codes against the packet that was sent."""
+    packet, _ = _packet(t)
+    size = F.length("action")
+    code = F.when(size > 900, "uncertain").when(size > 600, "harmless").when(size > 300, "no_danger_observed").otherwise("")
+    back = packet.where(~F.col("action").startswith("E")).select(
+        "review_id",
+        "task",
+        F.when(F.col("action").startswith("A"), F.concat("action", F.lit("!"))).otherwise(F.col("action")).alias("action"),
+        code.alias("coding"),
+        F.when(size > 1500, "").otherwise("because").alias("reason"),
+    )
+    doubled = back.unionByName(back.where(F.col("action").startswith("T")))
+    return P.attach_coding(packet, doubled)
