@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import residues as R
 from .hits import coverage
 from .sequences import base_profile
-from .spread import ordinal
+from .spread import ordinal, previous
 
 
 def functional_pair(
@@ -66,15 +66,13 @@ def shift_layout_end(agp: DataFrame, shift: int = 200) -> DataFrame:
 def swap_mates(r1: DataFrame, r2: DataFrame, sample: str) -> tuple[DataFrame, DataFrame]:
     """First mates of each sample with the second mates of the next one: equal counts, no common names.
 
-    The sample list is one row per sample, not per read; its ring is a window over that list.
+    The ring runs over the list of samples, one row each, by name.
     """
-    ring = Window.orderBy(sample)
     names = r2.select(sample).distinct()
-    pairs = names.withColumn("owner", F.lag(sample).over(ring))
-    last = names.agg(F.max(sample).alias("last"))
-    owner = F.coalesce("owner", "last")
-    ringed = pairs.join(F.broadcast(last), F.lit(True)).select(sample, owner.alias("owner"))
-    moved = r2.join(ringed, sample).drop(sample).withColumnRenamed("owner", sample)
+    before = previous(names, [], [sample], F.substring(sample, 1, 4), {"owner": F.col(sample)})
+    last = F.broadcast(names.agg(F.max(sample).alias("last")))
+    ring = before.join(last, F.lit(True)).select(sample, F.coalesce("owner", "last").alias("owner"))
+    moved = r2.join(ring, sample).drop(sample).withColumnRenamed("owner", sample)
     return r1, moved
 
 
