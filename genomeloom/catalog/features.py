@@ -8,7 +8,7 @@ from ..functions import attributes as A
 from ..operators import features as G
 from ..operators.spread import ordinal
 from ..plans import export
-from ..session import scratch
+from ..session import materialize, scratch
 from ..sources import features as X
 from ..sources import sinks
 from . import star
@@ -36,9 +36,9 @@ def _gff_attributes():
     )
 
 
-def _write_star_gff(t, label: str) -> str:
+def _write_star_gff(t, label: str, features) -> str:
     path = scratch(t.spark, label)
-    rows = star.features(t).select(
+    rows = features.select(
         F.concat(F.lit("chr"), "acc").alias("seqid"),
         F.lit("star").alias("source"),
         "kind",
@@ -69,7 +69,7 @@ SELECT 'chr' || acc AS seqid, kind, count(*) AS n, CAST(sum(parents) AS BIGINT)
 )
 def gff_roundtrip(t):
     """The star schema written as GFF3 with directives and read back."""
-    rows = X.read_gff3(t.spark, _write_star_gff(t, "gff"))
+    rows = X.read_gff3(t.spark, _write_star_gff(t, "gff", star.features(t)))
     return rows.groupBy("seqid", "kind").agg(
         F.count("*").alias("n"),
         F.sum(F.size("parents").cast("long")).alias("parents"),
@@ -87,7 +87,7 @@ def gff_roundtrip(t):
 )
 def sequence_regions(t):
     """Sequence-region directives survive the round trip."""
-    return X.read_regions(t.spark, _write_star_gff(t, "regions")).select("seqid", "start", "end")
+    return X.read_regions(t.spark, _write_star_gff(t, "regions", star.genes(t))).select("seqid", "start", "end")
 
 
 @query(
@@ -378,11 +378,10 @@ def compare_deliveries(t):
     return G.compare_deliveries(metrics(t.customer, "busy", 0), metrics(delivery, "extra", 5000), ["acc"])
 
 
-def _numbered_star(t):
-    """Star features with a row id, as the readers give it."""
-    rows = star.features(t)
-    key = F.xxhash64("kind", F.coalesce("fid", F.lit("")), "parents", "start", "end", "protein_id")
-    return rows.withColumn("row", key).dropDuplicates(["acc", "row"])
+def _stored_star(t):
+    """Distinct star features kept as Parquet, the form every multi-pass job should read."""
+    rows = star.features(t).dropDuplicates(["acc", "kind", "fid", "parents", "start", "end", "protein_id"])
+    return materialize(rows.withColumn("row", F.monotonically_increasing_id()), "features")
 
 
 @query(
@@ -399,7 +398,7 @@ UNION ALL SELECT acc, kind, count(*), CAST(sum(CAST(k1 AS INT) + CAST(k2 AS INT)
 )
 def coding_subset(t):
     """Coding branch kept, shared parent lists trimmed: rows and parents left per kind."""
-    kept = export.coding_subset(_numbered_star(t), ["acc"], ["row"])
+    kept = export.coding_subset(_stored_star(t), ["acc"], ["row"])
     return kept.groupBy("acc", "kind").agg(
         F.count("*").alias("n"), F.sum(F.size("parents").cast("long")).alias("parents")
     )
@@ -433,7 +432,7 @@ SELECT acc, reason, count(*) AS n FROM p GROUP BY acc, reason""",
 )
 def graph_problems(t):
     """Why each delivery cannot be labelled a longest, closed coding set."""
-    return export.graph_problems(star.features(t), ["acc"])
+    return export.graph_problems(materialize(star.features(t), "features"), ["acc"])
 
 
 @query(

@@ -10,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import tune
 
 
+# Rows of these tables are texts that are costly to scan; one row group must not mean one task.
+TEXT_TABLES = ("documents", "pages")
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread rows over the cores when the scan itself yields fewer splits than that; otherwise no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Tables:
     """Lazy access to the tables of one scale directory."""
 
@@ -20,7 +30,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return balanced(df) if name in TEXT_TABLES else df
 
 
 @dataclass(frozen=True)

@@ -8,50 +8,36 @@ from pyspark.sql import functions as F
 
 def decode(col: Column) -> Column:
     """Percent-decoding that leaves ``+`` and stray ``%`` alone."""
-    return F.coalesce(F.try_url_decode(F.regexp_replace(col, r"\+", "%2B")), col)
+    decoded = F.coalesce(F.try_url_decode(F.regexp_replace(col, r"\+", "%2B")), col)
+    return F.when(F.contains(col, F.lit("%")), decoded).otherwise(col)
 
 
-def pairs(col: Column | str) -> Column:
-    """``k=v;k=v`` as an array of ``struct<k, v>`` in source order; items without ``=`` are skipped."""
-    value = F.col(col) if isinstance(col, str) else col
-    items = F.filter(F.split(value, ";"), lambda x: F.instr(x, "=") > 0)
-    return F.transform(
-        items,
-        lambda x: F.struct(
-            F.substring_index(x, "=", 1).alias("k"),
-            F.regexp_replace(x, "^[^=]*=", "").alias("v"),
-        ),
-    )
+# An item without "=", and an item whose key comes again later in the text.
+_NO_VALUE = r"(^|;)[^=;]+(?=;|$)"
+_EARLIER = r"(?:^|;)([^=;]+)=[^;]*(?=(?:;.*)?;\1=)"
 
 
 def attribute_map(col: Column | str) -> Column:
-    """Attributes as a map; of a repeated key the last value stays, as in the lenient scan."""
-    entries = pairs(col)
-    keys = F.transform(entries, lambda e: e["k"])
-    last = F.filter(
-        F.transform(
-            entries,
-            lambda e, i: F.when(
-                ~F.array_contains(F.slice(keys, i + 2, F.greatest(F.size(entries), F.lit(1))), e["k"]), e
-            ),
-        ),
-        lambda e: e.isNotNull(),
-    )
-    return F.map_from_entries(last)
+    """``k=v;k=v`` as a map. Items without ``=`` are skipped; of a repeated key the last value stays.
+
+    Repeats are removed as text, so the map is built by the plain built-in.
+    """
+    text = F.regexp_replace(F.regexp_replace(col, _NO_VALUE, "$1"), _EARLIER, "")
+    text = F.regexp_replace(F.regexp_replace(text, ";{2,}", ";"), "^;|;$", "")
+    return F.map_filter(F.str_to_map(text, F.lit(";"), F.lit("=")), lambda k, v: v.isNotNull())
 
 
 def bad_attributes(col: Column | str) -> Column:
     """True where an item has no ``=`` or a key is repeated (the strict scan rejects both)."""
     value = F.col(col) if isinstance(col, str) else col
-    items = F.filter(F.split(value, ";"), lambda x: (x != "") & (x != "."))
-    keys = F.transform(items, lambda x: F.substring_index(x, "=", 1))
-    return F.exists(items, lambda x: F.instr(x, "=") == 0) | (F.size(keys) != F.size(F.array_distinct(keys)))
+    return value.rlike(r"(^|;)(?!\.(;|$))[^=;]+(;|$)") | value.rlike(_EARLIER)
 
 
 def parent_list(attrs: Column) -> Column:
     """Parents: split on commas first, decode each afterwards."""
-    raw = F.filter(F.split(F.coalesce(attrs["Parent"], F.lit("")), ","), lambda p: p != "")
-    return F.transform(raw, decode)
+    raw = attrs["Parent"]
+    names = F.filter(F.split(F.coalesce(raw, F.lit("")), ","), lambda p: p != "")
+    return F.when(F.contains(raw, F.lit("%")), F.transform(names, decode)).otherwise(names)
 
 
 # The three ways a gene identifier is written in a GTF-like row.

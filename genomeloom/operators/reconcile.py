@@ -182,32 +182,29 @@ def pair_surface(artifacts: DataFrame) -> DataFrame:
 
     Columns: ``pair_id, member`` (1 or 2), ``name, role`` (declared, delivery, reference), ``sha256``.
     """
-    by_name = artifacts.groupBy("pair_id", "name").agg(
-        F.count_distinct("member").alias("members"),
-        F.max("role").alias("role"),
-        F.count_distinct("sha256").alias("versions"),
-    )
-    names = by_name.groupBy("pair_id").agg(
-        F.bool_and(F.col("members") == 2).alias("same_names"),
-        F.coalesce(
-            F.bool_and(F.when(F.col("role") == "declared", (F.col("versions") == 1) & (F.col("members") == 2))), F.lit(True)
-        ).alias("same_declared"),
-    )
 
     def digest(member: int, role: str) -> Column:
         return F.max(F.when((F.col("member") == member) & (F.col("role") == role), F.col("sha256")))
 
-    roles = artifacts.groupBy("pair_id").agg(
-        F.count_distinct("member").alias("members"),
+    by_name = artifacts.groupBy("pair_id", "name").agg(
+        F.min("member").alias("lo"),
+        F.max("member").alias("hi"),
+        F.max("role").alias("role"),
+        (F.min("sha256") == F.max("sha256")).alias("same"),
         digest(1, "delivery").alias("d1"),
         digest(1, "reference").alias("r1"),
         digest(2, "delivery").alias("d2"),
         digest(2, "reference").alias("r2"),
     )
-    swapped = F.coalesce((F.col("d1") == F.col("r2")) & (F.col("r1") == F.col("d2")), F.lit(False))
-    return names.join(roles, "pair_id").select(
-        "pair_id", "same_names", "same_declared", swapped.alias("roles_swapped"), (F.col("members") == 2).alias("two_members")
+    both = F.col("lo") < F.col("hi")
+    out = by_name.groupBy("pair_id").agg(
+        F.bool_and(both).alias("same_names"),
+        F.coalesce(F.bool_and(F.when(F.col("role") == "declared", F.col("same") & both)), F.lit(True)).alias("same_declared"),
+        *[F.max(c).alias(c) for c in ("d1", "r1", "d2", "r2")],
+        (F.min("lo") < F.max("hi")).alias("two_members"),
     )
+    swapped = F.coalesce((F.col("d1") == F.col("r2")) & (F.col("r1") == F.col("d2")), F.lit(False))
+    return out.select("pair_id", "same_names", "same_declared", swapped.alias("roles_swapped"), "two_members")
 
 
 def check_agp(agp: DataFrame, lengths: DataFrame) -> DataFrame:

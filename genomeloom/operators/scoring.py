@@ -274,12 +274,17 @@ def _case_metrics(ext: bool) -> dict[str, tuple[Column, Column]]:
     return out
 
 
-def _strata(rows: DataFrame, dims: Sequence[str], aggs: list[Column], keys: Sequence[str]) -> DataFrame:
-    """All rows and each dimension alone, in one pass over GROUPING SETS."""
+def _strata(rows: DataFrame, dims: Sequence[str], aggs: dict[str, Column], keys: Sequence[str]) -> DataFrame:
+    """All rows and each dimension alone.
+
+    Counters are first taken per combination of all dimensions, so GROUPING SETS
+    fans out a handful of combinations instead of every row.
+    """
     names = list(dims)
+    cells = rows.groupBy(*keys, *names).agg(*[c.alias(n) for n, c in aggs.items()])
     sets = [[F.col(k) for k in keys]] + [[F.col(k) for k in keys] + [F.col(d)] for d in names]
-    grouped = rows.groupingSets(sets, *[F.col(k) for k in keys], *[F.col(d) for d in names]).agg(
-        *aggs, *[F.grouping(d).alias(f"__g_{d}") for d in names]
+    grouped = cells.groupingSets(sets, *[F.col(k) for k in keys], *[F.col(d) for d in names]).agg(
+        *[F.sum(n).alias(n) for n in aggs], *[F.grouping(d).alias(f"__g_{d}") for d in names]
     )
     dimension, stratum = F.lit("all"), F.lit("all")
     for d in names:
@@ -305,10 +310,10 @@ def _cells(wide: DataFrame, units: dict[str, Sequence[str]], keys: Sequence[str]
     )
 
 
-def _counts(metrics: dict[str, tuple[Column, Column]]) -> list[Column]:
-    out = []
+def _counts(metrics: dict[str, tuple[Column, Column]]) -> dict[str, Column]:
+    out = {}
     for name, (hit, eligible) in metrics.items():
-        out += [F.count_if(hit & eligible).alias(f"n_{name}"), F.count_if(eligible).alias(f"d_{name}")]
+        out[f"n_{name}"], out[f"d_{name}"] = F.count_if(hit & eligible), F.count_if(eligible)
     return out
 
 
@@ -353,18 +358,18 @@ def panels(
     )
     item, whole = _item_metrics(ext), _case_metrics(ext)
     tests = PAIR_TESTS if ext else {"pair_success": "root_correct"}
-    valid = [F.sum("valid_slots").alias("n_valid_outputs"), F.sum("planned_slots").alias("d_valid_outputs")]
+    valid = {"n_valid_outputs": F.sum("valid_slots"), "d_valid_outputs": F.sum("planned_slots")}
     # Counts that belong to a case show under both units.
     both_units = [m for m in (*whole, "valid_outputs") if m != "root_inconsistency"]
     parts = _cells(
-        _strata(by_case, dims, _counts(item | whole) + valid, keys),
+        _strata(by_case, dims, _counts(item | whole) | valid, keys),
         {"case": [*item, *whole, "valid_outputs"], "observation": both_units},
         keys,
         zeros=list(tests),
     ).unionByName(_cells(_strata(by_slot, dims, _counts(item), keys), {"observation": list(item)}, keys))
     for rows, row_keys, unit in ((by_case, keys, "case"), (by_slot, [*keys, "repetition"], "observation")):
         pairs = pair_rows(rows, dims, row_keys, {n: F.col(c) for n, c in tests.items()})
-        aggs = [c for n in tests for c in (F.count_if(n).alias(f"n_{n}"), F.count("*").alias(f"d_{n}"))]
+        aggs = {k: c for n in tests for k, c in ((f"n_{n}", F.count_if(n)), (f"d_{n}", F.count("*")))}
         wide = _strata(pairs, dims, aggs, keys).where(F.col("stratum").isNotNull())
         parts = parts.unionByName(_cells(wide, {unit: list(tests)}, keys))
     out = parts.groupBy(*keys, "unit", "dimension", "stratum", "metric").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))

@@ -42,13 +42,9 @@ def row_reason(fields: Column) -> Column:
     )
 
 
-def scan_gff3(spark: SparkSession, path) -> DataFrame:
-    """Every feature row with the reason a strict scan would reject it."""
-    rows = _fields(read_lines(spark, path))
-    safe = F.when(F.size("f") == 9, F.col("f"))
-    reason = row_reason(F.col("f"))
-    rows = rows.withColumn("reason", reason).withColumn("g", safe)
-    rows = rows.withColumn("attrs", A.attribute_map(F.coalesce(F.col("g")[8], F.lit(""))))
+def _parsed(rows: DataFrame) -> DataFrame:
+    g = F.when(F.size("f") == 9, F.col("f"))
+    rows = rows.withColumn("g", g).withColumn("attrs", A.attribute_map(F.coalesce(F.col("g")[8], F.lit(""))))
     return rows.select(
         "file",
         "block",
@@ -65,19 +61,27 @@ def scan_gff3(spark: SparkSession, path) -> DataFrame:
         A.decode(F.col("attrs")["ID"]).alias("fid"),
         A.parent_list(F.col("attrs")).alias("parents"),
         F.col("value").alias("raw"),
-        "reason",
+        *(["reason"] if "reason" in rows.columns else []),
     )
 
 
+def scan_gff3(spark: SparkSession, path) -> DataFrame:
+    """Every feature row with the reason a strict scan would reject it."""
+    return _parsed(_fields(read_lines(spark, path)).withColumn("reason", row_reason(F.col("f"))))
+
+
 def read_gff3(spark: SparkSession, path, strict: bool = False) -> DataFrame:
-    """Nine-column features. Lenient: rows of another width are skipped. Strict: any defect raises."""
+    """Nine-column features. Lenient: rows of another width are skipped. Strict: any defect raises.
+
+    Every operator scans features more than once: keep them as Parquet after the first read.
+    """
+    if not strict:
+        return _parsed(_fields(read_lines(spark, path)).where(F.size("f") == 9))
     rows = scan_gff3(spark, path)
-    if strict:
-        bad = rows.where(F.col("reason").isNotNull()).select("file", "reason", "raw").limit(5).collect()
-        if bad:
-            raise ValueError("GFF3 rejected: " + "; ".join(f"{r.reason}: {r.raw[:80]}" for r in bad))
-        return rows.drop("reason")
-    return rows.where(F.col("reason").isNull() | (F.col("reason") != "width")).drop("reason")
+    bad = rows.where(F.col("reason").isNotNull()).select("file", "reason", "raw").limit(5).collect()
+    if bad:
+        raise ValueError("GFF3 rejected: " + "; ".join(f"{r.reason}: {r.raw[:80]}" for r in bad))
+    return rows.drop("reason")
 
 
 def read_regions(spark: SparkSession, path) -> DataFrame:
