@@ -135,8 +135,7 @@ VERSION_PATTERN = r"Version\s*:\s*(\S+)"
 def read_logs(spark: SparkSession, path) -> DataFrame:
     """One row per log file: ``file, text``."""
     return (
-        spark.read.option("wholetext", "true")
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
     )
 
