@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import attributes as A
 from ..operators import features as G
-from ..operators.spread import ordinal
+from ..operators.spread import preview, quarantine
 from ..plans import export
 from ..session import materialize, scratch
 from ..sources import features as X
@@ -442,7 +442,7 @@ def graph_problems(t):
    WHEN l_quantity < 5 THEN 'coordinates' END AS reason FROM lineitem)
 SELECT l_linestatus AS seqid, coalesce(reason, 'good') AS reason, count(*) AS n FROM r GROUP BY ALL""",
 )
-def quarantine(t):
+def quarantine_rows(t):
     """Malformed rows set apart with their reason, good rows beside them."""
     fields = F.array(
         "l_linestatus", F.lit("src"), F.lit("CDS"), F.lit("100"),
@@ -450,8 +450,20 @@ def quarantine(t):
         F.when(F.col("l_tax") == 0.0, "ID=a;ID=b").otherwise("ID=a;Parent=b"),
     )
     rows = t.lineitem.withColumn("f", F.when(F.col("l_discount") == 0.0, F.slice(fields, 1, 8)).otherwise(fields))
-    return (
-        rows.withColumn("reason", F.coalesce(X.row_reason(F.col("f")), F.lit("good")))
-        .groupBy(F.col("f")[0].alias("seqid"), "reason")
-        .agg(F.count("*").alias("n"))
+    good, bad = quarantine(rows, X.row_reason(F.col("f")))
+    both = good.withColumn("reason", F.lit("good")).unionByName(bad)
+    return both.groupBy(F.col("f")[0].alias("seqid"), "reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    "preview_dangling",
+    "T-01 J-05",
+    """SELECT l_suppkey AS acc, l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45
+QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_extendedprice) <= 5""",
+)
+def preview_dangling(t):
+    """First five offending rows of every delivery."""
+    rows = t.lineitem.where("l_returnflag = 'R' AND l_quantity > 45").select(
+        F.col("l_suppkey").alias("acc"), "l_orderkey", "l_linenumber", "l_extendedprice"
     )
+    return preview(rows, ["acc"], ["l_orderkey", "l_linenumber", "l_extendedprice"], 5)

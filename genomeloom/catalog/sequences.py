@@ -8,7 +8,7 @@ from ..functions import residues as R
 from ..operators import bands as B
 from ..operators import sequences as S
 from ..operators.spread import ordinal
-from ..plans.masking import masking_report
+from ..plans.masking import masking_report, numbered_facts
 from ..session import scratch
 from ..sources import sequences as Q
 from ..sources import sinks
@@ -260,8 +260,8 @@ def protein_summary(t):
 )
 def protein_lengths(t):
     """Record lengths in file order, one row each."""
-    rows = ordinal(seqs(t), ["lang"], ["doc_id"], F.floor(F.col("doc_id") / 4096))
-    return S.protein_lengths(rows).select("lang", "rec", "doc_id", "aa")
+    rows = ordinal(S.protein_lengths(seqs(t)), ["lang"], ["doc_id"], F.floor(F.col("doc_id") / 4096))
+    return rows.select("lang", "rec", "doc_id", "aa")
 
 
 @query(
@@ -317,17 +317,19 @@ def _before_after(t):
         .otherwise(F.col("seq")),
     )
 
-    def numbered(df):
-        rows = ordinal(df, ["lang"], ["doc_id"], F.floor(F.col("doc_id") / 4096))
-        return rows.select("lang", "rec", F.col("doc_id").alias("id"), "seq")
+    def named(df):
+        return df.select("lang", F.col("doc_id").alias("id"), "doc_id", "seq")
 
-    return numbered(before), numbered(after)
+    return named(before), named(after)
+
+
+DOC_BLOCK = F.floor(F.col("doc_id") / 4096)
 
 
 @query("mask_qc", "A-04 PRJ-18", f"WITH {SEQS}, {DELIVERED_SQL}, {MASK_QC_SQL} SELECT * FROM qc")
 def mask_qc(t):
     """Delivery against input: ids in order, lengths, case-insensitive bases, percentages, gate."""
-    return S.mask_qc(*_before_after(t), ["lang"])
+    return S.mask_qc(*[numbered_facts(d, ["lang"], ["doc_id"], DOC_BLOCK) for d in _before_after(t)], ["lang"])
 
 
 INTERVALS_SQL = """runs AS (SELECT doc_id, lang, unnest(regexp_extract_all(seq, '[acgt]+|[^acgt]+')) AS run,
@@ -376,7 +378,7 @@ FROM qc LEFT JOIN r USING (lang) LEFT JOIN i USING (lang)""",
 )
 def masking_job(t):
     """Whole masking QC job: profile, gap rule, before/after check, intervals."""
-    return masking_report(*_before_after(t), ["lang"])
+    return masking_report(*_before_after(t), ["lang"], ["doc_id"], DOC_BLOCK)
 
 
 REGIONS_SQL = """regions AS (
@@ -482,7 +484,7 @@ def id_only_headers(t):
         F.concat("url", F.lit(" page "), "page_id").alias("header"),
         F.col("html").alias("seq"),
     )
-    rows = S.id_only(ordinal(pages, ["host"], ["page_id"], F.floor(F.col("page_id") / 4096)))
-    before = rows.withColumn("id", F.split("header", " ")[0]).select("host", "rec", "id", "seq")
-    after = rows.select("host", "rec", "id", F.translate("seq", "acgt", "ACGT").alias("seq"))
-    return S.verify_same(before, after, ["host"])
+    block = F.floor(F.col("page_id") / 4096)
+    before = pages.withColumn("id", F.split("header", " ")[0])
+    after = S.id_only(pages).withColumn("seq", F.translate("seq", "acgt", "ACGT"))
+    return S.verify_same(*[numbered_facts(d, ["host"], ["page_id"], block) for d in (before, after)], ["host"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import literal_table
+from ..session import bounded, literal_table
 
 BAND_SCHEMA = (
     "id string, metric string, taxon_scope string, unit string, lo double, hi double, source_type string, "
@@ -122,7 +122,7 @@ def merge_registry(registry: DataFrame, overrides: DataFrame) -> DataFrame:
     )
     projects = overrides.select("project").distinct()
     rest = (
-        projects.crossJoin(F.broadcast(registry))
+        projects.join(bounded(registry), F.lit(True))
         .join(overrides.select("project", "metric").distinct(), ["project", "metric"], "left_anti")
         .select("project", "id", "metric", "taxon_scope", "lo", "hi", "enforce", F.lit("clade_fallback").alias("anchor"))
     )
@@ -171,7 +171,7 @@ def evaluate_bands(metrics: DataFrame, bands: DataFrame, overrides: DataFrame |
         F.coalesce("enforce", F.lit(False)).alias("b_enforce"),
     )
     scope = F.col("taxon").isNull() | F.col("b_scope").isin("any") | (F.col("b_scope") == F.col("taxon"))
-    judged = m.join(F.broadcast(b), (F.col("metric") == F.col("b_metric")) & scope & F.col("o_lo").isNull(), "left")
+    judged = m.join(bounded(b), (F.col("metric") == F.col("b_metric")) & scope & F.col("o_lo").isNull(), "left")
     lo, hi = F.coalesce("o_lo", "b_lo"), F.coalesce("o_hi", "b_hi")
     status = (
         F.when(lo.isNull(), F.lit("unknown_metric"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import literal_table
+from ..session import bounded, literal_table
 from .spread import previous, running_sums, top_row
 
 # The states of a run, its legal moves, and the states that count as active.
@@ -49,7 +49,7 @@ def check_transitions(
 ) -> DataFrame:
     """History rows that break the graph, with the reason."""
     states = list(known) if known is not None else list(TRANSITIONS)
-    legal = F.broadcast(
+    legal = bounded(
         transitions.select(F.col("from_status").alias("prev_status"), F.col("to_status").alias(status)).withColumn(
             "legal", F.lit(True)
         )

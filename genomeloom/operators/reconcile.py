@@ -246,7 +246,7 @@ def select_pairs(files: DataFrame, report: DataFrame) -> DataFrame:
     first = rows.where(F.col("skipped").isNull()).agg(
         F.min(F.struct("total_bytes", "accession"))["accession"].alias("chosen")
     )
-    return rows.crossJoin(F.broadcast(first)).select(
+    return rows.join(F.broadcast(first), F.lit(True)).select(
         "accession", "gff_files", "faa_files", "total_bytes", "skipped",
         F.coalesce(F.col("skipped").isNull() & (F.col("accession") == F.col("chosen")), F.lit(False)).alias("selected"),
     )

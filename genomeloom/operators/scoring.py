@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bounded
 from .spread import ordinal
 
 ARM = ["group", "model"]
@@ -535,7 +536,7 @@ def usage_cost(attempts: DataFrame, rates: DataFrame) -> DataFrame:
     cost = (
         F.coalesce("input_tokens", F.lit(0)) * F.col("input_rate") + F.coalesce("output_tokens", F.lit(0)) * F.col("output_rate")
     ) / 1e6
-    return sums.join(F.broadcast(rates), "model", "left").select(
+    return sums.join(bounded(rates), "model", "left").select(
         *ARM, "attempts", "usage_available", "input_tokens", "output_tokens",
         F.when(F.col("usage_available") > 0, F.round(cost, 6)).alias("estimated_cost"),
     )
@@ -593,12 +594,12 @@ def coding_diagnostics(facts: DataFrame) -> DataFrame:
 
 def apply_scope(rows: DataFrame, retired: DataFrame) -> DataFrame:
     """Rows of the models still in scope."""
-    return rows.join(F.broadcast(retired.select("model").distinct()), "model", "left_anti")
+    return rows.join(bounded(retired.select("model").distinct()), "model", "left_anti")
 
 
 def scope_audit(grid: DataFrame, retired: DataFrame) -> DataFrame:
     """What was planned, kept and cancelled of each withdrawn model."""
-    kept = grid.join(F.broadcast(retired.select("model").distinct()), "model", "left_semi")
+    kept = grid.join(bounded(retired.select("model").distinct()), "model", "left_semi")
     return kept.groupBy("model").agg(
         F.count("*").alias("original_planned_observations"),
         F.count_if(F.col("status") != "missing").alias("retained_observations"),

@@ -63,24 +63,28 @@ def mask_gate(ids: Column, lengths: Column, same: Column, lower_pct: Column) ->
     return F.when(ids & lengths & same & (lower_pct >= 0.5), F.lit("PASS")).otherwise(F.lit("FAIL"))
 
 
-def mask_qc(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Masked delivery against its input. Both sides: ``keys, rec, id, seq`` with dense ``rec``.
+def mask_facts(df: DataFrame, keep: Sequence[str], id_col: str = "id", seq: str = "seq") -> DataFrame:
+    """What a masking check needs of each record, without its residues.
 
-    Digests and lengths are taken before the join, so sequences never shuffle.
+    Taken before records are numbered or joined, so no sequence is ever shuffled.
     """
+    return df.select(
+        *keep,
+        F.col(id_col).alias("id"),
+        F.length(seq).cast("long").alias("len"),
+        F.sha2(F.upper(F.col(seq)), 256).alias("sha"),
+        R.lowercase_count(seq, "any").alias("lower_n"),
+        R.gap_count(seq).alias("gap_n"),
+    )
+
 
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(
-            *keys,
-            "rec",
-            F.col("id").alias(f"id_{tag}"),
-            F.length("seq").cast("long").alias(f"len_{tag}"),
-            F.sha2(F.upper("seq"), 256).alias(f"sha_{tag}"),
-            *([R.lowercase_count("seq", "any").alias("lower_n"),
-               R.gap_count("seq").alias("gap_n")] if tag == "b" else []),
-        )
-
-    both = side(before, "a").join(side(after, "b"), [*keys, "rec"], "full_outer")
+def mask_qc(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Masked delivery against its input. Both sides: ``mask_facts`` with a dense ``rec`` per key."""
+    a = before.select(*keys, "rec", F.col("id").alias("id_a"), F.col("len").alias("len_a"), F.col("sha").alias("sha_a"))
+    b = after.select(
+        *keys, "rec", F.col("id").alias("id_b"), F.col("len").alias("len_b"), F.col("sha").alias("sha_b"), "lower_n", "gap_n"
+    )
+    both = a.join(b, [*keys, "rec"], "full_outer")
     flags = both.groupBy(*keys).agg(
         F.bool_and(F.col("id_a").eqNullSafe(F.col("id_b"))).alias("ids_equal"),
         F.bool_and(F.col("len_a").eqNullSafe(F.col("len_b"))).alias("len_ok"),
@@ -264,17 +268,16 @@ def check_regions(df: DataFrame, regions: DataFrame, key: str, seq: str = "seq")
 def take_prefix(
     df: DataFrame, keys: Sequence[str], order: str, bucket: Column, max_bases: int, max_records: int, seq: str = "seq"
 ) -> DataFrame:
-    """First records of each source up to a base budget; the last one may be cut short."""
+    """Which first records of each source fit a base budget, and how much of the last one.
+
+    Works on lengths; join the chosen few back to their residues by id.
+    """
+    lengths = df.withColumn("len", F.length(seq).cast("long")).drop(seq)
     rows = running_sums(
-        df,
-        keys,
-        [order],
-        bucket,
-        {"rec": F.lit(1).cast("long"), "before": F.length(seq).cast("long")},
-        inclusive=False,
+        lengths, keys, [order], bucket, {"rec": F.lit(1).cast("long"), "before": F.col("len")}, inclusive=False
     )
     kept = rows.where((F.col("before") < max_bases) & (F.col("rec") < max_records))
-    return kept.withColumn("taken", F.least(F.length(seq).cast("long"), F.lit(max_bases) - F.col("before")))
+    return kept.withColumn("taken", F.least(F.col("len"), F.lit(max_bases) - F.col("before")))
 
 
 def id_only(df: DataFrame, header: str = "header") -> DataFrame:
@@ -282,7 +285,7 @@ def id_only(df: DataFrame, header: str = "header") -> DataFrame:
 
 
 def verify_same(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Order, uniqueness and case-insensitive sequence equality of a rewritten file, per delivery."""
+    """Order, uniqueness and case-insensitive equality of a rewritten file, from numbered ``mask_facts``."""
     qc = mask_qc(before, after, keys).select(
         *keys, F.col("ids_equal").alias("order_equal"), "lengths_equal", "sequence_equal_ignorecase"
     )

@@ -3,7 +3,9 @@
 A window partitioned by a hot key runs in one task. These helpers take an extra
 ``bucket``: a deterministic column that never decreases along the ordering (a day,
 a file block, an ordinal divided by a chunk size). Rows meet only inside
-``(keys, bucket)``; what crosses buckets is one summary row per bucket.
+``(keys, bucket)``; what crosses buckets is one summary row per bucket. Keys and
+bucket must not be null: a row without them has no place in the order, and its
+totals come out null rather than wrong.
 """
 
 from __future__ import annotations
@@ -122,3 +124,15 @@ def carry_forward(
         borders, [*keys, BUCKET], "left"
     )
     return joined.select(*[c for c in df.columns if c != out], F.coalesce("__in", "__border").alias(out))
+
+
+def preview(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
+    """First ``n`` rows per key. The rank filter also runs before the shuffle, so a hot key sends ``n`` rows per task."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*_as_cols(order)))
+    return df.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+
+
+def quarantine(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): rows without a reason, and the others with theirs."""
+    marked = df.withColumn("reason", reason)
+    return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull())

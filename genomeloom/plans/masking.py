@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import sequences as S
+from ..operators.spread import ordinal
 
 
-def masking_report(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Profile, gap rule, before/after check and interval counts of each delivery in one row."""
+def numbered_facts(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column) -> DataFrame:
+    """Residue-free facts of each record with its position in the delivery."""
+    return ordinal(S.mask_facts(df, [*keys, *order]), keys, order, bucket)
+
+
+def masking_report(
+    before: DataFrame, after: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column
+) -> DataFrame:
+    """Profile, gap rule, before/after check and interval counts of each delivery in one row.
+
+    Both sides: ``keys, id, seq`` and the ``order`` columns that give file order.
+    """
     rule = S.softmask_rule(after, keys).select(*keys, F.col("rows").alias("records"), "outcome")
-    qc = S.mask_qc(before, after, keys).select(*keys, "status", "lowercase_pct", "n_pct", "total")
+    sides = [numbered_facts(side, keys, order, bucket) for side in (before, after)]
+    qc = S.mask_qc(*sides, keys).select(*keys, "status", "lowercase_pct", "n_pct", "total")
     pieces = S.pieces_of(after, [*keys, "id"])
     intervals = (
         S.mask_intervals(pieces, [*keys, "id"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import bands as B
 from ..operators.features import gene_model_summary
 from ..operators.sequences import protein_summary
+from ..session import bounded
 
 
 def species_report(
@@ -27,7 +28,7 @@ def species_report(
     band = bands.where(F.col("metric") == "protein_coding_gene_count").select(
         F.col("taxon_scope").alias("clade"), F.col("lo").alias("band_lo"), F.col("hi").alias("band_hi")
     )
-    judged = rows.join(F.broadcast(band), "clade", "left")
+    judged = rows.join(bounded(band), "clade", "left")
     return judged.withColumn(
         "band_verdict", B.single_verdict(F.col("coding_genes"), F.col("band_lo"), F.col("band_hi"))
     )

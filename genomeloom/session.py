@@ -80,6 +80,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, max_rows: int = MAX_LITERAL_ROWS) -> DataFrame:
+    """Mark a dimension for broadcast only after counting that it stays under ``max_rows``.
+
+    The count reads at most one row more than the bound. A larger table comes back
+    unmarked, and the join is left to the optimizer.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def literal_table(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
     """A driver-built dimension as a broadcastable local relation with known size."""
     if len(rows) > MAX_LITERAL_ROWS:

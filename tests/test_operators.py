@@ -88,7 +88,8 @@ def test_softmask_rule_thresholds(spark):
 def test_mask_qc_order_and_case(spark):
     before = spark.createDataFrame([("g", 0, "a", "ACGT"), ("g", 1, "b", "AAAA"), ("h", 0, "a", "AC"), ("h", 1, "b", "GT")], "g string, rec long, id string, seq string")
     after = spark.createDataFrame([("g", 0, "a", "acGT"), ("g", 1, "b", "AAAA"), ("h", 0, "b", "GT"), ("h", 1, "a", "AC")], "g string, rec long, id string, seq string")
-    got = {r.g: r for r in S.mask_qc(before, after, ["g"]).collect()}
+    sides = [S.mask_facts(d, ["g", "rec"]) for d in (before, after)]
+    got = {r.g: r for r in S.mask_qc(*sides, ["g"]).collect()}
     assert got["g"].status == "PASS" and got["g"].lowercase_pct == 25.0
     assert not got["h"].ids_equal and not got["h"].lengths_equal and got["h"].status == "FAIL"
 
