@@ -17,10 +17,13 @@ g(a, b) AS (VALUES ('PENDING', 'READY'), ('PENDING', 'BLOCKED'), ('PENDING', 'SK
   ('RUNNING', 'FAILED'), ('RUNNING', 'WAITING_REVIEW'), ('RUNNING', 'BLOCKED'), ('WAITING_REVIEW', 'READY'), ('WAITING_REVIEW', 'REJECTED'), ('WAITING_REVIEW', 'STALE'),
   ('FAILED', 'READY'), ('FAILED', 'BLOCKED'), ('REJECTED', 'READY'), ('STALE', 'READY'), ('STALE', 'SKIPPED_NOT_APPLICABLE'), ('SUCCEEDED', 'STALE'))"""
 
-DAY = F.to_date("ts")
 ORDER = ["ts", "event_id"]
 
 
+def day():
+    return F.to_date("ts")
+
+
 def run_events(t):
     state = F.lit(None).cast("string")
     for event, status in STATE_OF.items():
@@ -38,7 +41,7 @@ def run_events(t):
 @query("run_history", "W-07", f"WITH {EVENT_SQL} SELECT event_id, project_id, status, prev_status FROM h")
 def run_history(t):
     """Every event with the status before it, day by day."""
-    return L.run_history(run_events(t), ["project_id"], ORDER, "status", DAY).select(
+    return L.run_history(run_events(t), ["project_id"], ORDER, "status", day()).select(
         "event_id", "project_id", "status", "prev_status"
     )
 
@@ -62,7 +65,7 @@ WHERE prev_status IS NOT NULL AND NOT EXISTS (SELECT 1 FROM g WHERE a = prev_sta
 )
 def check_transitions(t):
     """Moves the run graph does not allow."""
-    history = L.run_history(run_events(t), ["project_id"], ORDER, "status", DAY)
+    history = L.run_history(run_events(t), ["project_id"], ORDER, "status", day())
     return L.check_transitions(history, L.transition_rows(t.spark), "status").select(
         "event_id", "project_id", "prev_status", "status", "reason"
     )
@@ -76,7 +79,7 @@ WHERE status = 'PENDING' AND prev_status IN ('PENDING', 'READY', 'RUNNING') AND
 )
 def duplicate_submissions(t):
     """New submissions while a run was still active."""
-    found = L.duplicate_submissions(run_events(t), ["project_id"], ORDER, "status", "run_id", DAY)
+    found = L.duplicate_submissions(run_events(t), ["project_id"], ORDER, "status", "run_id", day())
     return found.select("event_id", "project_id", "run_id", "prev_run", "prev_status")
 
 
@@ -87,7 +90,7 @@ BUDGET_SQL = """b AS (SELECT event_id, user_id, ts, CAST(round(value * 100) AS B
 
 def _trace(t):
     rows = t.events.select("event_id", "user_id", "ts", F.round(F.col("value") * 100).cast("long").alias("cents"))
-    return L.budget_trace(rows, ["user_id"], ORDER, DAY, "cents", 300_000)
+    return L.budget_trace(rows, ["user_id"], ORDER, day(), "cents", 300_000)
 
 
 @query("budget_trace", "W-08", f"WITH {BUDGET_SQL} SELECT event_id, user_id, reserved_total, calls, reserved_total > 300000 AS over_cap FROM b")
@@ -168,4 +171,4 @@ SELECT project_id, status, status IN ('PENDING', 'READY', 'RUNNING') AS active,
 )
 def run_ledger(t):
     """Whole ledger per project."""
-    return L.run_ledger(run_events(t), _bound(t), L.transition_rows(t.spark), "project_id", ORDER, "status", "run_id", DAY)
+    return L.run_ledger(run_events(t), _bound(t), L.transition_rows(t.spark), "project_id", ORDER, "status", "run_id", day())

@@ -323,13 +323,14 @@ def _before_after(t):
     return named(before), named(after)
 
 
-DOC_BLOCK = F.floor(F.col("doc_id") / 4096)
+def _doc_block():
+    return F.floor(F.col("doc_id") / 4096)
 
 
 @query("mask_qc", "A-04 PRJ-18", f"WITH {SEQS}, {DELIVERED_SQL}, {MASK_QC_SQL} SELECT * FROM qc")
 def mask_qc(t):
     """Delivery against input: ids in order, lengths, case-insensitive bases, percentages, gate."""
-    return S.mask_qc(*[numbered_facts(d, ["lang"], ["doc_id"], DOC_BLOCK) for d in _before_after(t)], ["lang"])
+    return S.mask_qc(*[numbered_facts(d, ["lang"], ["doc_id"], _doc_block()) for d in _before_after(t)], ["lang"])
 
 
 INTERVALS_SQL = """runs AS (SELECT doc_id, lang, unnest(regexp_extract_all(seq, '[acgt]+|[^acgt]+')) AS run,
@@ -378,7 +379,7 @@ FROM qc LEFT JOIN r USING (lang) LEFT JOIN i USING (lang)""",
 )
 def masking_job(t):
     """Whole masking QC job: profile, gap rule, before/after check, intervals."""
-    return masking_report(*_before_after(t), ["lang"], ["doc_id"], DOC_BLOCK)
+    return masking_report(*_before_after(t), ["lang"], ["doc_id"], _doc_block())
 
 
 REGIONS_SQL = """regions AS (

@@ -68,3 +68,11 @@ def test_scratch_follows_the_cluster_setting():
     assert scratch(Session("local[2]"), "x").startswith("/tmp/")
     with pytest.raises(RuntimeError):
         scratch(Session("yarn"), "x")
+
+
+def test_entry_module_loads_without_a_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 100"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
