@@ -164,7 +164,7 @@ def genome_files(t):
 r(acc, species, clade) AS (VALUES ('GCF_000000001.1', 'Danio_rerio', 'actinopterygii'), ('GCF_000000007.1', 'Gallus_gallus', 'aves'),
   ('GCF_000000012.1', 'Arxiozyma_heterogenica', 'fungi'))
 SELECT acc AS accession, acc || '_ASM_genomic.gff.gz' AS gff, CASE WHEN s_acctbal > 0 THEN acc || '_ASM_protein.faa.gz' END AS faa,
-  CASE WHEN s_nationkey < 5 THEN 1 ELSE 0 END AS copies, r.species IS NOT NULL AS registered, coalesce(r.species, acc) AS species,
+  CAST(CASE WHEN s_nationkey < 5 THEN 1 ELSE 0 END AS BIGINT) AS copies, r.species IS NOT NULL AS registered, coalesce(r.species, acc) AS species,
   coalesce(r.clade, 'unknown') AS clade FROM s LEFT JOIN r USING (acc)""",
 )
 def discover_genomes(t):
@@ -184,8 +184,8 @@ def discover_genomes(t):
 @query(
     "select_pairs",
     "J-21 T-02",
-    """WITH c AS (SELECT 'GCF_' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || '.1' AS accession, CASE WHEN s_nationkey < 5 THEN 2 ELSE 1 END AS gff_files,
-   CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END AS faa_files, s_suppkey, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal < 8000),
+    """WITH c AS (SELECT 'GCF_' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || '.1' AS accession, CAST(CASE WHEN s_nationkey < 5 THEN 2 ELSE 1 END AS BIGINT) AS gff_files,
+   CAST(CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END AS BIGINT) AS faa_files, s_suppkey, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal < 8000),
 d AS (SELECT accession, gff_files, faa_files, CAST((gff_files + faa_files) * (1000 + s_nationkey) AS BIGINT) AS total_bytes,
    CASE WHEN faa_files = 0 THEN 'missing_mate' WHEN gff_files > 1 THEN 'ambiguous_paths' END AS skipped FROM c)
 SELECT *, coalesce(skipped IS NULL AND accession = (SELECT accession FROM d WHERE skipped IS NULL ORDER BY total_bytes, accession LIMIT 1), false) AS selected FROM d""",
@@ -225,7 +225,7 @@ def publish_roundtrip(t):
         refused = True
     back = t.spark.read.parquet(path)
     return back.groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("keys")).withColumns(
-        {"refused": F.lit(refused), "published_rows": F.lit(receipt["rows"])}
+        {"refused": F.lit(refused), "published_rows": F.lit(receipt["rows"]).cast("long")}
     )
 
 

@@ -482,7 +482,7 @@ def apply_scope(t):
     "snapshot_audit",
     "A-24",
     f"""WITH {BASE_SQL}, v AS (SELECT *, 'v' || repetition AS version, code IS NULL AS carried FROM att), s AS (SELECT version, count(*) AS observations, count(*) - count(DISTINCT ("group", model, case_id, repetition)) AS duplicates,
-  count(*) FILTER (carried) AS carried_observations FROM v GROUP BY version), r(version, observations_stated) AS (VALUES ('v1', 1), ('v2', 2), ('v9', 9))
+  count(*) FILTER (carried) AS carried_observations FROM v GROUP BY version), r(version, observations_stated) AS (VALUES ('v1', CAST(1 AS BIGINT)), ('v2', 2), ('v9', 9))
 SELECT *, coalesce(duplicates = 0 AND observations = observations_stated, false) AS consistent FROM s FULL JOIN r USING (version)""",
 )
 def snapshot_audit(t):

@@ -401,7 +401,7 @@ def _regions(t):
 @query(
     "sequence_window",
     "PRJ-11",
-    f"""WITH {SEQS}, {REGIONS_SQL} SELECT doc_id, s AS start, e AS "end",
+    f"""WITH {SEQS}, {REGIONS_SQL} SELECT doc_id, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS "end",
   length(substring(seq, s, e - s + 1)) AS n, sha256(substring(seq, s, e - s + 1)) AS digest
 FROM seqs JOIN regions USING (doc_id)""",
 )

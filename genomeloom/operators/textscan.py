@@ -81,7 +81,7 @@ def scan_secrets(df: DataFrame, keys: Sequence[str], text: str, fixtures_allowed
         return F.transform(values, lambda v: F.struct(F.lit(category).alias("category"), v.alias("value")))
 
     found = F.concat(*[matches(c, p) for c, p in SECRET_PATTERNS.items()])
-    rows = lines.select(*keys, "__allowed", (F.col("n") + 1).alias("line"), F.explode(found).alias("s"))
+    rows = lines.select(*keys, "__allowed", (F.col("n") + 1).cast("long").alias("line"), F.explode(found).alias("s"))
     fixture = (F.col("s.category") == "api_key_literal") & F.col("s.value").rlike(FIXTURE_PREFIX) & F.col("__allowed")
     return rows.select(*keys, F.col("s.category").alias("category"), "line", fixture.alias("fixture"))
 
