@@ -181,18 +181,18 @@ def final_observations(t):
 @query(
     "check_attempts",
     "J-15",
-    f"""WITH {BASE_SQL}, k AS (SELECT *, l_orderkey < 60 AS lost FROM att WHERE repetition <= 3),
-n AS (SELECT "group", model, case_id, repetition, count(*) FILTER (NOT lost) AS calls, bool_or(lost) AS any_lost,
-  arg_max(lost, (l_orderkey, l_extendedprice)) AS last_lost, max(CASE WHEN lost THEN NULL ELSE rn END) AS m FROM
-  (SELECT *, row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey, l_extendedprice) - 1 AS rn FROM k) GROUP BY ALL)
-SELECT problem, count(*) AS n FROM (SELECT CASE WHEN calls = 0 THEN 'no_attempts' WHEN m <> calls - 1 THEN 'numbering' END AS problem FROM n) GROUP BY ALL""",
+    f"""WITH {BASE_SQL}, k AS (SELECT *, elapsed_seconds IS NULL AS lost, status || '|' || coalesce(verdict, '') || '|' || coalesce(root_cause, '') AS said,
+  row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey, l_extendedprice) - 1 AS rn FROM att WHERE repetition <= 3),
+n AS (SELECT "group", model, case_id, repetition, count(*) FILTER (NOT lost) AS calls, max(rn) FILTER (NOT lost) AS m, arg_max(said, rn) AS stated,
+  arg_max(said, rn) FILTER (NOT lost) AS kept FROM k GROUP BY ALL)
+SELECT problem, count(*) AS n FROM (SELECT CASE WHEN calls = 0 THEN 'no_attempts' WHEN m <> calls - 1 THEN 'numbering' WHEN stated <> kept THEN 'differs_from_last' END AS problem FROM n) GROUP BY ALL""",
 )
 def check_attempts(t):
-    """Observations against their attempts when the earliest calls were lost."""
+    """Observations against their attempts when calls without a recorded time were lost."""
     numbered = ordinal(
         attempts(t).where("repetition <= 3"), P.SLOT, ORDER, F.floor(F.col("l_orderkey") / 4096), "attempt"
     )
-    kept = numbered.where("l_orderkey >= 60")
+    kept = numbered.where("elapsed_seconds IS NOT NULL")
     found = P.check_attempts(observations(t), kept, ["status", "verdict", "root_cause"])
     return found.groupBy("problem").agg(F.count("*").alias("n"))
 

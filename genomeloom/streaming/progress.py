@@ -9,7 +9,10 @@ from ..operators.scoring import ARM, SLOT
 
 
 def accepted_slots(records: DataFrame) -> DataFrame:
-    """First observation of every slot; later ones are dropped by the state store."""
+    """First observation of every slot; later ones are dropped by the state store.
+
+    The state is one key per planned slot, so the plan bounds it.
+    """
     good = records.where(F.col("_corrupt_record").isNull() & (F.col("record_type") == "observation"))
     return good.select(*SLOT, "status").dropDuplicates(SLOT)
 

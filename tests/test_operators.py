@@ -200,3 +200,34 @@ def test_bundle_reasons(spark):
     schema = "path string, size_bytes long, sha256 string"
     got = {r.path: r.reason for r in C.verify_bundle(spark.createDataFrame(m, schema), spark.createDataFrame(f, schema)).collect()}
     assert got == {"a": "ok", "b": "duplicate_entry", "c": "size", "d": "sha256", "../e": "unsafe_path", "f": "missing", "g//h": "unsafe_path", "z": "extra"}
+
+
+def test_near_top_with_one_hot_query(spark):
+    rng = random.Random(3)
+    rows = [("hot" if rng.random() < 0.5 else f"q{rng.randint(0, 30)}", f"s{rng.randint(0, 50)}", float(rng.randint(1, 400)), 1.0, 60.0) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "qseqid string, sseqid string, bitscore double, evalue double, qcovhsp double")
+    want = {}
+    for q in {r[0] for r in rows}:
+        top = max(r[2] for r in rows if r[0] == q)
+        near = [r for r in rows if r[0] == q and r[2] >= top * (1 - 0.05)]
+        want[q] = (len(near), len({r[1] for r in near}))
+    hits = {r.qseqid: r.close for r in H.near_top(df).collect()}
+    subjects = {r.qseqid: r.close for r in H.near_top(df, unit="subjects").collect()}
+    assert {q: (hits[q], subjects[q]) for q in want} == want
+
+
+def test_quarantine_and_preview(spark):
+    df = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1)], "k string, v long")
+    good, bad = W.quarantine(df, F.when(F.col("v") > 40, "large"))
+    assert (good.count(), bad.count()) == (42, 9)
+    got = sorted(map(tuple, W.preview(df, ["k"], ["v"], 3).collect()))
+    assert got == [("a", 0), ("a", 1), ("a", 2), ("b", 1)]
+
+
+def test_pieces_and_window(spark):
+    df = spark.createDataFrame([("a", "ACGTACGTAC"), ("b", "TTTT")], "id string, seq string")
+    regions = spark.createDataFrame([("a", 3, 8), ("b", 4, 9)], "id string, start long, end long")
+    parts = S.piece_window(S.pieces_of(df, ["id"], size=4), regions, ["id"]).orderBy("id", "part_start").collect()
+    assert [(r.id, r.part_start, r.bases) for r in parts] == [("a", 3, "GT"), ("a", 5, "ACGT"), ("b", 4, "T")]
+    whole = {r.id: r.bases for r in S.sequence_window(df, regions, "id").collect()}
+    assert whole == {"a": "GTACGT", "b": "T"}
