@@ -16,7 +16,10 @@ WORD = f"[^{SPACES}]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    tune(spark)
+    # Rows of these tables are texts: a batch for Python holds few of them, and few bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def without(df: DataFrame, outputs: Sequence[str]) -> DataFrame:

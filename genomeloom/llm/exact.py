@@ -30,7 +30,8 @@ def frequent_digests(digests: DataFrame, tracked: int = TRACKED, heavy: int = HE
     parts = digests.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(text_sha256, {tracked})").alias("counters")
     )
-    merged = parts.agg(F.expr(f"approx_top_k_combine(counters, {tracked})").alias("counters"))
+    # Grouped under one key: a task without rows then adds no (unreadable) empty summary.
+    merged = parts.groupBy(F.floor(F.col("part") / FAN_IN)).agg(F.expr(f"approx_top_k_combine(counters, {tracked})").alias("counters"))
     found = merged.select(F.explode(F.expr(f"approx_top_k_estimate(counters, {heavy})")).alias("hit"))
     return found.select(F.col("hit.item").alias("text_sha256")).where(F.col("text_sha256").isNotNull())
 

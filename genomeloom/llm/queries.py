@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, quality, shard
+from . import exact, lines, packing, quality, shard
 from .common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,8 @@ def _over(*names: str, of: Callable[..., DataFrame]) -> Runner:
 
 ENTRIES: dict[str, tuple[Runner, str | None]] = {
     "op2_hypergeometric_shards": (_over("documents", of=shard.op2_hypergeometric_shards), None),
+    "op3_winnowed_lines": (_over("documents", of=lines.op3_winnowed_lines), None),
+    "op4_planned_best_fit": (_over("documents", of=packing.op4_planned_best_fit), None),
     "op7_certified_cutoffs": (_over("documents", "labels", of=quality.op7_certified_cutoffs), quality.SQL),
     "op9_heavy_hitter_dedup": (_over("documents", of=exact.op9_heavy_hitter_dedup), exact.SQL),
 }
