@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 from .common import whole_text
@@ -212,7 +213,7 @@ def dedup_lines(
         "__llm_runs",
         F.col(text_col).cast("binary").alias("__llm_text"),
     )
-    return staged.mapInArrow(clean, out.add("n_lines", "int").add("n_removed", "int"))
+    return staged.mapInArrow(clean, out.add("n_lines", T.IntegerType()).add("n_removed", T.IntegerType()))
 
 
 def op3_winnowed_lines(docs: DataFrame) -> DataFrame:
