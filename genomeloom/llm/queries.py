@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, lines, packing, quality, shard
+from . import chat, exact, lines, mixing, packing, quality, shard, warc
 from .common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +17,14 @@ def _over(*names: str, of: Callable[..., DataFrame]) -> Runner:
 
 
 ENTRIES: dict[str, tuple[Runner, str | None]] = {
+    "op1_temperature_mix": (_over("documents", of=mixing.op1_temperature_mix), None),
     "op2_hypergeometric_shards": (_over("documents", of=shard.op2_hypergeometric_shards), None),
     "op3_winnowed_lines": (_over("documents", of=lines.op3_winnowed_lines), None),
     "op4_planned_best_fit": (_over("documents", of=packing.op4_planned_best_fit), None),
+    "op5_linked_tool_calls": (_over("conversations", of=chat.op5_linked_tool_calls), None),
     "op7_certified_cutoffs": (_over("documents", "labels", of=quality.op7_certified_cutoffs), quality.SQL),
     "op9_heavy_hitter_dedup": (_over("documents", of=exact.op9_heavy_hitter_dedup), exact.SQL),
+    "op10_derived_records": (_over("pages", of=warc.op10_derived_records), None),
 }
 
 

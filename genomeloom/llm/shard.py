@@ -20,7 +20,7 @@ from .common import bind, unit_interval, whole_text, without
 
 FAN_OUT = 64
 # Rows that one task permutes at the end.
-CELL_ROWS = 100_000
+CELL_ROWS = 20_000
 # Standard deviations around the mean that a draw looks at: the rest has a chance below 1e-18.
 REACH = 9.0
 # Largest table of matrix rows or cell offsets that is sent to every task.
