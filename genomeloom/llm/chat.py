@@ -313,7 +313,7 @@ def calls_of(turns: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     pick = F.pmod(F.crc32(text.cast("binary")), F.lit(4))
-    words = F.slice(F.split(text, " "), 1, 600)
+    words = F.split(text, " ")
     targets = F.array(*[F.lit(x) for x in ("de", "en", "es", "fr", "it")])
     arguments = (
         F.when(pick == 0, F.to_json(F.struct(text.alias("query"), F.size(words).alias("limit"))))
