@@ -61,7 +61,7 @@ def labelled_shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
         at = np.arange(len(ordered))
         seen = np.empty(len(ordered), np.uint64)
         seen[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
-        rolled = mixed(rolled + seen * np.uint64(0xC2B2AE3D27D4EB4F))
+        rolled = np.where(seen > 0, mixed(rolled + seen * np.uint64(0xC2B2AE3D27D4EB4F)), rolled)
     return rolled
 
 
