@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact, lines, mixing, near, packing, quality, shard, warc
+from . import chat, exact, lines, mixing, near, packing, ppm, quality, shard, warc
 from .common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ ENTRIES: dict[str, tuple[Runner, str | None]] = {
     "op3_winnowed_lines": (_over("documents", of=lines.op3_winnowed_lines), None),
     "op4_planned_best_fit": (_over("documents", of=packing.op4_planned_best_fit), None),
     "op5_linked_tool_calls": (_over("conversations", of=chat.op5_linked_tool_calls), None),
+    "op6_partial_matching": (_over("documents", of=ppm.op6_partial_matching), None),
     "op7_certified_cutoffs": (_over("documents", "labels", of=quality.op7_certified_cutoffs), quality.SQL),
     "op8_order_minhash": (_over("documents", of=near.op8_order_minhash), None),
     "op9_heavy_hitter_dedup": (_over("documents", of=exact.op9_heavy_hitter_dedup), exact.SQL),
