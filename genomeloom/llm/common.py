@@ -17,8 +17,8 @@ WORD = f"[^{SPACES}]+"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tune(spark)
-    # Rows of these tables are texts: a batch for Python holds few of them, and few bytes.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    # Rows of these tables are texts: what a batch for Python holds is bounded in bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

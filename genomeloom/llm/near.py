@@ -210,10 +210,11 @@ def components(edges: DataFrame) -> DataFrame:
             break
         mark = sign
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        # Stored, so that the join below meets two plain exchanges and a hot key can be split.
+        least = materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, "edges")
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         hung = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hung.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
         now = materialize(small, "edges")
@@ -297,6 +298,7 @@ def near_classes(
         .where(F.col("h.key") != F.col("last"))
         .select("bucket", F.col("h.key").alias("head"), F.col("h.words").alias("head_words"))
     )
+    heads = materialize(heads, "heads")
     members = materialize(buckets.join(heads, "bucket").dropDuplicates(["bucket", "key"]), "members")
     # One row stands for each text that met another one; its copies do not travel.
     first = rows.groupBy(F.col("__llm_key").alias("key")).agg(F.min(F.struct("__llm_id")).alias("f"))

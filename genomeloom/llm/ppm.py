@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, scratch
 from .common import whole_text
 
-ORDER = 4
+ORDER = 5
 BITS = 9  # of a symbol: 256 bytes, the end, and the place before a text
 END, BEFORE = 256, 257
 SYMBOLS = 257
