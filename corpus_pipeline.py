@@ -1,19 +1,57 @@
-"""Corpus pipeline over ``documents``: quality rules, line dedup, near-dedup, mixing, packing."""
+"""Corpus pipeline over ``documents``: quality rules, line dedup, near-dedup, mixing, packing.
+
+A stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from genomeloom.llm import quality
-from genomeloom.llm.common import table
+from genomeloom.llm import lines, mixing, near, packing, quality
+from genomeloom.llm.common import prepare, table
 from genomeloom.session import materialize
 
 
-def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the certified cutoffs of their language let pass."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality", keep_good)]
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, later repeats of a run of lines taken out; n_chars follows the text."""
+    prepare(spark)
+    cleaned = lines.dedup_lines(docs)
+    length = F.length("text").cast("long")
+    return cleaned.select(*[length.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    prepare(spark)
+    return near.near_classes(docs).where("kept").select(*[f"`{c}`" for c in docs.columns])
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture uses them: each at least once, none of a source more than MAX_REPEATS times over."""
+    prepare(spark)
+    return mixing.mix(docs).select(*[f"`{c}`" for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their token ids and their place in training sequences."""
+    prepare(spark)
+    return packing.pack(docs, packing.word_tokenizer())
+
+
+STAGES = [
+    ("quality", good_documents),
+    ("lines", without_repeated_lines),
+    ("near", without_near_copies),
+    ("mixing", mixed),
+    ("packing", packed),
+]
+# Sketches, token ids and permutations cannot be written in SQL; tests compare with plain Python.
 ORACLE_SQL = None
 
 

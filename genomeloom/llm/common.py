@@ -15,11 +15,14 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD = f"[^{SPACES}]+"
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings that the operators count on: texts differ in length, so a batch for Python is bounded in bytes."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tune(spark)
-    # Rows of these tables are texts: what a batch for Python holds is bounded in bytes.
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def without(df: DataFrame, outputs: Sequence[str]) -> DataFrame:
