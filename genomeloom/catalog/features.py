@@ -223,7 +223,7 @@ def dangling_parents(t):
 SELECT root AS ancestor, leaves, parents FROM x""",
 )
 def ancestors(t):
-    """Five-level climb: lineitem to order, customer, nation and region."""
+    """Fourteen-level climb: lineitem to order, customer, nine groups of a nation, nation and region."""
     none = F.lit(None).cast("string")
 
     def node(df, kind, fid, parent):
@@ -237,10 +237,15 @@ def ancestors(t):
     def tag(prefix, col):
         return F.concat(F.lit(prefix), F.col(col))
 
+    def step(i):
+        return F.concat(F.lit("s"), F.col("n_nationkey"), F.lit("_"), i)
+
+    steps = t.nation.select("n_nationkey", F.explode(F.sequence(F.lit(1), F.lit(9))).alias("i"))
     graph = (
         node(t.region, "root", tag("r", "r_regionkey"), None)
         .unionByName(node(t.nation, "branch", tag("n", "n_nationkey"), tag("r", "n_regionkey")))
-        .unionByName(node(t.customer, "gene", tag("g", "c_custkey"), tag("n", "c_nationkey")))
+        .unionByName(node(steps, "branch", step(F.col("i")), F.when(F.col("i") < 9, step(F.col("i") + 1)).otherwise(tag("n", "n_nationkey"))))
+        .unionByName(node(t.customer, "gene", tag("g", "c_custkey"), F.concat(F.lit("s"), "c_nationkey", F.lit("_1"))))
         .unionByName(node(t.orders, "mRNA", tag("t", "o_orderkey"), tag("g", "o_custkey")))
         .unionByName(node(t.lineitem, "CDS", None, tag("t", "l_orderkey")))
     )

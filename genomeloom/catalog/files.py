@@ -83,11 +83,20 @@ def read_checksums(t):
     return S.resolve_checksums(S.read_checksums(t.spark, path))
 
 
-@query("inventory_files", "SRC-11")
+@query(
+    "inventory_files",
+    "SRC-11",
+    """WITH g AS (SELECT 'c_nationkey=' || c_nationkey AS folder, string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS body FROM customer GROUP BY c_nationkey)
+SELECT folder, CAST(strlen(body) AS BIGINT) AS size_bytes, sha256(body) AS sha256 FROM g""",
+)
 def inventory_files(t):
-    """Path, size and digest of the table files themselves."""
-    rows = S.inventory_files(t.spark, t.root, "*.parquet")
-    return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "size_bytes", "sha256")
+    """Size and digest of text files, one per nation with its customers."""
+    path = scratch(t.spark, "inventory")
+    rows = t.customer.select("c_nationkey", "c_custkey", F.col("c_name").alias("value"))
+    ordered = rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").drop("c_custkey")
+    ordered.write.partitionBy("c_nationkey").text(path)
+    found = S.inventory_files(t.spark, path, "part-*")
+    return found.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"), "size_bytes", "sha256")
 
 
 @query(

@@ -207,16 +207,16 @@ def verify_bundle(t):
     "C-16 SRC-10 SRC-11 J-17",
     """WITH c AS (SELECT 'set/' || source || '/' || n_chars AS path, count(DISTINCT sha256(text)) AS n, max(sha256(text)) AS sha
    FROM documents WHERE lang <> 'es' GROUP BY 1),
-f AS (SELECT 'set/' || source || '/' || n_chars AS path, max(sha256(CASE WHEN lang = 'fr' THEN text || 'x' ELSE text END)) AS sha, max(strlen(text)) AS sz
-   FROM documents WHERE source <> 'src7' GROUP BY 1),
-r AS (SELECT split_part(coalesce(c.path, f.path), '/', 2) AS source_group, CASE WHEN c.n > 1 THEN 'conflict' WHEN f.sha IS NULL THEN 'missing'
-   WHEN c.n IS NULL THEN 'unlisted' WHEN c.sha = f.sha THEN 'verified' ELSE 'changed' END AS o, sz FROM c FULL JOIN f ON c.path = f.path)
+f AS (SELECT 'set/' || source || '/' || n_chars AS path, CASE WHEN source <> 'src3' THEN max(sha256(CASE WHEN lang = 'fr' THEN text || 'x' ELSE text END)) END AS sha, max(strlen(text)) AS sz, true AS there
+   FROM documents WHERE source <> 'src7' GROUP BY 1, source),
+r AS (SELECT split_part(coalesce(c.path, f.path), '/', 2) AS source_group, CASE WHEN c.n > 1 THEN 'conflict' WHEN f.there IS NULL THEN 'missing'
+   WHEN c.n IS NULL THEN 'unlisted' WHEN f.sha IS NULL THEN 'unverified' WHEN c.sha = f.sha THEN 'verified' ELSE 'changed' END AS o, sz FROM c FULL JOIN f ON c.path = f.path)
 SELECT source_group, count(*) FILTER (o = 'verified') AS verified, count(*) FILTER (o = 'changed') AS changed, count(*) FILTER (o = 'conflict') AS conflict,
-  count(*) FILTER (o = 'missing') AS missing, count(*) FILTER (o = 'unlisted') AS unlisted,
+  count(*) FILTER (o = 'missing') AS missing, count(*) FILTER (o = 'unlisted') AS unlisted, count(*) FILTER (o = 'unverified') AS unverified,
   CAST(coalesce(sum(sz) FILTER (o = 'verified'), 0) AS BIGINT) AS verified_bytes FROM r GROUP BY source_group""",
 )
 def source_receipts(t):
-    """Checksum lists against files per source; paths listed with two digests are excluded."""
+    """Checksum lists against files per source; paths listed with two digests are excluded, one source has no digests."""
     from ..sources.tables import parse_checksums, resolve_checksums
 
     path = F.concat_ws("/", F.lit("set"), "source", "n_chars")
@@ -225,7 +225,7 @@ def source_receipts(t):
     files = (
         t.documents.where("source <> 'src7'")
         .groupBy(path.alias("path"))
-        .agg(F.max(F.sha2(text, 256)).alias("sha256"), F.max(F.octet_length("text").cast("long")).alias("size_bytes"))
+        .agg(F.max(F.when(F.col("source") != "src3", F.sha2(text, 256))).alias("sha256"), F.max(F.octet_length("text").cast("long")).alias("size_bytes"))
     )
     return C.source_receipts(resolve_checksums(parse_checksums(lines)), files, F.split("path", "/")[1])
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .spread import running_sums
 
 # Feature kinds the graph knows.
@@ -108,12 +109,12 @@ def dangling_parents(features: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def ancestors(features: DataFrame, keys: Sequence[str], stop_kind: str = "gene", rounds: int = 3) -> DataFrame:
-    """Nearest ancestor of ``stop_kind`` for every leaf link: ``keys, child, parent, ancestor``.
+def ancestors(features: DataFrame, keys: Sequence[str], stop_kind: str = "gene") -> DataFrame:
+    """Nearest ancestor of ``stop_kind`` for every leaf link: ``keys, child, parent, ancestor, reason``.
 
-    Inner nodes climb by pointer jumping: each round doubles the levels covered,
-    so three rounds resolve eight. Leaves, the bulk of the rows, join once at
-    the end. A link that never meets the kind keeps a null ancestor.
+    Inner nodes climb by pointer jumping, each round twice as far as the one before, until none can climb on: any
+    depth is reached in logarithmically many rounds, each stored once. Leaves, the bulk of the rows, join once
+    at the end. ``reason`` tells why an ancestor is null: ``unknown_parent``, ``no_ancestor``, or ``cycle``.
     """
     nodes = features.where(F.col("fid").isNotNull() & ~F.col("kind").isin(*LEAVES))
     hop = nodes.select(
@@ -122,21 +123,32 @@ def ancestors(features: DataFrame, keys: Sequence[str], stop_kind: str = "gene",
         F.when(F.col("kind") == stop_kind, F.col("fid")).alias("ancestor"),
         F.explode_outer("parents").alias("up"),
     )
-    for _ in range(rounds):
+    climbing = F.col("ancestor").isNull() & F.col("up").isNotNull()
+    hop = materialize(hop, "climb")
+    # A chain without a circle is shorter than the number of nodes.
+    for _ in range(hop.count().bit_length() + 1):
+        if hop.where(climbing).isEmpty():
+            break
         above = hop.select(
             *keys, F.col("node").alias("up"), F.col("ancestor").alias("a2"), F.col("up").alias("u2")
         )
-        hop = hop.join(above, [*keys, "up"], "left").select(
-            *keys,
-            "node",
-            F.coalesce("ancestor", "a2").alias("ancestor"),
-            F.when(F.coalesce("ancestor", "a2").isNull(), F.col("u2")).alias("up"),
+        moved = hop.where(climbing).join(above, [*keys, "up"], "left").select(
+            *keys, "node", F.col("a2").alias("ancestor"), F.when(F.col("a2").isNull(), F.col("u2")).alias("up")
         )
-    found = hop.select(*keys, F.col("node").alias("parent"), "ancestor").distinct()
+        hop = materialize(hop.where(~climbing).unionByName(moved.distinct()), "climb")
+    found = hop.select(*keys, F.col("node").alias("parent"), "ancestor", climbing.alias("__open")).distinct()
     links = features.where(F.col("kind").isin(*LEAVES)).select(
         *keys, F.col("fid").alias("child"), F.explode("parents").alias("parent")
     )
-    return links.join(found, [*keys, "parent"], "left").select(*keys, "child", "parent", "ancestor")
+    reason = (
+        F.when(F.col("ancestor").isNotNull(), F.lit(None).cast("string"))
+        .when(F.col("__open").isNull(), F.lit("unknown_parent"))
+        .when(F.col("__open"), F.lit("cycle"))
+        .otherwise(F.lit("no_ancestor"))
+    )
+    return links.join(found, [*keys, "parent"], "left").select(
+        *keys, "child", "parent", "ancestor", reason.alias("reason")
+    )
 
 
 def longest_per_gene(models: DataFrame, keys: Sequence[str], gene: str, ident: str, length: str) -> DataFrame:

@@ -134,45 +134,51 @@ def unsafe_path(path: Column) -> Column:
 def verify_bundle(manifest: DataFrame, files: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Manifest against files: every path with ``reason`` (``ok`` when size and digest agree).
 
-    Both sides: ``keys, path, size_bytes, sha256``. Control files are no payload.
+    Both sides: ``keys, path, size_bytes, sha256``. Control files are no payload. A file is there when it
+    is listed on its side; one whose digest is not known is ``unverified``, neither missing nor changed.
     """
     listed = manifest.groupBy(*keys, "path").agg(
         F.count("*").alias("entries"), F.max("size_bytes").alias("m_size"), F.max("sha256").alias("m_sha")
     )
     real = files.where(~F.col("path").isin(*CONTROL_FILES)).select(
-        *keys, "path", F.col("size_bytes").alias("f_size"), F.col("sha256").alias("f_sha")
+        *keys, "path", F.col("size_bytes").alias("f_size"), F.col("sha256").alias("f_sha"), F.lit(True).alias("there")
     )
     both = listed.join(real, [*keys, "path"], "full_outer")
     reason = (
         F.when(F.col("entries").isNull(), F.lit("extra"))
         .when(unsafe_path(F.col("path")) | F.col("path").isin(*CONTROL_FILES), F.lit("unsafe_path"))
         .when(F.col("entries") > 1, F.lit("duplicate_entry"))
-        .when(F.col("f_sha").isNull() & F.col("f_size").isNull(), F.lit("missing"))
+        .when(F.col("there").isNull(), F.lit("missing"))
         .when(~F.col("m_size").eqNullSafe(F.col("f_size")), F.lit("size"))
+        .when(F.col("f_sha").isNull(), F.lit("unverified"))
         .when(~F.col("m_sha").eqNullSafe(F.col("f_sha")), F.lit("sha256"))
         .otherwise(F.lit("ok"))
     )
     return both.select(*keys, "path", reason.alias("reason"), F.coalesce("f_size", F.lit(0)).alias("bytes"))
 
 
+OUTCOMES = ("verified", "changed", "conflict", "missing", "unlisted", "unverified")
+
+
 def source_receipts(checksums: DataFrame, files: DataFrame, group: Column) -> DataFrame:
     """Per source group: files verified against their list, conflicts excluded, missing and changed ones.
 
     ``checksums``: one row per path from ``resolve_checksums``; ``files``: ``path, size_bytes, sha256``.
     """
     both = checksums.select("path", "conflict", F.col("sha256").alias("listed")).join(
-        files.select("path", "size_bytes", F.col("sha256").alias("actual")), "path", "full_outer"
+        files.select("path", "size_bytes", F.col("sha256").alias("actual"), F.lit(True).alias("there")), "path", "full_outer"
     )
     outcome = (
         F.when(F.col("conflict"), F.lit("conflict"))
-        .when(F.col("actual").isNull(), F.lit("missing"))
+        .when(F.col("there").isNull(), F.lit("missing"))
         .when(F.col("conflict").isNull(), F.lit("unlisted"))
+        .when(F.col("actual").isNull(), F.lit("unverified"))
         .when(F.col("listed") == F.col("actual"), F.lit("verified"))
         .otherwise(F.lit("changed"))
     )
     rows = both.withColumns({"outcome": outcome, "source_group": group})
     return rows.groupBy("source_group").agg(
-        *[F.count_if(F.col("outcome") == o).alias(o) for o in ("verified", "changed", "conflict", "missing", "unlisted")],
+        *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES],
         F.coalesce(F.sum(F.when(F.col("outcome") == "verified", F.col("size_bytes"))), F.lit(0)).alias("verified_bytes"),
     )
 

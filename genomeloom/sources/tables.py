@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,17 +16,32 @@ from .sequences import read_lines
 
 # The seventeen columns of a hit table, in order.
 HIT_COLUMNS = (
-    "qseqid sseqid pident length mismatch gapopen qstart qend sstart send "
-    "evalue bitscore qlen slen qcovhsp scovhsp stitle"
-).split()
+    "qseqid",
+    "sseqid",
+    "pident",
+    "length",
+    "mismatch",
+    "gapopen",
+    "qstart",
+    "qend",
+    "sstart",
+    "send",
+    "evalue",
+    "bitscore",
+    "qlen",
+    "slen",
+    "qcovhsp",
+    "scovhsp",
+    "stitle",
+)
 HIT_NUMERIC = ("evalue", "bitscore", "qcovhsp", "scovhsp")
 
 # Identifiers recognised by content, never by column number.
 DOMAIN_PATTERN = r"(IPR\d{6,})"
 TERM_PATTERN = r"(GO:\d{7})"
 
-# A file beyond this size is listed without digest: one row cannot hold it.
-MAX_DIGEST_BYTES = 2_000_000_000
+# Bytes of a file that a task holds while it takes the digest.
+READ_BYTES = 1 << 20
 
 
 def read_hits(spark: SparkSession, path) -> DataFrame:
@@ -92,22 +113,36 @@ def resolve_checksums(rows: DataFrame) -> DataFrame:
 
 
 def inventory_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
-    """``path, size_bytes, sha256`` of every file below ``path``.
+    """``path, size_bytes, sha256`` of every file below ``path``, of any size.
 
-    Content is read only for files one row can hold; larger ones stay in the
-    list with a null digest.
+    The listing reads no content; each file is then streamed through the digest in small
+    reads where its row is, from any store that Arrow opens by address (local, HDFS, S3, GCS).
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
-    small = files.where(F.col("length") <= MAX_DIGEST_BYTES).select(
-        "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    large = files.where(F.col("length") > MAX_DIGEST_BYTES).select(
-        "path", F.col("length").alias("size_bytes"), F.lit(None).cast("string").alias("sha256")
-    )
-    return small.unionByName(large)
+    files = reader.load(path).select("path", F.col("length").alias("size_bytes"))
+
+    def digest(batches):
+        for batch in batches:
+            digests = pa.array([file_digest(p) for p in batch.column(0).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, digests], ["path", "size_bytes", "sha256"])
+
+    return files.mapInArrow(digest, "path string, size_bytes long, sha256 string")
+
+
+def file_digest(path: str, step: int = READ_BYTES) -> str:
+    """SHA-256 of one file, read ``step`` bytes at a time."""
+    local = re.sub(r"^file:/+", "/", path)
+    if local.startswith("/"):
+        files, place = fs.LocalFileSystem(), local
+    else:
+        files, place = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+    total = hashlib.sha256()
+    with files.open_input_stream(place, buffer_size=None) as stream:
+        while piece := stream.read(step):
+            total.update(piece)
+    return total.hexdigest()
 
 
 def read_agp(spark: SparkSession, path) -> DataFrame:

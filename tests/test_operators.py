@@ -130,6 +130,8 @@ def test_gene_model_fixture(spark, write):
     assert loose == {("exon", "gone", "unknown_parent")}
     up = {(r.parent, r.ancestor) for r in G.ancestors(f, ["acc"]).collect()}
     assert up == {("t1", "g1"), ("t2", "g1"), ("t3", "g2"), ("gone", None)}
+    why = {r.parent: r.reason for r in G.ancestors(f, ["acc"]).collect()}
+    assert why == {"t1": None, "t2": None, "t3": None, "gone": "unknown_parent"}
     blocks = G.gene_blocks(f, ["acc"], ["block", "pos"], F.col("block"), full_source=True)
     assert {r.gene_block: r.n for r in blocks.groupBy("gene_block").agg(F.count("*").alias("n")).collect()} == {1: 4, 2: 4, 3: 3}
     assert G.gene_blocks(f, ["acc"], ["block", "pos"], F.col("block")).agg(F.max("gene_block")).first()[0] == 2
@@ -231,3 +233,19 @@ def test_pieces_and_window(spark):
     assert [(r.id, r.part_start, r.bases) for r in parts] == [("a", 3, "GT"), ("a", 5, "ACGT"), ("b", 4, "T")]
     whole = {r.id: r.bases for r in S.sequence_window(df, regions, "id").collect()}
     assert whole == {"a": "GTACGT", "b": "T"}
+
+
+def test_ancestors_of_any_depth_and_circles(spark):
+    chain = [("x", "region", f"n{i}", [f"n{i + 1}"]) for i in range(40)] + [("x", "gene", "n40", [])]
+    ring = [("x", "region", f"r{i}", [f"r{(i + 1) % 5}"]) for i in range(5)]
+    loose = [("x", "region", "alone", ["nowhere"])]
+    leaves = [("x", "exon", None, [p]) for p in ("n0", "n39", "r2", "alone", "absent")]
+    rows = spark.createDataFrame(chain + ring + loose + leaves, "acc string, kind string, fid string, parents array<string>")
+    got = {r.parent: (r.ancestor, r.reason) for r in G.ancestors(rows, ["acc"]).collect()}
+    assert got == {
+        "n0": ("n40", None),
+        "n39": ("n40", None),
+        "r2": (None, "cycle"),
+        "alone": (None, "no_ancestor"),
+        "absent": (None, "unknown_parent"),
+    }

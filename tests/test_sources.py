@@ -169,6 +169,23 @@ def test_checksums_and_inventory(spark, write, tmp_path):
     write("tree/sub/f.bin", "hello")
     rows = T.inventory_files(spark, str(tmp_path / "tree")).collect()
     assert [(r.size_bytes, r.sha256) for r in rows] == [(5, hashlib.sha256(b"hello").hexdigest())]
+    # In small reads, as a file of any size is read.
+    name = write("big file.bin", "0123456789" * 1000)
+    want = hashlib.sha256(b"0123456789" * 1000).hexdigest()
+    assert T.file_digest(name, 7) == want == T.file_digest(f"file:{name}", 1 << 20)
+
+
+def test_a_file_without_digest_is_there(spark):
+    from genomeloom.operators import reconcile as C
+    from pyspark.sql import functions as F
+
+    files = spark.createDataFrame([("a", 3_000_000_000, None), ("b", 5, "y")], "path string, size_bytes long, sha256 string")
+    listed = spark.createDataFrame([("a", 3_000_000_000, "x"), ("b", 5, "y"), ("c", 1, "z")], files.schema)
+    reasons = {r.path: r.reason for r in C.verify_bundle(listed, files).collect()}
+    assert reasons == {"a": "unverified", "b": "ok", "c": "missing"}
+    sums = listed.select("path", "sha256", F.lit(False).alias("conflict"))
+    r = C.source_receipts(sums, files, F.lit("all")).first()
+    assert (r.verified, r.unverified, r.missing, r.changed) == (1, 1, 1, 0)
 
 
 def test_logs(spark, write, tmp_path):
