@@ -20,23 +20,75 @@ from .common import whole_text
 CAPACITY = 2048
 END_ID = 0
 # Bytes of words and ids that a task remembers before it starts anew.
-MEMO_BYTES = 24 << 20
+MEMO_BYTES = 32 << 20
 # Pieces that one task numbers within a length.
 BLOCK_ROWS = 500_000
 
 
-def token_bytes(texts: list[bytes | None], memo: dict[bytes, bytes], encode) -> Iterator[bytes]:
-    """Ids of each text as little-endian 32-bit numbers.
+# Marks that these vocabularies never join to a letter before them; one run of them is a token group of its own.
+TAIL = b".,;:!?*#$%&|<>()-"
 
-    ASCII white space always separates tokens of these vocabularies, so the ids of a text are those of
-    its parts, one after another; a part that was seen before is looked up.
+
+class WordCodec:
+    """Ids, as little-endian 32-bit numbers, of texts cut at ASCII white space.
+
+    White space always separates tokens of these vocabularies, and so does the border between letters and a run of
+    marks: the ids of a text are those of its parts, one after another. Parts are remembered. Letters, which
+    give one token with a word end each, are encoded many at a time and told apart by their word ends.
     """
-    parts = [(t or b"").split() for t in texts]
-    new = list({p for text in parts for p in text if p not in memo})
-    for part, ids in zip(new, encode([p.decode("utf-8", "replace") for p in new]), strict=True):
-        memo[part] = ids
-    for text in parts:
-        yield b"".join(map(memo.__getitem__, text))
+
+    def __init__(self, path: str):
+        import numpy as np
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.np = np
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
+        self.memo: dict[bytes, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
+
+    def _encode(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.np.asarray(ids, "<u4").tobytes()
+
+    def _learn_letters(self, words: list[bytes]) -> None:
+        np = self.np
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            blob = self._encode(b" ".join(some).decode())
+            stops = 4 * (np.flatnonzero(self.ends[np.frombuffer(blob, "<u4")]) + 1)
+            if len(stops) == len(some):
+                starts = [0, *stops[:-1].tolist()]
+                self.letters.update(zip(some, (blob[a:b] for a, b in zip(starts, stops.tolist(), strict=True)), strict=True))
+            else:  # a word that the vocabulary takes apart
+                self.letters.update((w, self._encode(w.decode())) for w in some)
+
+    def _learn(self, parts: set[bytes]) -> None:
+        split = []
+        for part in parts:
+            word = part.rstrip(TAIL)
+            text = word.decode("utf-8", "replace")
+            if text.isalpha():
+                split.append((part, word.lower(), part[len(word) :]))
+            else:
+                self.memo[part] = self._encode(part.decode("utf-8", "replace"))
+        self._learn_letters(list({w for _, w, _ in split if w not in self.letters}))
+        tails = {t: self._encode(t.decode()) for t in {t for _, _, t in split}}
+        self.memo.update((part, self.letters[word] + tails[tail]) for part, word, tail in split)
+
+    def bytes_of(self, texts: list[bytes | None]) -> Iterator[bytes]:
+        memo = self.memo
+        parts = [(t or b"").split() for t in texts]
+        self._learn({p for text in parts for p in text if p not in memo})
+        for text in parts:
+            yield b"".join(map(memo.__getitem__, text))
+        size = sum(sum(map(len, m)) + sum(map(len, m.values())) for m in (memo, self.letters))
+        if size > MEMO_BYTES:
+            memo.clear()
+            self.letters.clear()
 
 
 def pieces(
@@ -55,30 +107,17 @@ def pieces(
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-
-        def encode(parts: list[str]) -> Iterator[bytes]:
-            for at in range(0, len(parts), 4096):
-                for got in tokenizer.encode_batch(parts[at : at + 4096], add_special_tokens=False):
-                    yield np.asarray(got.ids, "<u4").tobytes()
-
-        memo: dict[bytes, bytes] = {}
+        codec = WordCodec(tokenizer_path)
         end = end_id.to_bytes(4, "little")
         step = 4 * capacity
         for batch in batches:
             rows, numbers, blobs = [], [], []
-            for row, body in enumerate(token_bytes(batch.column(1).to_pylist(), memo, encode)):
+            for row, body in enumerate(codec.bytes_of(batch.column(1).to_pylist())):
                 body += end
                 for number, at in enumerate(range(0, len(body), step)):
                     rows.append(row)
                     numbers.append(number)
                     blobs.append(body[at : at + step])
-            if sum(map(len, memo)) + sum(map(len, memo.values())) > MEMO_BYTES:
-                memo.clear()
             number = pa.array(numbers, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
