@@ -58,16 +58,19 @@ def overrides(t):
 @query(
     "evaluate_bands",
     "J-11 SRC-14 C-06",
-    f"""WITH {METRICS_SQL}, {BANDS_SQL}, j AS (SELECT m.*, o.lo AS olo, o.hi AS ohi, o.enforce AS oe FROM m LEFT JOIN o ON o.delivery = m.delivery AND o.metric = m.metric AND (o.scope IS NULL OR o.scope = m.taxon)),
+    f"""WITH {METRICS_SQL}, {BANDS_SQL}, j AS (SELECT m.*, o.lo AS olo, o.hi AS ohi, o.enforce AS oe
+  FROM (SELECT * REPLACE (CASE WHEN metric = 'positive_pct' AND delivery % 7 = 3 THEN NULL ELSE value END AS value) FROM m) m LEFT JOIN o ON o.delivery = m.delivery AND o.metric = m.metric AND (o.scope IS NULL OR o.scope = m.taxon)),
 k AS (SELECT j.*, b.id AS band_id, coalesce(olo, b.lo) AS lo, coalesce(ohi, b.hi) AS hi, coalesce(oe, b.enforce, false) AS e FROM j
   LEFT JOIN bands b ON b.metric = j.metric AND b.scope IN (j.taxon, 'any') AND olo IS NULL)
-SELECT delivery, taxon, metric, round(value, 6) AS value, band_id, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, CASE WHEN lo IS NULL THEN 'unknown_metric' WHEN value BETWEEN lo AND hi THEN 'within' ELSE 'out_of_range' END AS status,
+SELECT delivery, taxon, metric, round(value, 6) AS value, band_id, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, CASE WHEN lo IS NULL THEN 'unknown_metric' WHEN value IS NULL THEN 'no_data' WHEN value BETWEEN lo AND hi THEN 'within' ELSE 'out_of_range' END AS status,
   CASE WHEN lo IS NOT NULL AND NOT value BETWEEN lo AND hi AND e THEN 'warning' ELSE 'info' END AS severity,
   CASE WHEN olo IS NOT NULL THEN 'project_reference' WHEN band_id IS NOT NULL THEN 'clade_fallback' ELSE 'none' END AS anchor, NOT e AS advisory_only FROM k""",
 )
 def evaluate_bands(t):
-    """Metrics of every nation against clade bands, project overrides first."""
-    out = B.evaluate_bands(nation_metrics(t), B.band_rows(t.spark, BANDS), overrides(t))
+    """Metrics of every nation against clade bands, project overrides first; some percentages are not known."""
+    lost = (F.col("metric") == "positive_pct") & (F.col("delivery") % 7 == 3)
+    metrics = nation_metrics(t).withColumn("value", F.when(~lost, F.col("value")))
+    out = B.evaluate_bands(metrics, B.band_rows(t.spark, BANDS), overrides(t))
     return out.withColumn("value", F.round("value", 6))
 
 

@@ -62,13 +62,13 @@ def near_top_subjects(t):
     "annotate_best",
     "J-01 SRC-07",
     f"""WITH {HITS_SQL}, {BEST_SQL}, a AS (SELECT 's' || p_partkey || '_' || n AS id, p_name AS annot
-  FROM part, (VALUES (1), (2), (3), (4)) v(n) WHERE p_size > 10)
+  FROM part, (VALUES (1), (2), (3), (4), (5), (6), (7)) v(n) WHERE p_size > 10)
 SELECT qseqid, sseqid, coalesce(annot, '') AS annot, a.id IS NOT NULL AS annotated FROM best LEFT JOIN a ON a.id = sseqid""",
 )
 def annotate_best(t):
     """Best hits with subject descriptions; small parts have none."""
     annot = t.part.where("p_size > 10").select(
-        F.explode(F.array(*[F.concat(F.lit("s"), "p_partkey", F.lit(f"_{n}")) for n in (1, 2, 3, 4)])).alias("id"),
+        F.explode(F.array(*[F.concat(F.lit("s"), "p_partkey", F.lit(f"_{n}")) for n in range(1, 8)])).alias("id"),
         F.col("p_name").alias("annot"),
     )
     best = H.best_hit(H.filter_hits(hits(t)), keep=["sseqid"])
@@ -351,11 +351,21 @@ def validate_integration(t):
 
 @query(
     "quarantined_proteins",
-    "C-04 PRJ-03 T-01",
+    "C-04 PRJ-03",
+    """SELECT 'q' || o_orderkey AS id, CAST(1 AS BIGINT) AS internal_ambiguity FROM orders WHERE o_orderstatus = 'P'""",
+)
+def quarantined_proteins(t):
+    """Every protein set aside for interior ambiguity."""
+    return _integration(t).quarantined
+
+
+@query(
+    "preview_quarantined",
+    "T-01 C-04",
     """SELECT 'q' || o_orderkey AS id, CAST(1 AS BIGINT) AS internal_ambiguity FROM orders WHERE o_orderstatus = 'P'
 ORDER BY o_orderkey LIMIT 20""",
 )
-def quarantined_proteins(t):
-    """First twenty proteins with interior ambiguity, by order number."""
+def preview_quarantined(t):
+    """The first twenty of them by order number: a report for people."""
     bad = _integration(t).quarantined
     return bad.orderBy(F.regexp_replace("id", "^q", "").cast("long")).limit(20)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import bands as B
 from ..operators import intake as I
 from ..operators import rules as Z
 from .registry import query
@@ -363,7 +364,7 @@ def rule_outcomes(t):
     f"""WITH {PROFILE_SQL}, v AS (SELECT delivery, CASE WHEN outcome = 'ok' THEN 'pass' WHEN rule = 'PIT-004' THEN 'block' ELSE 'rollback' END AS verdict,
    CASE WHEN outcome = 'ok' THEN 'none' WHEN rule = 'PIT-004' THEN 'protein_internal_ambiguity' WHEN rule = 'PIT-005' THEN 'noncoding_residue' ELSE 'masking_mode_error' END AS root_cause
    FROM rl WHERE rule IN ('PIT-004', 'PIT-005', 'PIT-006') AND outcome <> 'manual'
-  UNION ALL SELECT o_orderkey, CASE WHEN o_totalprice BETWEEN 20000 AND 450000 THEN 'pass' ELSE 'warn' END, 'none' FROM orders WHERE o_orderstatus = 'F'),
+  UNION ALL SELECT o_orderkey, CASE WHEN o_totalprice BETWEEN 20000 AND 450000 THEN 'pass' ELSE 'warn' END, 'none' FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 10 <> 0),
 w AS (SELECT delivery, verdict, root_cause FROM v QUALIFY row_number() OVER (PARTITION BY delivery ORDER BY
    CASE verdict WHEN 'block' THEN 3 WHEN 'rollback' THEN 2 WHEN 'warn' THEN 1 ELSE 0 END DESC, root_cause) = 1)
 SELECT o_orderkey AS delivery, verdict, root_cause, CASE WHEN verdict IS NULL THEN 'not_covered' ELSE 'ok' END AS status
@@ -371,10 +372,14 @@ FROM orders LEFT JOIN w ON w.delivery = o_orderkey""",
 )
 def delivery_verdicts(t):
     """Worst verdict of the three data rules and the bands; not_covered when nothing applies."""
-    bands = t.orders.where("o_orderstatus = 'F'").select(
+    metrics = t.orders.where("o_orderstatus = 'F'").select(
         F.col("o_orderkey").alias("delivery"),
-        F.when(F.col("o_totalprice").between(20000, 450000), "within").otherwise("out_of_range").alias("status"),
+        F.lit(None).cast("string").alias("taxon"),
+        F.lit("total_price").alias("metric"),
+        F.when(F.col("o_custkey") % 10 != 0, F.col("o_totalprice")).alias("value"),
     )
+    band = {"id": "P1", "metric": "total_price", "taxon_scope": "any", "unit": "money", "lo": 20000.0, "hi": 450000.0, "enforce": False}
+    bands = B.evaluate_bands(metrics, B.band_rows(t.spark, [band]))
     return Z.delivery_verdicts(Z.run_rules(profiles(t), ["delivery"]), bands, ["delivery"])
 
 

@@ -66,8 +66,13 @@ def attempts(t):
 ORDER = ["l_orderkey", "l_extendedprice"]
 
 
+def planned_attempts(t):
+    """All lines as attempts of the three planned repetitions: lines 1, 4 and 7 try the first, and so on."""
+    return attempts(t).withColumn("repetition", (F.pmod(F.col("repetition") - 1, F.lit(3)) + 1).cast("int"))
+
+
 def observations(t):
-    return P.final_observations(attempts(t).where("repetition <= 3"), ORDER)
+    return P.final_observations(planned_attempts(t), ORDER)
 
 
 def facts(t):
@@ -92,7 +97,8 @@ att AS (SELECT CASE l_linestatus WHEN 'O' THEN 'B' ELSE 'C' END AS "group", 'm'
   CASE WHEN l_quantity > 5 THEN CAST(l_quantity AS BIGINT) * 10 END AS prompt_tokens, CASE WHEN l_quantity > 5 THEN CAST(l_quantity AS BIGINT) END AS completion_tokens,
   CASE WHEN l_quantity > 2 THEN l_extendedprice END AS elapsed_seconds
   FROM (SELECT *, CASE WHEN l_discount >= 0.1 THEN 'api_error' WHEN l_discount >= 0.09 THEN 'parse_error' ELSE 'ok' END AS status FROM lineitem)),
-fin AS (SELECT *, count(*) OVER (PARTITION BY "group", model, case_id, repetition) AS attempts FROM att WHERE repetition <= 3
+pat AS (SELECT * REPLACE (1 + (repetition - 1) % 3 AS repetition) FROM att),
+fin AS (SELECT *, count(*) OVER (PARTITION BY "group", model, case_id, repetition) AS attempts FROM pat
   QUALIFY row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey DESC, l_extendedprice DESC) = 1),
 arms("group", model) AS (VALUES ('B', 'mA'), ('B', 'mN'), ('B', 'mR'), ('C', 'mA'), ('C', 'mN'), ('C', 'mR')),
 grid AS (SELECT a."group", a.model, cs.*, r.n AS repetition, coalesce(f.status, 'missing') AS status, f.verdict, f.root_cause, f.relax, f.skip, f.code
@@ -182,7 +188,7 @@ def final_observations(t):
     "check_attempts",
     "J-15",
     f"""WITH {BASE_SQL}, k AS (SELECT *, elapsed_seconds IS NULL AS lost, status || '|' || coalesce(verdict, '') || '|' || coalesce(root_cause, '') AS said,
-  row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey, l_extendedprice) - 1 AS rn FROM att WHERE repetition <= 3),
+  row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey, l_extendedprice) - 1 AS rn FROM pat),
 n AS (SELECT "group", model, case_id, repetition, count(*) FILTER (NOT lost) AS calls, max(rn) FILTER (NOT lost) AS m, arg_max(said, rn) AS stated,
   arg_max(said, rn) FILTER (NOT lost) AS kept FROM k GROUP BY ALL)
 SELECT problem, count(*) AS n FROM (SELECT CASE WHEN calls = 0 THEN 'no_attempts' WHEN m <> calls - 1 THEN 'numbering' WHEN stated <> kept THEN 'differs_from_last' END AS problem FROM n) GROUP BY ALL""",
@@ -190,7 +196,7 @@ SELECT problem, count(*) AS n FROM (SELECT CASE WHEN calls = 0 THEN 'no_attempts
 def check_attempts(t):
     """Observations against their attempts when calls without a recorded time were lost."""
     numbered = ordinal(
-        attempts(t).where("repetition <= 3"), P.SLOT, ORDER, F.floor(F.col("l_orderkey") / 4096), "attempt"
+        planned_attempts(t), P.SLOT, ORDER, F.floor(F.col("l_orderkey") / 4096), "attempt"
     )
     kept = numbered.where("elapsed_seconds IS NOT NULL")
     found = P.check_attempts(observations(t), kept, ["status", "verdict", "root_cause"])
@@ -395,11 +401,11 @@ def hypotheses_joint(t):
     return P.hypotheses_joint(score(cases(t), ARMS, observations(t)).results, SPEC)
 
 
-ATTEMPT_SQL = """a AS (SELECT *, row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey, l_extendedprice) - 1 AS attempt FROM att WHERE repetition <= 3)"""
+ATTEMPT_SQL = """a AS (SELECT *, row_number() OVER (PARTITION BY "group", model, case_id, repetition ORDER BY l_orderkey, l_extendedprice) - 1 AS attempt FROM pat)"""
 
 
 def _numbered(t):
-    return ordinal(attempts(t).where("repetition <= 3"), P.SLOT, ORDER, F.floor(F.col("l_orderkey") / 4096), "attempt")
+    return ordinal(planned_attempts(t), P.SLOT, ORDER, F.floor(F.col("l_orderkey") / 4096), "attempt")
 
 
 @query(

@@ -14,7 +14,9 @@ from .ledger import BUDGET_SQL, EVENT_SQL, ORDER, run_events
 from .registry import query
 
 SLOT_SQL = """o AS (SELECT 'B' AS "group", 'm' || o_orderstatus AS model, o_custkey AS case_id, 1 + (length(o_orderpriority) - 5) // 3 AS repetition,
-  CASE WHEN o_custkey < 300 THEN 'api_error' WHEN o_custkey < 500 THEN 'parse_error' ELSE 'ok' END AS status, o_totalprice > 490000 AS torn FROM orders)"""
+  CASE WHEN o_custkey < 300 THEN 'api_error' WHEN o_custkey < 500 THEN 'parse_error' ELSE 'ok' END AS status, o_totalprice > 490000 AS torn, o_totalprice < 20000 AS foreign_plan FROM orders)"""
+
+PLAN = "plan-1"
 
 RECORDS = T.StructType(
     [
@@ -24,6 +26,7 @@ RECORDS = T.StructType(
         T.StructField("case_id", T.LongType()),
         T.StructField("repetition", T.LongType()),
         T.StructField("status", T.StringType()),
+        T.StructField("plan_sha256", T.StringType()),
     ]
 )
 
@@ -39,6 +42,7 @@ def _records(t):
             F.col("o_custkey").alias("case_id"),
             (F.lit(1) + F.floor((F.length("o_orderpriority") - 5) / 3)).cast("long").alias("repetition"),
             status.alias("status"),
+            F.when(F.col("o_totalprice") < 20000, "plan-0").otherwise(PLAN).alias("plan_sha256"),
         )
     )
     torn = F.when(F.col("o_totalprice") > 490000, F.substring(line, 1, 30)).otherwise(line)
@@ -49,16 +53,17 @@ def _records(t):
 @query(
     "stream_progress",
     "ST-01 SRC-09",
-    f"""WITH {SLOT_SQL}, d AS (SELECT "group", model, case_id, repetition, any_value(status) AS status, count(*) AS n FROM o WHERE NOT torn GROUP BY ALL)
-SELECT "group", model, CAST(4500 AS BIGINT) AS planned, count(*) AS completed, count(*) FILTER (status = 'ok') AS status_ok, count(*) FILTER (status = 'api_error') AS status_api_error,
+    f"""WITH {SLOT_SQL}, d AS (SELECT "group", model, case_id, repetition, any_value(status) AS status, count(*) AS n FROM o WHERE NOT torn AND NOT foreign_plan GROUP BY ALL)
+SELECT "group", model, (SELECT 3 * count(*) FROM customer) AS planned, count(*) AS completed, count(*) FILTER (status = 'ok') AS status_ok, count(*) FILTER (status = 'api_error') AS status_api_error,
   count(*) FILTER (status = 'parse_error') AS status_parse_error, CAST(sum(n) - count(*) AS BIGINT) AS duplicates_rejected FROM d GROUP BY ALL""",
 )
 def stream_progress(t):
-    """Progress per arm while records land: duplicates rejected, torn lines skipped."""
+    """Progress per arm against the customers planned as cases: duplicates and other plans rejected, torn lines skipped."""
     records = _records(t)
-    accepted = N.drain(G.accepted_slots(records), "accepted")
-    received = N.drain(G.received_lines(records), "received")
-    return G.progress(accepted, received, 4500)
+    accepted = N.drain(G.accepted_slots(records, PLAN), "accepted")
+    received = N.drain(G.received_lines(records, PLAN), "received")
+    arms = t.orders.select(F.lit("B").alias("group"), F.concat(F.lit("m"), "o_orderstatus").alias("model")).distinct()
+    return G.progress(accepted, received, G.planned_slots(t.customer, arms, 3))
 
 
 @query(

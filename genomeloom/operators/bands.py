@@ -133,7 +133,8 @@ def evaluate_bands(metrics: DataFrame, bands: DataFrame, overrides: DataFrame |
     """Judge ``delivery, taxon, metric, value`` rows against bands.
 
     An override of the same delivery and metric replaces the clade band. Rows no
-    band speaks about come out as ``unknown_metric`` — never as a pass.
+    band speaks about come out as ``unknown_metric``, rows without a value as ``no_data`` — never as a
+    pass and never as a warning.
     """
     m = metrics.select("delivery", "taxon", "metric", "value")
     if overrides is not None:
@@ -175,6 +176,7 @@ def evaluate_bands(metrics: DataFrame, bands: DataFrame, overrides: DataFrame |
     lo, hi = F.coalesce("o_lo", "b_lo"), F.coalesce("o_hi", "b_hi")
     status = (
         F.when(lo.isNull(), F.lit("unknown_metric"))
+        .when(F.col("value").isNull() | F.isnan("value"), F.lit("no_data"))
         .when(F.col("value").between(lo, hi), F.lit("within"))
         .otherwise(F.lit("out_of_range"))
     )

@@ -90,7 +90,7 @@ def delivery_verdicts(outcomes: DataFrame, band_status: DataFrame, keys: Sequenc
     """Rule outcomes and band statuses folded to one verdict; nothing applicable means ``not_covered``.
 
     Only the three data rules conclude anything; a manual rule covers nothing, and
-    an out-of-range band warns without naming a cause.
+    an out-of-range band warns without naming a cause. A metric without band or without value says nothing.
     """
     judged = outcomes.where(F.col("rule").isin(*DATA_RULES) & F.col("outcome").isin("gap", "ok"))
     verdict, cause = F.lit("pass"), F.lit("none")
@@ -98,7 +98,7 @@ def delivery_verdicts(outcomes: DataFrame, band_status: DataFrame, keys: Sequenc
         hit = (F.col("rule") == rule) & (F.col("outcome") == "gap")
         verdict, cause = F.when(hit, F.lit(v)).otherwise(verdict), F.when(hit, F.lit(root)).otherwise(cause)
     by_rule = judged.select(*keys, verdict.alias("verdict"), cause.alias("root_cause"))
-    by_band = band_status.where(F.col("status") != "unknown_metric").select(
+    by_band = band_status.where(F.col("status").isin("within", "out_of_range")).select(
         *keys,
         F.when(F.col("status") == "out_of_range", F.lit("warn")).otherwise(F.lit("pass")).alias("verdict"),
         F.lit("none").alias("root_cause"),
