@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,76 +27,130 @@ def _judge(current: tuple[str, str] | None, run: str, target: str) -> str | None
     return None if target in TRANSITIONS[current[1]] else "illegal_move"
 
 
-class RunMachine(StatefulProcessor):
+# Span of event time that is released at once: what a key holds in it is sorted in memory.
+BUCKET_SECONDS = 86_400
+
+
+class InTimeOrder(StatefulProcessor):
+    """Holds the rows of a key back and releases them in (ts, event_id) order.
+
+    Rows wait in the state by bucket of event time. A timer releases a bucket when the watermark has passed its
+    end, so neither the order in which files land nor how they fall into batches can change what comes out.
+    Only a row that lands later than the watermark's delay is left out, as the watermark promises.
+    """
+
+    #: Columns that are held, ``at`` (microseconds) and ``event_id`` first. The key is held too: what is released
+    #: is written from the rows alone.
+    held: tuple[str, ...] = ()
+
+    def __init__(self, bucket_seconds: int = BUCKET_SECONDS):
+        self.bucket_ms = bucket_seconds * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "bucket long", "rows string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            buckets = part["at"] // (1000 * self.bucket_ms)
+            for bucket, some in part.groupby(buckets):
+                slot = (int(bucket),)
+                known = self.waiting.containsKey(slot)
+                before = json.loads(self.waiting.getValue(slot)[0]) if known else []
+                # Column by column: a table of mixed columns would turn whole numbers into floats.
+                fresh = [list(row) for row in zip(*(some[c].tolist() for c in self.held), strict=True)]
+                self.waiting.updateValue(slot, (json.dumps(before + fresh),))
+                if not known:
+                    self.handle.registerTimer((int(bucket) + 1) * self.bucket_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        until = expiredTimerInfo.getExpiryTimeInMs()
+        for (bucket,) in sorted(k for k in self.waiting.keys() if (k[0] + 1) * self.bucket_ms <= until):
+            rows = sorted(json.loads(self.waiting.getValue((bucket,))[0]), key=lambda r: (r[0], r[1]))
+            self.waiting.removeKey((bucket,))
+            out = self.release(rows)
+            if len(out):
+                yield out
+
+    def release(self, rows: list[list]) -> pd.DataFrame:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+class RunMachine(InTimeOrder):
     """Keeps the current run of a project; refuses illegal moves and submissions while one is active."""
 
+    held = ("at", "event_id", "project_id", "run_id", "status")
+
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.state = handle.getValueState("run", "run_id string, status string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["ts", "event_id"])
+    def release(self, rows: list[list]) -> pd.DataFrame:
         stored = self.state.get()
         current = (stored[0], stored[1]) if stored is not None else None
         out = []
-        for event, run, target in zip(batch["event_id"], batch["run_id"], batch["status"]):
+        for _, event, project, run, target in rows:
             reason = _judge(current, run, target)
-            out.append((key[0], event, run, current[1] if current else None, target, reason is None, reason))
+            out.append((project, event, run, current[1] if current else None, target, reason is None, reason))
             if reason is None:
                 current = (run if target == "PENDING" else current[0], target)
         if current is not None:
             self.state.update(current)
         names = [f.split()[0] for f in RUN_OUTPUT.split(", ")]
-        yield pd.DataFrame(out, columns=names)
+        return pd.DataFrame(out, columns=names)
 
-    def close(self) -> None:
-        pass
 
-
-class ReservationWatch(StatefulProcessor):
+class ReservationWatch(InTimeOrder):
     """Running reservation total per user; one alert when it passes the cap."""
 
-    def __init__(self, cap: int):
+    held = ("at", "event_id", "user_id", "reserved")
+
+    def __init__(self, cap: int, bucket_seconds: int = BUCKET_SECONDS):
+        super().__init__(bucket_seconds)
         self.cap = cap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.total = handle.getValueState("total", "total long, alerted boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["ts", "event_id"])
+    def release(self, rows: list[list]) -> pd.DataFrame:
         stored = self.total.get()
         total, alerted = (int(stored[0]), bool(stored[1])) if stored is not None else (0, False)
-        running = batch["reserved"].cumsum() + total
-        over = running > self.cap
-        out = pd.DataFrame(columns=["user_id", "event_id", "reserved_total", "alert"])
-        if over.any() and not alerted:
-            first = over.to_numpy().argmax()
-            out = pd.DataFrame(
-                [(key[0], int(batch["event_id"].iloc[first]), int(running.iloc[first]), "cap_reached")],
-                columns=["user_id", "event_id", "reserved_total", "alert"],
-            )
-            alerted = True
-        self.total.update((int(running.iloc[-1]), alerted))
-        if len(out):
-            yield out
+        out = []
+        for _, event, user, reserved in rows:
+            # A batch with a null among its numbers holds them as floats.
+            total += 0 if reserved is None or reserved != reserved else int(reserved)
+            if total > self.cap and not alerted:
+                out.append((user, event, total, "cap_reached"))
+                alerted = True
+        self.total.update((total, alerted))
+        return pd.DataFrame(out, columns=["user_id", "event_id", "reserved_total", "alert"])
+
+
+def _in_time_order(rows: DataFrame, key: str, delay: str, processor: InTimeOrder, output: str) -> DataFrame:
+    timed = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).withColumn("at", F.unix_micros("ts"))
+    return timed.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime"
+    )
 
-    def close(self) -> None:
-        pass
 
+def run_machine(events: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Every event of ``project_id, event_id, ts, run_id, status`` with accepted or refused and why.
 
-def run_machine(events: DataFrame) -> DataFrame:
-    """Every event of ``project_id, event_id, ts, run_id, status`` with accepted or refused and why."""
+    ``delay``: how much later than newer events an event may land and still be judged in its place.
+    """
     rows = events.select("project_id", "event_id", "ts", "run_id", "status")
-    return rows.groupBy("project_id").transformWithStateInPandas(
-        statefulProcessor=RunMachine(), outputStructType=RUN_OUTPUT, outputMode="Append", timeMode="None"
-    )
+    return _in_time_order(rows, "project_id", delay, RunMachine(), RUN_OUTPUT)
 
 
-def reservation_alerts(rows: DataFrame, cap: int) -> DataFrame:
+def reservation_alerts(rows: DataFrame, cap: int, delay: str = "1 day") -> DataFrame:
     """First reservation over the cap of each user, from ``user_id, event_id, ts, reserved``."""
     rows = rows.select("user_id", "event_id", "ts", "reserved")
-    return rows.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=ReservationWatch(cap), outputStructType=ALERT_OUTPUT, outputMode="Append", timeMode="None"
-    )
+    return _in_time_order(rows, "user_id", delay, ReservationWatch(cap), ALERT_OUTPUT)
 
 
 def usage_alerts(rows: DataFrame) -> DataFrame:
