@@ -132,7 +132,7 @@ LOG_SQL = """SELECT s_suppkey, CASE WHEN s_acctbal > 0 THEN round(s_acctbal / 10
 
 @query("tool_summaries", "SRC-12", LOG_SQL)
 def tool_summaries(t):
-    """Alignment rate, completeness line and version from log texts; absent lines stay null."""
+    """Alignment rate, completeness line and version from a folder of log files; absent lines stay null."""
     text = F.concat_ws(
         "\n",
         F.lit("reads; of these:"),
@@ -145,7 +145,10 @@ def tool_summaries(t):
         F.lit("# BUSCO was run in mode: proteins"),
         F.when(F.col("s_nationkey") > 10, F.concat(F.lit("Version : 3."), "s_nationkey")),
     )
-    rows = t.supplier.select("s_suppkey", text.alias("text"))
+    path = scratch(t.spark, "logs")
+    t.supplier.select("s_suppkey", text.alias("value")).write.partitionBy("s_suppkey").text(path)
+    key = F.regexp_extract("file", r"s_suppkey=(\d+)/", 1).cast(t.supplier.schema["s_suppkey"].dataType)
+    rows = S.read_logs(t.spark, f"{path}/*/part-*").withColumn("s_suppkey", key)
     out = S.parse_versions(S.parse_completeness(S.parse_alignment_rate(rows)))
     return out.select(
         "s_suppkey", "alignment_rate_pct", "complete_pct", F.col("n").cast("int").alias("n"), "lineage", "mode", "parsed", "version"

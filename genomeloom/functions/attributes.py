@@ -12,25 +12,41 @@ def decode(col: Column) -> Column:
     return F.when(F.contains(col, F.lit("%")), decoded).otherwise(col)
 
 
-# An item without "=", and an item whose key comes again later in the text.
-_NO_VALUE = r"(^|;)[^=;]+(?=;|$)"
-_EARLIER = r"(?:^|;)([^=;]+)=[^;]*(?=(?:;.*)?;\1=)"
+def _items(col: Column) -> Column:
+    """Parts with a ``=``."""
+    return F.filter(F.split(col, ";"), lambda x: F.contains(x, F.lit("=")))
 
 
 def attribute_map(col: Column | str) -> Column:
     """``k=v;k=v`` as a map. Items without ``=`` are skipped; of a repeated key the last value stays.
 
-    Repeats are removed as text, so the map is built by the plain built-in.
+    Rows without a repeated key, nearly all, take the plain built-in.
     """
-    text = F.regexp_replace(F.regexp_replace(col, _NO_VALUE, "$1"), _EARLIER, "")
-    text = F.regexp_replace(F.regexp_replace(text, ";{2,}", ";"), "^;|;$", "")
-    return F.map_filter(F.str_to_map(text, F.lit(";"), F.lit("=")), lambda k, v: v.isNotNull())
+    value = F.col(col) if isinstance(col, str) else col
+    text = F.array_join(_items(value), ";")
+    plain = F.map_filter(F.str_to_map(text, F.lit(";"), F.lit("=")), lambda k, v: v.isNotNull())
+    return F.when(_repeated(value), _last_of_each(value)).otherwise(plain)
+
+
+def _repeated(value: Column) -> Column:
+    keys = F.transform(_items(value), lambda x: F.substring_index(x, "=", 1))
+    return F.size(F.array_distinct(keys)) < F.size(keys)
+
+
+def _last_of_each(value: Column) -> Column:
+    pairs = F.transform(_items(value), lambda x: F.split(x, "=", 2))
+    kept = F.filter(
+        F.transform(pairs, lambda p, i: F.struct(p[0].alias("k"), p[1].alias("v"), i.alias("i"))),
+        lambda e: ~F.exists(F.slice(pairs, e["i"] + 2, F.size(pairs)), lambda later: later[0] == e["k"]),
+    )
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"], e["v"])))
 
 
 def bad_attributes(col: Column | str) -> Column:
     """True where an item has no ``=`` or a key is repeated (the strict scan rejects both)."""
     value = F.col(col) if isinstance(col, str) else col
-    return value.rlike(r"(^|;)(?!\.(;|$))[^=;]+(;|$)") | value.rlike(_EARLIER)
+    bare = F.exists(F.split(value, ";"), lambda x: (x != "") & (x != ".") & ~F.contains(x, F.lit("=")))
+    return bare | _repeated(value)
 
 
 def parent_list(attrs: Column) -> Column:

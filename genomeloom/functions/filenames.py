@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 # Recognised extensions and delimiter-bounded keywords.
 FASTA_EXT = r"\.(fa|fas|fasta|fna|fa\.gz|fasta\.gz)$"
 READ_EXT = r"\.(fq|fastq|fq\.gz|fastq\.gz)$"
-HIC_WORD = r"(^|[_.\-])hi[-_]?c([_.\-]|$)"
-RNA_WORD = r"(^|[_.\-])rna([_.\-]|$)|transcri"
-WGS_WORD = r"(^|[_.\-])(wgs|whole[-_]?genome)([_.\-]|$)"
+HIC_WORD = r"(?:^|[_.\-])hi[-_]?c(?:[_.\-]|$)"
+RNA_WORD = r"(?:^|[_.\-])rna(?:[_.\-]|$)|transcri"
+WGS_WORD = r"(?:^|[_.\-])(?:wgs|whole[-_]?genome)(?:[_.\-]|$)"
 HAPLOTYPE_WORD = (
-    r"(^|[_.\-])(hap[_.\-]?[12]|phased|phase[_.\-]?separated|subgenome|diploid|triploid)([_.\-]|$)"
+    r"(?:^|[_.\-])(?:hap[_.\-]?[12]|phased|phase[_.\-]?separated|subgenome|diploid|triploid)(?:[_.\-]|$)"
 )
 MATE_SUFFIX = r"(^|[_.\-])r?([12])$"
 

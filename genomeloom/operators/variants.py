@@ -63,13 +63,20 @@ def shift_layout_end(agp: DataFrame, shift: int = 200) -> DataFrame:
     return agp.withColumn("object_end", F.col("object_end") + shift)
 
 
+RANGES = 256
+
+
 def swap_mates(r1: DataFrame, r2: DataFrame, sample: str) -> tuple[DataFrame, DataFrame]:
     """First mates of each sample with the second mates of the next one: equal counts, no common names.
 
-    The ring runs over the list of samples, one row each, by name.
+    The ring runs over the list of samples, one row each, by name, in ranges between some of the names.
     """
     names = r2.select(sample).distinct()
-    before = previous(names, [], [sample], F.substring(sample, 1, 4), {"owner": F.col(sample)})
+    # At most RANGES names, the same on every run.
+    some = names.where(F.col(sample).isNotNull()).orderBy(F.xxhash64(sample)).limit(RANGES).collect()
+    borders = F.array(*[F.lit(x) for x in sorted(r[0] for r in some)]).cast("array<string>")
+    bucket = F.size(F.filter(borders, lambda b: b <= F.col(sample)))
+    before = previous(names, [], [sample], bucket, {"owner": F.col(sample)})
     last = F.broadcast(names.agg(F.max(sample).alias("last")))
     ring = before.join(last, F.lit(True)).select(sample, F.coalesce("owner", "last").alias("owner"))
     moved = r2.join(ring, sample).drop(sample).withColumnRenamed("owner", sample)

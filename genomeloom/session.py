@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A literal dimension (bands, transitions, term lists) is built on the driver, so
-# its row count is known; beyond this many rows it has to be read as a table.
+# its row count is known; beyond this many rows it is not marked for broadcast.
 MAX_LITERAL_ROWS = 20_000
 
 _RUNTIME_CONF = {
@@ -90,11 +90,10 @@ def bounded(df: DataFrame, max_rows: int = MAX_LITERAL_ROWS) -> DataFrame:
 
 
 def literal_table(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
-    """A driver-built dimension as a broadcastable local relation with known size."""
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} rows is too many for a literal dimension; read it as a table")
+    """A driver-built dimension as a local relation; broadcast up to ``MAX_LITERAL_ROWS`` rows."""
     target = spark.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     table = pa.Table.from_pylist(list(rows), schema=to_arrow_schema(target))
-    return F.broadcast(spark.createDataFrame(table, schema=target))
+    made = spark.createDataFrame(table, schema=target)
+    return F.broadcast(made) if len(rows) <= MAX_LITERAL_ROWS else made

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import residues as R
@@ -29,9 +29,14 @@ def read_lines(spark: SparkSession, path, line_sep: str | None = None) -> DataFr
     )
 
 
+def page() -> Column:
+    """Bucket of a line for ordered helpers: its block and, as a compressed file is one block, 65,536 lines of it."""
+    return F.struct("block", F.shiftright("pos", 16).alias("page"))
+
+
 def with_ordinal(df: DataFrame, out: str = "rec") -> DataFrame:
     """Dense 0-based record number in file order; needs ``file, block, pos``."""
-    return ordinal(df, ["file"], PLACE, F.col("block"), out)
+    return ordinal(df, ["file"], PLACE, page(), out)
 
 
 def _fasta_chunks(spark: SparkSession, path) -> DataFrame:
@@ -115,9 +120,9 @@ def read_fasta_pieces(spark: SparkSession, path) -> DataFrame:
     """
     lines = read_lines(spark, path).where(~F.col("value").rlike(r"^\s*$"))
     is_head = F.col("value").startswith(">")
-    lines = running_sums(lines, ["file"], PLACE, F.col("block"), {"rec": is_head.cast("long")})
+    lines = running_sums(lines, ["file"], PLACE, page(), {"rec": is_head.cast("long")})
     lines = carry_forward(
-        lines, ["file"], PLACE, F.col("block"),
+        lines, ["file"], PLACE, page(),
         F.when(is_head, R.first_token(F.expr("substring(value, 2)"))), "id",
     )
     pieces = lines.where(~is_head & (F.col("rec") > 0)).select(
@@ -125,7 +130,7 @@ def read_fasta_pieces(spark: SparkSession, path) -> DataFrame:
         F.regexp_replace("value", r"\s", "").alias("bases"),
     )
     placed = running_sums(
-        pieces, ["file", "rec"], PLACE, F.col("block"),
+        pieces, ["file", "rec"], PLACE, page(),
         {"start": F.length("bases").cast("long")}, inclusive=False,
     )
     return placed.select("file", "rec", "id", (F.col("start") + 1).alias("start"), "bases")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.residues import wrap
@@ -54,9 +55,8 @@ def write_gff3(
         whole = whole.unionByName(
             regions.select(F.lit(1).alias("tier"), blank.alias("ord"), F.col("raw").alias("value"))
         )
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        whole.repartitionByRange(n, "tier", "ord", "value")
+        whole.repartitionByRange("tier", "ord", "value")
         .sortWithinPartitions("tier", "ord", "value")
         .select("value")
         .write.text(path)
@@ -73,28 +73,36 @@ def write_report(df: DataFrame, path: str, fmt: str = "tsv") -> None:
         raise ValueError("fmt is 'tsv' or 'json'")
 
 
+def _receipt(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Record count, and an order-free digest of 128 bits: the sums of two hashes of each row."""
+    row = F.to_json(F.struct(*[f"`{c}`" for c in sorted(columns)]), {"ignoreNullFields": "false"})
+    sums = [F.sum(F.xxhash64(*seed, row).cast("decimal(38,0)")).cast("string") for seed in ((), (F.lit(1),))]
+    return F.count(F.lit(1)).alias("rows"), F.concat_ws("/", *sums).alias("digest")
+
+
 def provenance(df: DataFrame) -> DataFrame:
     """One row: record count and an order-free digest of the content."""
-    row = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
-    digest = F.xxhash64(row).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("rows"), F.sum(digest).cast("string").alias("digest"))
+    return df.agg(*_receipt(df.columns))
 
 
 def publish(df: DataFrame, path: str) -> dict:
-    """Write once: staging, re-read check, then rename. An existing target is refused."""
+    """Write once: staging, re-read check, then rename. An existing target is refused.
+
+    What is written is counted and digested on its way, so the input is computed once.
+    """
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(target):
         raise FileExistsError(f"refusing to overwrite {path}")
-    staging = f"{path}.staging"
-    df.write.mode("errorifexists").parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging)
-    made = provenance(staged).first().asDict()
-    expected = provenance(df).first().asDict()
-    if made != expected:
-        raise ValueError(f"staged copy differs: {made} != {expected}")
+    # A name of its own: what a failed run left behind does not refuse the next.
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    seen = Observation()
+    df.observe(seen, *_receipt(df.columns)).write.mode("errorifexists").parquet(staging)
+    made = provenance(spark.read.schema(df.schema).parquet(staging)).first().asDict()
+    if made != seen.get:
+        raise ValueError(f"staged copy differs: {made} != {seen.get}")
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
         raise OSError(f"could not publish {path}")
     return made
