@@ -134,6 +134,8 @@ def repeated_runs(keyed: DataFrame, least: int = MIN_WORDS, sentences: bool = Tr
 
     Places are ordered by id (null last), then digest, then line.
     """
+    # Both tables that are joined to all windows are stored first: the joins then meet two plain
+    # exchanges, and a fingerprint or content that many texts hold can be split.
     shared = (
         fingerprints(keyed.select("text"), least, sentences)
         .groupBy("print")
@@ -141,6 +143,7 @@ def repeated_runs(keyed: DataFrame, least: int = MIN_WORDS, sentences: bool = Tr
         .where("n > 1")
         .select("print")
     )
+    shared = materialize(shared, "shared")
     found = materialize(windows(keyed, least, sentences).join(shared, "print", "left_semi").drop("print"), "windows")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest", "start")
     firsts = (
@@ -149,6 +152,7 @@ def repeated_runs(keyed: DataFrame, least: int = MIN_WORDS, sentences: bool = Tr
         .where("first <> last")
         .select("content", "first")
     )
+    firsts = materialize(firsts, "firsts")
     later = found.join(firsts, "content").where(place != F.col("first"))
     return later.select("id", "digest", "start", "end")
 
