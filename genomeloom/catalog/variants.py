@@ -113,3 +113,36 @@ def mate_variants(t):
     r2 = rows.withColumn("header", F.concat(F.lit("@"), "o_orderkey", F.lit("/2")))
     a, b = V.swap_mates(r1, r2, "sample")
     return C.mate_concordance(a, b, ["sample"])
+
+
+@query(
+    "older_database_variant",
+    "C-15",
+    """SELECT s_suppkey, CASE WHEN s_nationkey % 2 = 0 THEN '3.0' ELSE '3.' || s_nationkey END AS database_version, round(s_acctbal, 2) AS masked_pct,
+  s_nationkey % 2 = 0 AND s_nationkey <> 0 AS differs FROM supplier""",
+)
+def older_database_variant(t):
+    """Half of the deliveries recorded with an older database; their mask statistics stay."""
+    even = F.col("s_nationkey") % 2 == 0
+    rows = t.supplier.select(
+        "s_suppkey",
+        "s_nationkey",
+        F.concat(F.lit("3."), "s_nationkey").alias("database_version"),
+        F.round("s_acctbal", 2).alias("masked_pct"),
+    ).withColumn("recorded", F.col("database_version"))
+    both = V.older_database(rows.where(even)).unionByName(rows.where(~even))
+    differs = F.col("database_version") != F.col("recorded")
+    return both.select("s_suppkey", "database_version", "masked_pct", differs.alias("differs"))
+
+
+@query(
+    "without_evidence_variant",
+    "C-15",
+    """SELECT l_orderkey, count(*) AS hints, CAST(0 AS BIGINT) AS kept FROM lineitem GROUP BY l_orderkey""",
+)
+def without_evidence_variant(t):
+    """Hints of every order before and after their table was emptied."""
+    hints = t.lineitem.select("l_orderkey", "l_linenumber")
+    left = V.without_evidence(hints).groupBy("l_orderkey").agg(F.count("*").alias("kept"))
+    before = hints.groupBy("l_orderkey").agg(F.count("*").alias("hints"))
+    return before.join(left, "l_orderkey", "left").fillna(0, ["kept"])

@@ -225,21 +225,42 @@ def mask_intervals(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def sequence_window(df: DataFrame, regions: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """Bases of ``start..end`` (1-based closed) from whole records."""
-    return df.join(regions, key).withColumn(
+    """Bases of ``start..end`` (1-based closed) from whole records.
+
+    The regions of a record meet it together, so its residues move once and not once per region.
+    """
+    others = [c for c in regions.columns if c != key]
+    packed = regions.groupBy(key).agg(F.collect_list(F.struct(*others)).alias("__regions"))
+    met = df.join(packed, key).select(*df.columns, F.inline("__regions"))
+    return met.withColumn(
         "bases", F.substring(F.col(seq), F.col("start").cast("int"), (F.col("end") - F.col("start") + 1).cast("int"))
     ).drop(seq)
 
 
-def piece_window(pieces: DataFrame, regions: DataFrame, keys: Sequence[str]) -> DataFrame:
+BIN_SIZE = 4096
+
+
+def piece_window(pieces: DataFrame, regions: DataFrame, keys: Sequence[str], bin_size: int = BIN_SIZE) -> DataFrame:
     """Parts of each region cut from pieces: ``keys, start, end, part_start, bases``.
 
-    Parts stay rows; a region may be longer than any one value should be.
+    Parts stay rows; a region may be longer than any one value should be. Pieces and regions meet by record
+    and stretch of ``bin_size`` bases, so a chromosome's pieces do not all meet all of its regions.
     """
     r = regions.withColumnRenamed("start", "r_start").withColumnRenamed("end", "r_end")
     width = F.length("bases").cast("long")
-    hit = pieces.join(r, list(keys)).where(
-        (F.col("start") <= F.col("r_end")) & (F.col("start") + width - 1 >= F.col("r_start"))
+
+    def bins(first: Column, last: Column) -> Column:
+        return F.sequence(F.floor((first - 1) / bin_size), F.floor((last - 1) / bin_size))
+
+    p = pieces.where(width > 0).withColumn("__first", F.floor((F.col("start") - 1) / bin_size))
+    p = p.withColumn("__bin", F.explode(bins(F.col("start"), F.col("start") + width - 1)))
+    r = r.where("r_start <= r_end").withColumn("__r_first", F.floor((F.col("r_start") - 1) / bin_size))
+    r = r.withColumn("__bin", F.explode(bins(F.col("r_start"), F.col("r_end"))))
+    # A pair that shares several bins is taken in the first of them.
+    hit = p.join(r, [*keys, "__bin"]).where(
+        (F.col("start") <= F.col("r_end"))
+        & (F.col("start") + width - 1 >= F.col("r_start"))
+        & (F.col("__bin") == F.greatest("__first", "__r_first"))
     )
     first = F.greatest("start", "r_start")
     final = F.least(F.col("start") + width - 1, F.col("r_end"))
