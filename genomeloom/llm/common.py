@@ -17,7 +17,7 @@ WORD = f"[^{SPACES}]+"
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings that the operators count on: texts differ in length, so a batch for Python is bounded in bytes."""
-    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return spark
 
 

@@ -30,8 +30,8 @@ KEPT = 4
 SEED = 8
 ODD = np.uint64(0x9E3779B97F4A7C15)
 # Numbers of one step of the hash orders; bounds the memory for a very long text.
-CELLS = 1 << 20
-MEMO_WORDS = 400_000
+CELLS = 1 << 18
+MEMO_WORDS = 100_000
 
 
 class WordHashes(dict):
