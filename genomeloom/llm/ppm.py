@@ -30,9 +30,10 @@ BITS = 9  # of a symbol: 256 bytes, the end, and the place before a text
 END, BEFORE = 256, 257
 SYMBOLS = 257
 # Symbols that are handled at once, nodes of a shard, and tokens of a chunk: these bound a task's memory.
-CHUNK_SYMBOLS = 1 << 21
+CHUNK_SYMBOLS = 1 << 19
+TRAIN_SYMBOLS = 1 << 20
 SHARD_NODES = 4_000_000
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_000_000
 CHUNK_TEXTS = 1 << 16
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,7 +92,7 @@ def count_grams(texts: DataFrame, order: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = ((b.column(0).to_pylist(), b.column(0).to_pylist()) for b in batches)
-        for _, held in _bundles(whole, 2 * CHUNK_SYMBOLS):
+        for _, held in _bundles(whole, TRAIN_SYMBOLS):
             packed, n = np.unique(grams(held, order)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(packed), pa.array(n.astype(np.int64))], ["gram", "n"])
 
@@ -181,7 +182,7 @@ def train(texts: DataFrame, order: int = ORDER) -> Trie:
         F.col("context").alias("last"),
     )
     whole = valued.unionByName(linked)
-    sharded(whole, F.col("last")).drop("last").write.partitionBy("shard").parquet(path)
+    sharded(whole, F.col("last")).drop("last").write.partitionBy("shard", "k", "node").parquet(path)
     return Trie(path, shards, order, root[0] if root else 0)
 
 
@@ -194,19 +195,21 @@ class HashTable:
     FREE = np.int64(-1)
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, math.ceil(math.log2(3 * len(keys) + 1)))
+        bits = max(4, math.ceil(math.log2(1.5 * len(keys) + 1)))
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
         self.keys = np.full(1 << bits, self.FREE)
         self.rows = np.zeros(1 << bits, np.int32)
-        at, open_ = self._home(keys), np.arange(len(keys))
-        while len(open_):
-            place = at[open_]
-            empty = self.keys[place] == self.FREE
-            self.keys[place[empty]] = keys[open_[empty]]
-            won = self.keys[place] == keys[open_]
-            self.rows[place[won]] = open_[won]
-            open_ = open_[~won]
-            at[open_] = (at[open_] + 1) & self.mask
+        for first in range(0, len(keys), 1 << 17):  # in slices: the work space stays small
+            part = keys[first : first + (1 << 17)]
+            at, open_ = self._home(part), np.arange(len(part))
+            while len(open_):
+                place = at[open_]
+                empty = self.keys[place] == self.FREE
+                self.keys[place[empty]] = part[open_[empty]]
+                won = self.keys[place] == part[open_]
+                self.rows[place[won]] = open_[won] + first
+                open_ = open_[~won]
+                at[open_] = (at[open_] + 1) & self.mask
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * ODD) >> self.shift).view(np.int64)
@@ -226,8 +229,21 @@ class HashTable:
         return out
 
 
+class SortedTable:
+    """Sorted numbers: number -> row. Slower than hashing and a third of its size; for what is rarely asked."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+
 class Shard:
-    """Nodes and contexts of one shard, by order."""
+    """Nodes and contexts of one shard, by order. Only the nodes of the highest order are asked for every symbol."""
 
     def __init__(self, path: str, shard: int, order: int, root: int):
         import pyarrow.fs
@@ -237,24 +253,29 @@ class Shard:
         place = f"{place}/shard={shard}"
         self.order, self.root = order, root
         self.nodes, self.contexts = [], []
-        data = None
-        if files.get_file_info(place).type != pyarrow.fs.FileType.NotFound:
-            data = pyarrow.parquet.read_table(place, filesystem=files, partitioning=None)
         for k in range(order + 1):
             for node, into in ((True, self.nodes), (False, self.contexts)):
-                if data is None:
-                    into.append((HashTable(np.zeros(0, np.int64)), *[np.zeros(1)] * 3))
-                    continue
-                rows = (data["k"].to_numpy() == k) & (data["node"].to_numpy() == node)
-                keys = np.ascontiguousarray(data["key"].to_numpy()[rows])
-                values = [data[c].to_numpy()[rows] for c in "abc"] if len(keys) else [np.zeros(1)] * 3
-                into.append((HashTable(keys), *values))
+                names = ["key", "a", "b"] if node else ["key", "a", "b", "c"]
+                keys, values = np.zeros(0, np.int64), [np.zeros(1)] * (len(names) - 1)
+                part = f"{place}/k={k}/node={str(node).lower()}"
+                if files.get_file_info(part).type != pyarrow.fs.FileType.NotFound:
+                    data = pyarrow.parquet.read_table(part, filesystem=files, partitioning=None, columns=names)
+                    if not (node and k == order):
+                        data = data.sort_by("key")
+                    keys, *values = (data[c].to_numpy() for c in names)
+                    del data
+                if node and k == order:
+                    # Asked first, so never below another context.
+                    into.append((HashTable(keys), values[0] - values[1]))
+                else:
+                    into.append((SortedTable(keys), *values))
+        pa.default_memory_pool().release_unused()
 
     def score(self, packed: np.ndarray) -> np.ndarray:
         """log10 of the probability of the last symbol of every number."""
-        table, a, b, _ = self.nodes[self.order]
+        table, fresh_value = self.nodes[self.order]
         row = table.find(packed)
-        out = np.where(row >= 0, a[row] - b[row], 0.0)
+        out = np.where(row >= 0, fresh_value[row], 0.0)
         open_ = np.flatnonzero(row < 0)
         gram = packed[open_]
         fresh = np.ones(len(open_), bool)  # no context was known so far
@@ -262,7 +283,7 @@ class Shard:
         for k in range(self.order, -1, -1):
             gram = gram & low_bits(k + 1)
             if k < self.order:
-                table, a, b, _ = self.nodes[k]
+                table, a, b = self.nodes[k]
                 row = table.find(gram)
                 hit = np.flatnonzero(row >= 0)
                 out[open_[hit]] += a[row[hit]] - np.where(fresh[hit], b[row[hit]], weight[hit])
