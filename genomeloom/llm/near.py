@@ -32,6 +32,8 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 # Numbers of one step of the hash orders; bounds the memory for a very long text.
 CELLS = 1 << 18
 MEMO_WORDS = 100_000
+# Classes of words whose counts bound the edits between two texts from below.
+BAGS = 64
 
 
 class WordHashes(dict):
@@ -231,11 +233,41 @@ def _stars(members: DataFrame, similarity: float) -> DataFrame:
     ).distinct()
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, done: DataFrame, similarity: float) -> DataFrame:
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose texts are not in one class so far."""
+    left = labels.select(F.col("key").alias("a"), F.col("label").alias("la"))
+    right = labels.select(F.col("key").alias("b"), F.col("label").alias("lb"))
+    both = pairs.join(left, "a", "left").join(right, "b", "left")
+    return both.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(key, counts): how many words of each text fall into each of BAGS classes of words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordHashes()
+        for batch in batches:
+            rows = []
+            for text in batch.column(1).to_pylist():
+                words = text.split()
+                bags = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)) % np.uint64(BAGS)
+                rows.append(np.bincount(bags.astype(np.int64), minlength=BAGS).tolist())
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["key", "counts"])
+
+    return texts.select("key", "text").mapInArrow(count, "key long, counts array<int>")
+
+
+def _open_pairs(
+    members: DataFrame, labels: DataFrame, done: DataFrame, counts: DataFrame, similarity: float
+) -> DataFrame:
     """Pairs of one member per class and bucket, over the classes that meet in a bucket and were not compared.
 
     Which member stands for its class depends on the bucket, so a class is tried through many members. Lengths
-    are matched by logarithmic bins first: texts of very different length are never paired.
+    are matched by logarithmic bins first: texts of very different length are never paired. Neither are texts
+    whose word counts alone need more edits than allowed: every edit changes one word for at most one other,
+    so words without a partner are a lower bound that loses no link.
     """
     classed = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     mixed_buckets = (
@@ -248,15 +280,20 @@ def _open_pairs(members: DataFrame, labels: DataFrame, done: DataFrame, similari
         .select("bucket", "label", "m.key", "m.words")
         .withColumn("bin", F.floor(F.log("words") / F.log(F.lit(1 / similarity))).cast("int"))
     )
-    stands = materialize(stands, "stands")
+    stands = materialize(stands.join(counts, "key"), "stands")
     other = stands.select(
         "bucket",
         F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"),
         F.col("label").alias("label2"),
         F.col("key").alias("key2"),
         F.col("words").alias("words2"),
+        F.col("counts").alias("counts2"),
+    )
+    longest = F.greatest("words", "words2")
+    common = F.aggregate(F.zip_with("counts", "counts2", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    fits = (F.least("words", "words2") >= similarity * longest - 1e-9) & (
+        longest - common <= F.floor((1 - similarity) * longest + 1e-9)
     )
-    fits = F.least("words", "words2") >= similarity * F.greatest("words", "words2") - 1e-9
     met = stands.join(other, ["bucket", "bin"]).where((F.col("key") < F.col("key2")) & (F.col("label") != F.col("label2")) & fits)
     pairs = met.select(F.col("key").alias("a"), F.col("key2").alias("b")).distinct()
     return pairs.join(done, ["a", "b"], "left_anti")
@@ -310,11 +347,18 @@ def near_classes(
         .dropDuplicates(["key"]),
         "texts",
     )
-    found = materialize(judged(_stars(members, similarity), texts, similarity), "judged")
+    counts = materialize(word_counts(texts), "counts")
+    # First each text with the smallest of its centres; then only centres of another class.
+    stars = materialize(_stars(members, similarity), "stars")
+    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    found = materialize(judged(first, texts, similarity), "judged")
+    labels = materialize(components(found.where("same")), "labels")
+    apart = _apart(stars.join(found.select("a", "b"), ["a", "b"], "left_anti"), labels)
+    found = found.unionByName(materialize(judged(apart, texts, similarity), "judged"))
     while True:
         labels = materialize(components(found.where("same")), "labels")
         more = materialize(
-            judged(_open_pairs(members, labels, found.select("a", "b"), similarity), texts, similarity), "judged"
+            judged(_open_pairs(members, labels, found.select("a", "b"), counts, similarity), texts, similarity), "judged"
         )
         linked = not more.where("same").isEmpty()
         found = found.unionByName(more)
