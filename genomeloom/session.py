@@ -73,9 +73,28 @@ def _local_base() -> str:
     return _LOCAL_BASE[0]
 
 
+# Tables that were written by ``materialize`` and not given back yet.
+_WRITTEN: list[str] = []
+
+
+def written() -> list[str]:
+    return list(_WRITTEN)
+
+
+def give_back(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete tables that ``materialize`` wrote; nothing may read them any more."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+            place = path_of(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared scratch folder and read back: cuts lineage, survives lost executors."""
     path = scratch(df.sparkSession, label)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
