@@ -1,8 +1,9 @@
 """Near-duplicates by order MinHash.
 
-A text is its sequence of five-word shingles, each labelled with how often it occurred before. For each
+A text is its sequence of two-word shingles, each labelled with how often it occurred before. For each
 of many hash orders the few smallest labelled shingles are kept in text order; their sequence is a
-bucket. Texts that differ by few edits share buckets, texts that merely share a passage or hold
+bucket. A short text is its labelled words instead, in any order: one edit leaves most of them as they were.
+Texts that differ by few edits share buckets, texts that merely share a passage or hold
 the same parts in another order hardly do. Members of a bucket are compared with one centre, and
 what is not settled by that with one member of every other class in the bucket, until nothing new is
 found. A comparison is a banded alignment of the words.
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import whole_text, without
 
-SHINGLE = 5
+# An edit takes two shingles at most: of texts at SIMILARITY at least 3 shingles in 7 are common to both.
+SHINGLE = 2
 SIMILARITY = 0.8
 # Hash orders, and shingles kept of each.
-ORDERS = 64
-KEPT = 4
+ORDERS = 96
+KEPT = 3
+# Texts of so many words or fewer are met by their words.
+SHORT = 40
 SEED = 8
 ODD = np.uint64(0x9E3779B97F4A7C15)
 # Numbers of one step of the hash orders; bounds the memory for a very long text.
@@ -87,7 +91,25 @@ def order_sketch(shingles: np.ndarray, factors: np.ndarray, kept: int = KEPT) ->
     return np.concatenate(out)
 
 
-def sketches(keyed: DataFrame, orders: int = ORDERS, kept: int = KEPT, size: int = SHINGLE) -> DataFrame:
+def text_sketch(
+    hashes: np.ndarray, factors: np.ndarray, kept: int = KEPT, size: int = SHINGLE, similarity: float = SIMILARITY
+) -> np.ndarray:
+    """Buckets of a text by the hashes of its words: by shingles, by words in any order if it is short.
+
+    Texts whose lengths allow ``similarity`` always have one of the two in common: a text is met both ways from
+    ``similarity * SHORT`` to SHORT words.
+    """
+    out = []
+    if len(hashes) <= SHORT:
+        out.append(order_sketch(np.sort(labelled_shingles(hashes, 1)), factors, kept))
+    if len(hashes) >= similarity * SHORT - 1e-9:
+        out.append(order_sketch(labelled_shingles(hashes, size), factors, kept))
+    return np.concatenate(out)
+
+
+def sketches(
+    keyed: DataFrame, orders: int = ORDERS, kept: int = KEPT, size: int = SHINGLE, similarity: float = SIMILARITY
+) -> DataFrame:
     """(bucket, key, words) of every text with a word; ``keyed`` has key and text (binary)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,17 +125,18 @@ def sketches(keyed: DataFrame, orders: int = ORDERS, kept: int = KEPT, size: int
                 if not words:
                     continue
                 hashes = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-                found.append(order_sketch(labelled_shingles(hashes, size), factors, kept))
+                found.append(text_sketch(hashes, factors, kept, size, similarity))
                 keys.append(key)
                 counts.append(len(words))
             if len(memo) > MEMO_WORDS:
                 memo.clear()
             if keys:
+                times = [len(x) for x in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(found).view(np.int64)),
-                        pa.array(np.repeat(np.array(keys, np.int64), orders)),
-                        pa.array(np.repeat(np.array(counts, np.int32), orders)),
+                        pa.array(np.repeat(np.array(keys, np.int64), times)),
+                        pa.array(np.repeat(np.array(counts, np.int32), times)),
                     ],
                     ["bucket", "key", "words"],
                 )
@@ -328,7 +351,7 @@ def near_classes(
         "near-rows",
     )
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
-    buckets = materialize(sketches(keyed, orders, kept), "buckets")
+    buckets = materialize(sketches(keyed, orders, kept, similarity=similarity), "buckets")
     heads = (
         buckets.groupBy("bucket")
         .agg(F.min(F.struct("key", "words")).alias("h"), F.max("key").alias("last"))

@@ -96,6 +96,23 @@ def test_shared_passage_is_no_copy_and_chains_are_classes(llm):
     assert {got[i] for i, _ in chain} == {100}
 
 
+def test_pairs_at_the_limit_share_a_bucket(llm):
+    """20 edits per 100 words, evenly spread or not, and one edit in a text of a few words."""
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    rows = []
+    for n in [*range(5, 45), *[150] * 20, *[400] * 10]:
+        text = [word() for _ in range(n)]
+        other, edits = list(text), n // 5
+        even = [(2 * i + 1) * n // (2 * edits) for i in range(edits)]
+        for at in even if n % 2 else rng.sample(range(n), edits):
+            other[at] = word()
+        rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(other))]
+    rows += [(1000, "a b c d e f"), (1001, "a b c d f"), (1002, "x x y x z z"), (1003, "x y x z z")]
+    got = {r["doc_id"]: r["class_id"] for r in near.near_classes(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == i - i % 2 for i in got)
+
+
 def plain_ppm(texts, order):
     counts = [defaultdict(Counter) for _ in range(order + 1)]
     for t in texts:
