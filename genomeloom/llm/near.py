@@ -6,7 +6,7 @@ bucket. A short text is its labelled words instead, in any order: one edit leave
 Texts that differ by few edits share buckets, texts that merely share a passage or hold
 the same parts in another order hardly do. Members of a bucket are compared with one centre, and
 what is not settled by that with one member of every other class in the bucket, until nothing new is
-found. A comparison is a banded alignment of the words.
+found. Then every member is compared with all of other classes in the bucket. A comparison is a banded alignment of the words.
 """
 
 from __future__ import annotations
@@ -283,11 +283,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def _open_pairs(
-    members: DataFrame, labels: DataFrame, done: DataFrame, counts: DataFrame, similarity: float
+    members: DataFrame, labels: DataFrame, done: DataFrame, counts: DataFrame, similarity: float, every: bool = False
 ) -> DataFrame:
     """Pairs of one member per class and bucket, over the classes that meet in a bucket and were not compared.
 
-    Which member stands for its class depends on the bucket, so a class is tried through many members. Lengths
+    ``every``: of all members, since one that is unlike says nothing about the others of its class. Else which member stands for its class depends on the bucket, so a class is tried through many members. Lengths
     are matched by logarithmic bins first: texts of very different length are never paired. Neither are texts
     whose word counts alone need more edits than allowed: every edit changes one word for at most one other,
     so words without a partner are a lower bound that loses no link.
@@ -296,13 +296,14 @@ def _open_pairs(
     mixed_buckets = (
         classed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
     )
-    stands = (
-        classed.join(mixed_buckets, "bucket", "left_semi")
-        .groupBy("bucket", "label")
-        .agg(F.min_by(F.struct("key", "words"), F.xxhash64("bucket", "key")).alias("m"))
-        .select("bucket", "label", "m.key", "m.words")
-        .withColumn("bin", F.floor(F.log("words") / F.log(F.lit(1 / similarity))).cast("int"))
-    )
+    stands = classed.join(mixed_buckets, "bucket", "left_semi").select("bucket", "label", "key", "words")
+    if not every:
+        stands = (
+            stands.groupBy("bucket", "label")
+            .agg(F.min_by(F.struct("key", "words"), F.xxhash64("bucket", "key")).alias("m"))
+            .select("bucket", "label", "m.key", "m.words")
+        )
+    stands = stands.withColumn("bin", F.floor(F.log("words") / F.log(F.lit(1 / similarity))).cast("int"))
     stands = materialize(stands.join(counts, "key"), "stands")
     other = stands.select(
         "bucket",
@@ -378,15 +379,19 @@ def near_classes(
     labels = materialize(components(found.where("same")), "labels")
     apart = _apart(stars.join(found.select("a", "b"), ["a", "b"], "left_anti"), labels)
     found = found.unionByName(materialize(judged(apart, texts, similarity), "judged"))
+    # Once one member per class links no more, all members are tried; after that no pair of unlike classes is open.
+    every = False
     while True:
         labels = materialize(components(found.where("same")), "labels")
-        more = materialize(
-            judged(_open_pairs(members, labels, found.select("a", "b"), counts, similarity), texts, similarity), "judged"
-        )
+        pairs = _open_pairs(members, labels, found.select("a", "b"), counts, similarity, every)
+        more = materialize(judged(pairs, texts, similarity), "judged")
         linked = not more.where("same").isEmpty()
         found = found.unionByName(more)
-        if not linked:
+        if every:
             break
+        every = not linked
+    if linked:
+        labels = materialize(components(found.where("same")), "labels")
     classed = rows.join(labels.withColumnRenamed("key", "__llm_key"), "__llm_key", "left").withColumn(
         "__llm_label", F.coalesce("label", "__llm_key")
     )

@@ -113,6 +113,26 @@ def test_pairs_at_the_limit_share_a_bucket(llm):
     assert all(got[i] == i - i % 2 for i in got)
 
 
+def test_every_member_of_a_class_is_tried(llm, monkeypatch):
+    """Texts that are near one member of a large class only, all in one bucket."""
+    rng = random.Random(4)
+
+    def edited(text, places, tag):
+        return [f"{tag}{i}" if i in places else w for i, w in enumerate(text)]
+
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(12):
+        member = edited(base, set(rng.sample(range(100), 16)), f"m{i}_")  # at most 32 edits from each other
+        rows += [(i, " ".join(member)), (100 + i, " ".join(edited(member, set(rng.sample(range(100, 200), 38)), f"b{i}_")))]
+    buckets = lambda keyed, *_, **__: keyed.select(
+        F.lit(1).cast("long").alias("bucket"), "key", F.lit(200).alias("words")
+    )
+    monkeypatch.setattr(near, "sketches", buckets)
+    got = near.near_classes(llm.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["class_id"] for r in got} == {0}
+
+
 def plain_ppm(texts, order):
     counts = [defaultdict(Counter) for _ in range(order + 1)]
     for t in texts:
