@@ -167,17 +167,20 @@ def depths(calls: DataFrame) -> DataFrame:
     return state.select("conv", "call_id", F.when(~loop, F.col("depth")).alias("depth"), loop.alias("loop"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, tools: dict[str, dict] = TOOLS) -> DataFrame:
-    """One row per call and per result that answers none, in order inside its conversation.
+def link_calls(
+    calls: DataFrame, results: DataFrame, tools: dict[str, dict] = TOOLS, others: DataFrame | None = None
+) -> DataFrame:
+    """One row per call, per result that answers none and per other turn, in order inside its conversation.
 
     ``calls``: conv, call_id, turn, name, arguments (JSON text), after (call_id or null). ``results``: conv,
-    call_id, turn, content. Columns out: conv, position (0 up), call_id, turn, name, depth, status
-    (answered, unanswered, orphan), repeats (further calls and results of the identifier), valid,
+    call_id, turn, content. ``others``: conv, turn, role, content of turns that are neither. Columns out: conv, position (0 up), call_id, turn, name, depth, status
+    (answered, unanswered, orphan, message), repeats (further calls and results of the identifier), valid,
     problems, result_turn, json.
 
     Of calls, or results, with one identifier the first turn counts (then the smallest text). Order: depth, then turn,
-    then identifier; orphans and circles come last, at their turn. Rows without conversation or identifier
-    cannot be linked: each is a row of its own with status ``orphan`` and no position. Arguments that are not JSON,
+    then identifier; orphans and circles come last, at their turn. Other turns are messages: they follow
+    the depth of the last call before their turn, without identifier and checks, their role in the JSON; one without conversation or turn has no position. Rows
+    without conversation or identifier cannot be linked: each is a row of its own with status ``orphan`` and no position. Arguments that are not JSON,
     repeat a key or break the schema, unknown tools, unknown or circular predecessors are problems, not
     errors. Other columns do not enter. Empty tables give an empty one.
     """
@@ -224,13 +227,33 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: dict[str, dict] = TO
         .withColumn("lost", F.col("after").isNotNull() & F.col("pi").isNull())
         .drop("pc", "pi")
     )
+    checked = checked.withColumn("role", nothing)
+    if others is not None:
+        messages = others.select("conv", F.col("turn").cast("bigint").alias("turn"), "role", "content").withColumns(
+            {
+                "depth": F.lit(None).cast("bigint"),
+                "loop": F.lit(False),
+                "status": F.lit("message"),
+                "repeats": F.lit(0).cast("bigint"),
+                "lost": F.lit(False),
+            }
+        )
+        in_order = F.col("conv").isNotNull() & F.col("turn").isNotNull()
+        checked = checked.unionByName(messages.where(in_order), allowMissingColumns=True)
     staged = materialize(checked, "linked")
-    at = F.coalesce("depth", F.lit(2**62))
     turn = F.coalesce("turn", F.lit(-1)).cast("long")
+    staged = staged.withColumn("__t", turn)
+    at = F.col("depth")
+    if others is not None:
+        block = F.floor(F.col("__t") / CHUNK)
+        staged = materialize(spread.carry_forward(staged, ["conv"], ["__t", "call_id"], block, at, "__c"), "carried")
+        at = F.when(F.col("status") == "message", F.coalesce("__c", F.lit(0))).otherwise(at)
+        staged = staged.withColumn("__d", at).drop("__c")
+        at = F.col("__d")
     placed = spread.ordinal(
-        staged.withColumns({"__d": at, "__t": turn}),
+        staged.withColumn("__d", F.coalesce(at, F.lit(2**62))),
         ["conv"],
-        ["__d", "__t", "call_id"],
+        ["__d", "__t", "call_id", "role", "content"],
         F.struct(F.col("__d").alias("d"), F.floor(F.col("__t") / CHUNK).alias("t")),
         "position",
     ).drop("__d", "__t")
@@ -250,7 +273,10 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: dict[str, dict] = TO
         "lost": F.lit(False),
         "position": F.lit(None).cast("bigint"),
     }
+    fixed["role"] = nothing
     whole = placed.unionByName(loose[0].withColumns(fixed)).unionByName(loose[1].withColumns(fixed))
+    if others is not None:
+        whole = whole.unionByName(messages.where(~in_order), allowMissingColumns=True)
     return _written(whole, tools)
 
 
@@ -258,7 +284,7 @@ def _written(events: DataFrame, tools: dict[str, dict]) -> DataFrame:
     """Check the arguments and write each event."""
     conv_type = events.schema["conv"].dataType.simpleString()
     kept = ["conv", "position", "call_id", "turn", "name", "depth", "status", "repeats", "result_turn"]
-    source = events.select(*kept, "arguments", "after", "content", "loop", "lost").withColumns(
+    source = events.select(*kept, "arguments", "after", "content", "loop", "lost", "role").withColumns(
         {c: F.col(c).cast("long") for c in ("position", "turn", "depth", "repeats", "result_turn")}
     )
 
@@ -267,6 +293,11 @@ def _written(events: DataFrame, tools: dict[str, dict]) -> DataFrame:
             valid, problems, texts = [], [], []
             for e in batch.to_pylist():
                 found, arguments = [], None
+                if e["status"] == "message":
+                    texts.append(canonical({"content": e["content"], "role": e["role"], "status": "message"}))
+                    valid.append(True)
+                    problems.append(found)
+                    continue
                 if e["status"] != "orphan" or e["name"] is not None:
                     try:
                         arguments = json.loads(e["arguments"] or "", object_pairs_hook=_unique)
@@ -344,6 +375,13 @@ def results_of(turns: DataFrame) -> DataFrame:
     )
 
 
+def others_of(turns: DataFrame) -> DataFrame:
+    """Each turn that is neither: of any other role, or of none."""
+    return turns.where("role is null or role not in ('user', 'assistant')").select(
+        F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"), "role", F.col("text").alias("content")
+    )
+
+
 def op5_linked_tool_calls(turns: DataFrame) -> DataFrame:
-    linked = link_calls(calls_of(turns), results_of(turns))
+    linked = link_calls(calls_of(turns), results_of(turns), others=others_of(turns))
     return linked.withColumnRenamed("conv", "conv_id")

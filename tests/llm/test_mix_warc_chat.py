@@ -222,6 +222,25 @@ def test_turns_with_nulls(llm):
     assert Counter(r["status"] for r in got) == {"answered": 1, "orphan": 3}
 
 
+def test_every_turn_is_accounted_for(llm):
+    rows = [
+        (1, 0, "system", "be brief"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "tool", None), (1, 3, "tool", None),
+        (2, 0, "system", "alone"), (3, 0, None, "x"), (None, 0, "system", "y"), (3, None, "system", "z"), (4, 1, "assistant", "o"),
+        (5, 1, "user", "p"), (5, 3, "user", "q"), (5, 4, "system", "r"), (5, 5, "user", "s"),
+    ]
+    turns = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.op5_linked_tool_calls(turns).collect()
+    assert sum(1 + r["repeats"] + (r["status"] == "answered") for r in got) == len(rows)
+    messages = [r for r in got if r["status"] == "message"]
+    bodies = Counter((r["conv_id"], r["turn"], *(json.loads(r["json"])[k] for k in ("role", "content"))) for r in messages)
+    assert bodies == Counter(r for r in rows if r[2] not in ("user", "assistant"))
+    one = sorted((r["position"], r["status"]) for r in got if r["conv_id"] == 1)
+    assert one == [(0, "message"), (1, "answered"), (2, "message"), (3, "message")]
+    assert [r["position"] for r in messages if r["conv_id"] == 2] == [0]
+    assert [r["turn"] for r in sorted((r for r in got if r["conv_id"] == 5), key=lambda r: r["position"])] == [1, 3, 4, 5]
+    assert all(r["position"] is None for r in messages if r["conv_id"] is None or r["turn"] is None)
+
+
 @pytest.mark.parametrize(
     "value, text",
     [
