@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact, lines, mixing, near, packing, ppm, quality, shard, warc
+from . import audit, chat, exact, lines, mixing, near, packing, phrases, ppm, quality, shard, urls, warc
 from .common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,9 @@ ENTRIES: dict[str, tuple[Runner, str | None]] = {
     "op8_order_minhash": (_over("documents", of=near.op8_order_minhash), None),
     "op9_heavy_hitter_dedup": (_over("documents", of=exact.op9_heavy_hitter_dedup), exact.SQL),
     "op10_derived_records": (_over("pages", of=warc.op10_derived_records), None),
+    "op11_collocations": (_over("documents", of=phrases.op11_collocations), phrases.SQL),
+    "op12_filter_audit": (_over("documents", "labels", of=audit.op12_filter_audit), audit.SQL),
+    "op13_url_filter": (_over("pages", of=urls.op13_url_filter), urls.SQL),
 }
 
 
