@@ -8,9 +8,9 @@ Texts are counted level by level, each level in one pass over the texts:
 
 A task counts its windows in a trie over word ids with hash containers at its leaves. A container that
 grows too large bursts into a node with one container per next word. When the trie holds too many
-entries, whole subtrees leave it, largest first, as runs sorted by their words. Runs meet by prefix
-(the words before the last one, two at least), where equal phrases are summed. A phrase comes once per
-run, however often it occurs, so a frequent prefix brings its distinct continuations only.
+entries, whole subtrees leave it, largest first, as runs sorted by their words and packed by the bucket of
+their prefix (the words before the last one, two at least). The runs of a bucket are merged in one place. A phrase
+comes once per run, however often it occurs, so a frequent prefix brings its distinct continuations only.
 
 What the level before found is passed to the tasks as a bit map of fixed size. Two phrases may share a bit:
 the map can let an infrequent phrase through, which is then counted and dropped, but never loses one.
@@ -54,7 +54,14 @@ _KIND[list(CUTS)] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-RUN = "lang string, size int, phrase string, n long"
+# Word places whose phrases meet in one bucket, on average; a task merges one bucket after the other.
+BUCKET_PLACES, MIN_BUCKETS, MAX_BUCKETS = 1 << 21, 64, 1 << 16
+
+COUNTS = "lang string, size int, phrase string, n long"
+RUN = "bucket int, lang string, size int, phrases binary, counts binary"
+RUN_SCHEMA = pa.schema(
+    [("bucket", pa.int32()), ("lang", pa.string()), ("size", pa.int32()), ("phrases", pa.binary()), ("counts", pa.binary())]
+)
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -188,8 +195,8 @@ class PhraseTrie:
 class Counting:
     """The tries of a task, one per language, with the words that their ids stand for."""
 
-    def __init__(self, shortest: int, longest: int, burst: int, max_entries: int):
-        self.shortest, self.longest = shortest, longest
+    def __init__(self, shortest: int, longest: int, buckets: int, burst: int, max_entries: int):
+        self.shortest, self.longest, self.buckets = shortest, longest, buckets
         self.burst, self.max_entries = burst, max_entries
         self.ids: dict[str, dict[bytes, int]] = {}
         self.tries: dict[str, PhraseTrie] = {}
@@ -232,11 +239,12 @@ class Counting:
         order = sorted(range(len(names)), key=names.__getitem__)
         rank = np.empty(len(names), np.int32)
         rank[order] = np.arange(len(names), dtype=np.int32)
-        words = pa.array([names[i] for i in order], pa.binary()).cast(pa.string())
+        ordered = [names[i] for i in order]
+        words, hashes = pa.array(ordered, pa.large_binary()), word_hash(lang, ordered)
         rows = rank[np.concatenate([r for r, _ in taken])]
         counts = np.concatenate([c for _, c in taken])
-        ordered = np.lexsort(rows.T[::-1])
-        rows, counts = rows[ordered], counts[ordered]
+        sorted_by_words = np.lexsort(rows.T[::-1])
+        rows, counts = rows[sorted_by_words], counts[sorted_by_words]
         for size in range(self.shortest, self.longest + 1):
             whole = rows[:, size - 1] > 0
             part, n = rows[whole, :size], counts[whole]
@@ -245,19 +253,79 @@ class Counting:
             new = np.ones(len(part), bool)
             new[1:] = (part[1:] != part[:-1]).any(axis=1)
             edges = np.flatnonzero(new)
-            sums = np.add.reduceat(n, edges)
-            for a in range(0, len(edges), 1 << 16):
-                picked = part[edges[a : a + (1 << 16)]]
-                phrase = pc.binary_join_element_wise(*[words.take(pa.array(picked[:, i])) for i in range(size)], " ")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(picked), pa.string()),
-                        pa.array(np.full(len(picked), size, np.int32)),
-                        phrase,
-                        pa.array(sums[a : a + (1 << 16)]),
-                    ],
-                    ["lang", "size", "phrase", "n"],
+            yield from self._blocks(lang, words, hashes, part[edges], np.add.reduceat(n, edges))
+
+    def _blocks(self, lang: str, words: pa.Array, hashes: np.ndarray, rows: np.ndarray, counts: np.ndarray):
+        """The sorted phrases of one size, cut by the bucket of their prefix: the words before the last one, two at least."""
+        size = rows.shape[1]
+        prefix = hashes[rows[:, 0]]
+        for i in range(1, max(2, size - 1)):
+            prefix = pair_hash(prefix, hashes[rows[:, i]])
+        bucket = (prefix % np.uint64(self.buckets)).astype(np.int32)
+        dealt = np.argsort(bucket, kind="stable")
+        rows, counts, bucket = rows[dealt], counts[dealt], bucket[dealt]
+        large = pa.large_binary()
+        joined = pc.binary_join_element_wise(
+            *[words.take(pa.array(rows[:, i])) for i in range(size)], pa.scalar(b" ", large)
+        )
+        lines = pc.binary_join_element_wise(joined, pa.scalar(b"", large), pa.scalar(b"\n", large))
+        offsets, data = np.frombuffer(lines.buffers()[1], np.int64), lines.buffers()[2]
+        edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+        columns = [[], [], []]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            columns[0].append(int(bucket[a]))
+            columns[1].append(packed(data.slice(int(offsets[a]), int(offsets[b] - offsets[a]))))
+            columns[2].append(packed(counts[a:b]))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(columns[0], pa.int32()),
+                pa.array([lang] * len(columns[0]), pa.string()),
+                pa.array([size] * len(columns[0]), pa.int32()),
+                pa.array(columns[1], pa.binary()),
+                pa.array(columns[2], pa.binary()),
+            ],
+            schema=RUN_SCHEMA,
+        )
+
+
+def packed(data) -> bytes:
+    """Compressed, behind its length."""
+    raw = memoryview(data).cast("B")
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> pa.Buffer:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd")
+
+
+def merged_bucket(table: pa.Table, min_count: int) -> pa.Table:
+    """The runs of a bucket, summed by phrase; phrases below ``min_count`` go."""
+    sums = None
+    for row in table.to_batches(max_chunksize=64):
+        parts = [] if sums is None else [sums]
+        for lang, size, phrases, counts in zip(*(row.column(c).to_pylist() for c in ("lang", "size", "phrases", "counts"))):
+            text, n = unpacked(phrases), np.frombuffer(unpacked(counts), np.int64)
+            ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 10)
+            # Every line but the first begins behind the newline of the one before; it is cut off below.
+            lines = pa.Array.from_buffers(
+                pa.large_binary(), len(n), [None, pa.py_buffer(np.append(0, ends + 1).astype(np.int64)), text]
+            )
+            same = np.zeros(len(n), np.int32)
+            parts.append(
+                pa.table(
+                    {
+                        "lang": pa.DictionaryArray.from_arrays(pa.array(same), [lang]).cast(pa.string()),
+                        "size": pa.array(same + size),
+                        "line": lines,
+                        "n": pa.array(n),
+                    }
                 )
+            )
+        summed = pa.concat_tables(parts).group_by(["lang", "size", "line"], use_threads=False).aggregate([("n", "sum")])
+        sums = summed.rename_columns({"n_sum": "n"}).select(["lang", "size", "line", "n"])
+    kept = sums.filter(pc.greater_equal(sums["n"], min_count))
+    phrase = pc.binary_slice(kept["line"].cast(pa.binary()), 0, -1).cast(pa.string())
+    return pa.table({"lang": kept["lang"], "size": kept["size"], "phrase": phrase, "n": kept["n"]})
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +361,10 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def count_pairs(batches: Iterator[pa.RecordBatch], bits, burst: int, max_entries: int) -> Iterator[pa.RecordBatch]:
-    counting = Counting(2, 2, burst, max_entries)
+def count_pairs(
+    batches: Iterator[pa.RecordBatch], bits, buckets: int, burst: int, max_entries: int
+) -> Iterator[pa.RecordBatch]:
+    counting = Counting(2, 2, buckets, burst, max_entries)
     for batch in batches:
         for lang, texts in by_lang(batch):
             words, breaks = words_of(texts)
@@ -312,9 +382,9 @@ def count_pairs(batches: Iterator[pa.RecordBatch], bits, burst: int, max_entries
 
 
 def count_longer(
-    batches: Iterator[pa.RecordBatch], bits, burst: int, max_entries: int
+    batches: Iterator[pa.RecordBatch], bits, buckets: int, burst: int, max_entries: int
 ) -> Iterator[pa.RecordBatch]:
-    counting = Counting(3, MAX_WORDS, burst, max_entries)
+    counting = Counting(3, MAX_WORDS, buckets, burst, max_entries)
     for batch in batches:
         for lang, texts in by_lang(batch):
             words, breaks = words_of(texts)
@@ -370,21 +440,9 @@ def _bit_map(frequent: DataFrame):
     return frequent.sparkSession.sparkContext.broadcast(bits.ravel())
 
 
-def _prefix() -> Column:
-    """The words before the last one, two at least."""
-    return F.when(F.col("size") <= 2, F.col("phrase")).otherwise(F.expr("substring_index(phrase, ' ', size - 1)"))
-
-
 def merged(runs: DataFrame, min_count: int) -> DataFrame:
-    """Runs summed where their prefix meets; phrases below ``min_count`` go."""
-    return (
-        runs.withColumn("prefix", _prefix())
-        .repartition("lang", "prefix")
-        .groupBy("lang", "prefix", "size", "phrase")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= min_count)
-        .drop("prefix")
-    )
+    """Runs summed where their bucket meets; phrases below ``min_count`` go."""
+    return runs.groupBy("bucket").applyInArrow(lambda table: merged_bucket(table, min_count), COUNTS)
 
 
 def frequent_phrases(
@@ -396,7 +454,7 @@ def frequent_phrases(
         F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col("text").cast("binary").alias("text")
     )
     words = materialize(
-        texts.mapInArrow(count_words, RUN)
+        texts.mapInArrow(count_words, COUNTS)
         .groupBy("lang", "size", "phrase")
         .agg(F.sum("n").alias("n"))
         .where((F.col("n") >= min_count) | (F.col("phrase") == "")),
@@ -404,11 +462,15 @@ def frequent_phrases(
     )
     totals = words.where("phrase = ''").select("lang", F.col("n").alias("total"))
     words = words.where("phrase <> ''")
-    bits = _bit_map(words)
-    runs = texts.mapInArrow(functools.partial(count_pairs, bits=bits, burst=burst, max_entries=max_entries), RUN)
+    places = totals.agg(F.sum("total")).first()[0] or 0
+    settings = {
+        "buckets": min(max(MIN_BUCKETS, places // BUCKET_PLACES), MAX_BUCKETS),
+        "burst": burst,
+        "max_entries": max_entries,
+    }
+    runs = texts.mapInArrow(functools.partial(count_pairs, bits=_bit_map(words), **settings), RUN)
     pairs = materialize(merged(runs, min_count), "pairs")
-    bits = _bit_map(pairs)
-    runs = texts.mapInArrow(functools.partial(count_longer, bits=bits, burst=burst, max_entries=max_entries), RUN)
+    runs = texts.mapInArrow(functools.partial(count_longer, bits=_bit_map(pairs), **settings), RUN)
     longer = materialize(merged(runs, min_count), "longer")
     return words.unionByName(pairs).unionByName(longer), totals
 
