@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions import residues as R
-from .spread import exact_median, previous, running_sums
+from ..functions.runs import lowercase_runs
+from ..session import materialize
+from .spread import exact_median, running_sums, stitched
 
 PIECE = 65_536
-BLOCK_BASES = 1_000_000
 
 
 def base_profile(df: DataFrame, seq: str = "seq", lower: str = "acgt") -> DataFrame:
@@ -75,6 +76,7 @@ def mask_facts(df: DataFrame, keep: Sequence[str], id_col: str = "id", seq: str
         F.sha2(F.upper(F.col(seq)), 256).alias("sha"),
         R.lowercase_count(seq, "any").alias("lower_n"),
         R.gap_count(seq).alias("gap_n"),
+        R.lowercase_count(seq, "acgt").alias("soft_n"),
     )
 
 
@@ -164,64 +166,24 @@ def pieces_of(df: DataFrame, keys: Sequence[str], seq: str = "seq", size: int =
     )
 
 
-# Possessive and anchored at run starts, so a long run is walked once.
-_HEAD_RUN = r"^[acgt]++"
-_TAIL_RUN = r"(?<![acgt])[acgt]++$"
-
-
 def mask_intervals(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Maximal lowercase runs, 1-based closed: ``keys, start, end``.
 
-    Runs inside a piece are final. Only runs touching a piece border can go on in
-    the next piece; there are at most two per piece, read off the piece's ends and
-    joined where one stops right before the next begins. A record of any length
-    is many independent rows.
+    Runs are found where the bases are read; only positions go on from there. Runs inside a piece are
+    final. At most two per piece touch its ends; those alone meet their neighbours, see ``stitched``. A
+    record of any length is many independent rows.
     """
-    sized = pieces.select(*keys, F.col("start").alias("piece"), "bases", F.length("bases").cast("long").alias("width"))
-    last = F.col("piece") + F.col("width") - 1
-    # Pieces move, their runs do not: the window below reuses this partitioning.
-    runs = sized.repartition(*keys, "piece").select(
-        *keys,
-        "piece",
-        last.alias("last"),
-        F.posexplode(F.regexp_extract_all("bases", F.lit("([acgt]+|[^acgt]+)"))).alias("n", "run"),
-    )
-    runs = runs.select(
-        *keys, "piece", "last", "n", F.length("run").cast("long").alias("len"), F.col("run").rlike("^[acgt]").alias("soft")
-    )
-    inside = Window.partitionBy(*keys, "piece").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("piece") + F.coalesce(F.sum("len").over(inside), F.lit(0))
-    inner = (
-        runs.withColumn("start", first)
-        .withColumn("end", F.col("start") + F.col("len") - 1)
-        .where(F.col("soft") & (F.col("start") > F.col("piece")) & (F.col("end") < F.col("last")))
-        .select(*keys, "start", "end")
-    )
-    head = F.length(F.regexp_extract("bases", _HEAD_RUN, 0)).cast("long")
-    tail = F.length(F.regexp_extract("bases", _TAIL_RUN, 0)).cast("long")
-    span = lambda lo, hi: F.struct(lo.alias("start"), hi.alias("end"))
-    edges = sized.select(*keys, "piece", "width", last.alias("last"), head.alias("head"), tail.alias("tail")).select(
+    width = F.length("bases").cast("long")
+    found = pieces.select(*keys, F.col("start").alias("piece"), width.alias("width"), lowercase_runs("bases").alias("runs"))
+    first, last = F.col("piece"), F.col("piece") + F.col("width") - 1
+    spans = found.select(*keys, "piece", "width", F.inline("runs")).select(
         *keys,
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.when(F.col("head") > 0, span(F.col("piece"), F.col("piece") + F.col("head") - 1)),
-                    F.when(
-                        (F.col("tail") > 0) & (F.col("head") < F.col("width")),
-                        span(F.col("last") - F.col("tail") + 1, F.col("last")),
-                    ),
-                )
-            )
-        ).alias("e"),
-    ).select(*keys, "e.start", "e.end")
-    bucket = F.floor(F.col("start") / BLOCK_BASES)
-    chained = previous(edges, keys, ["start"], bucket, {"prev_end": F.col("end")})
-    opens = F.when(F.col("prev_end") + 1 == F.col("start"), 0).otherwise(1).cast("long")
-    islands = running_sums(chained, keys, ["start"], bucket, {"island": opens})
-    joined = (
-        islands.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+        (first + F.col("start") - 1).alias("start"),
+        (first + F.col("end") - 1).alias("end"),
+        ((F.col("start") == 1) | (F.col("end") == F.col("width"))).alias("border"),
     )
-    return inner.unionByName(joined)
+    spans = materialize(spans, "runs")
+    return spans.where(~F.col("border")).drop("border").unionByName(stitched(spans.where("border").drop("border"), keys))
 
 
 def sequence_window(df: DataFrame, regions: DataFrame, key: str, seq: str = "seq") -> DataFrame:

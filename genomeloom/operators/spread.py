@@ -10,11 +10,14 @@ totals come out null rather than wrong.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 BUCKET = "__bucket"
 
 
@@ -136,3 +139,40 @@ def quarantine(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     """(good, bad): rows without a reason, and the others with theirs."""
     marked = df.withColumn("reason", reason)
     return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull())
+
+
+# Positions of the smallest stretch in which neighbours meet, and how many stretches meet in the next larger one.
+STRETCH, FAN = 1 << 20, 1 << 10
+
+
+def stitched(spans: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
+    """Join spans of a key that touch: ``keys, start, end``, 1-based closed.
+
+    A tree over positions. Spans meet inside a stretch; what they become is final, but for the first and the last
+    one of the stretch. These go up to a stretch ``FAN`` times as long, until one stretch holds the
+    longest key. No window sees more than two rows per stretch below it. ``spans`` is to be stored: it is read twice.
+    """
+    longest = spans.agg(F.max(start)).first()[0] or 0
+    size, level, done = STRETCH, spans.select(*keys, start, end), []
+    while True:
+        joined = _joined_within(level, keys, start, end, size)
+        if longest < size:
+            done.append(joined.drop("__edge"))
+            break
+        joined = materialize(joined, "stretches")
+        done.append(joined.where(~F.col("__edge")).drop("__edge"))
+        level, size = joined.where("__edge").drop("__edge"), size * FAN
+    return functools.reduce(DataFrame.unionByName, done)
+
+
+def _joined_within(spans: DataFrame, keys: Sequence[str], start: str, end: str, size: int) -> DataFrame:
+    """Touching spans of a stretch as one, and whether it is the first or the last of the stretch."""
+    staged = spans.withColumn(BUCKET, F.floor(F.col(start) / size))
+    order = Window.partitionBy(*keys, BUCKET).orderBy(start, end)
+    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(before.isNull() | (F.col(start) > before + 1), 1).otherwise(0)
+    islands = staged.withColumn("__opens", opens).withColumn("__island", F.sum("__opens").over(order))
+    merged = islands.groupBy(*keys, BUCKET, "__island").agg(F.min(start).alias(start), F.max(end).alias(end))
+    whole = Window.partitionBy(*keys, BUCKET)
+    edge = (F.col("__island") == 1) | (F.col("__island") == F.max("__island").over(whole))
+    return merged.withColumn("__edge", edge).drop(BUCKET, "__island")
