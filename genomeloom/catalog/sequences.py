@@ -12,6 +12,7 @@ from ..plans.masking import masking_report, numbered_facts
 from ..session import scratch
 from ..sources import sequences as Q
 from ..sources import sinks
+from ..sources.blockgzip import read_block_gzip_lines, write_block_gzip
 from .registry import query
 
 SEQS = r"""seqs AS (
@@ -155,20 +156,24 @@ def fasta_problems(t):
     return found.unionByName(repeated).groupBy("reason").agg(F.sum("n").alias("n"))
 
 
-@query(
-    "fastq_roundtrip",
-    "SRC-04 SNK-03",
-    r"""WITH r AS (SELECT conv_id, turn, role, regexp_replace(text, '[^A-Za-z]', '', 'g') AS seq FROM conversations)
+FASTQ_SQL = r"""WITH r AS (SELECT conv_id, turn, role, regexp_replace(text, '[^A-Za-z]', '', 'g') AS seq FROM conversations)
 SELECT '@c' || conv_id || '_' || turn AS header, length(seq) AS n, sha256(seq) AS digest,
   CASE WHEN role = 'system' THEN 'quality_length' END AS reason
-FROM r WHERE length(seq) > 0""",
-)
+FROM r WHERE length(seq) > 0"""
+
+
+@query("fastq_roundtrip", "SRC-04 SNK-03", FASTQ_SQL)
 def fastq_roundtrip(t):
     """Conversations as four-line reads; system turns carry a short quality line."""
     path = scratch(t.spark, "fastq")
+    sinks.write_fastq(_reads(t), path)
+    return _read_back(Q.read_fastq(t.spark, path))
+
+
+def _reads(t):
     seq = F.regexp_replace("text", "[^A-Za-z]", "")
     qual = F.repeat(F.lit("@"), F.length("seq"))
-    reads = (
+    return (
         t.conversations.withColumn("seq", seq)
         .where(F.length("seq") > 0)
         .select(
@@ -177,10 +182,23 @@ def fastq_roundtrip(t):
             F.when(F.col("role") == "system", F.concat(qual, F.lit("@"))).otherwise(qual).alias("qual"),
         )
     )
-    sinks.write_fastq(reads, path)
-    return Q.read_fastq(t.spark, path).select(
-        "header", F.length("seq").cast("long").alias("n"), F.sha2("seq", 256).alias("digest"), "reason"
-    )
+
+
+def _read_back(rows):
+    return rows.select("header", F.length("seq").cast("long").alias("n"), F.sha2("seq", 256).alias("digest"), "reason")
+
+
+@query(
+    "fastq_block_gzip",
+    "SRC-04 SNK-03",
+    FASTQ_SQL,
+)
+def fastq_block_gzip(t):
+    """The same reads as block gzip, read by ranges of a few members: records are cut by the borders of ranges."""
+    lines = _reads(t).select(F.explode(F.split(sinks.fastq_record(), "\n")).alias("value"))
+    files = write_block_gzip(lines, scratch(t.spark, "block-gzip"), member_bytes=4096)
+    lines = read_block_gzip_lines(t.spark, files, range_bytes=16_384)
+    return _read_back(Q.fastq_records(lines))
 
 
 @query(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import residues as R
-from ..operators.spread import carry_forward, ordinal, running_sums
+from ..operators.spread import ordinal
+from ..session import bounded, materialize
+from .blockgzip import read_block_gzip_lines
 
 PLACE = ["block", "pos"]
 
@@ -116,35 +118,89 @@ def fasta_problems(spark: SparkSession, path) -> DataFrame:
 def read_fasta_pieces(spark: SparkSession, path) -> DataFrame:
     """One row per sequence line: ``file, rec, id, start, bases`` (start is 1-based in the record).
 
-    A chromosome stays many rows, spread over the blocks of its file.
+    A chromosome stays many rows, spread over the blocks of its file. Lines are placed inside their page; from the page
+    before they only need its number of headers, its last id, and how many bases have come since.
     """
     lines = read_lines(spark, path).where(~F.col("value").rlike(r"^\s*$"))
     is_head = F.col("value").startswith(">")
-    lines = running_sums(lines, ["file"], PLACE, page(), {"rec": is_head.cast("long")})
-    lines = carry_forward(
-        lines, ["file"], PLACE, page(),
-        F.when(is_head, R.first_token(F.expr("substring(value, 2)"))), "id",
+    bases = F.when(~is_head, F.regexp_replace("value", r"\s", ""))
+    lines = lines.select(
+        "file", page().alias("page"), "block", "pos", bases.alias("bases"),
+        F.when(is_head, R.first_token(F.expr("substring(value, 2)"))).alias("head"),
+    ).withColumn("len", F.coalesce(F.length("bases"), F.lit(0)).cast("long"))
+    so_far = Window.partitionBy("file", "page").orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, 0)
+    placed = lines.withColumns({"heads": F.count("head").over(so_far), "run": F.sum("len").over(so_far)}).withColumns(
+        {
+            "own_id": F.last("head", ignorenulls=True).over(so_far),
+            "own_run": F.last(F.when(F.col("head").isNotNull(), F.col("run")), ignorenulls=True).over(so_far),
+        }
     )
-    pieces = lines.where(~is_head & (F.col("rec") > 0)).select(
-        "file", "block", "pos", (F.col("rec") - 1).alias("rec"), "id",
-        F.regexp_replace("value", r"\s", "").alias("bases"),
+    pages = placed.groupBy("file", "page").agg(
+        F.max("heads").alias("n"),
+        F.max("run").alias("total"),
+        F.max_by("own_id", F.struct(*PLACE)).alias("last_id"),
+        F.max("own_run").alias("last_run"),
     )
-    placed = running_sums(
-        pieces, ["file", "rec"], PLACE, page(),
-        {"start": F.length("bases").cast("long")}, inclusive=False,
+    before = Window.partitionBy("file").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    pages = pages.withColumn("past", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    opened = F.last(F.when(F.col("n") > 0, F.col("past") + F.col("last_run")), ignorenulls=True).over(before)
+    pages = pages.select(
+        "file",
+        "page",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("recs"),
+        F.last("last_id", ignorenulls=True).over(before).alias("id_before"),
+        (F.col("past") - F.coalesce(opened, F.lit(0))).alias("carried"),
     )
-    return placed.select("file", "rec", "id", (F.col("start") + 1).alias("start"), "bases")
+    start = F.when(F.col("heads") > 0, F.col("run") - F.col("own_run")).otherwise(F.col("carried") + F.col("run"))
+    return (
+        placed.join(pages, ["file", "page"])
+        .where(F.col("bases").isNotNull() & (F.col("recs") + F.col("heads") > 0))
+        .select(
+            "file",
+            (F.col("recs") + F.col("heads") - 1).alias("rec"),
+            F.coalesce("own_id", "id_before").alias("id"),
+            (start - F.col("len") + 1).alias("start"),
+            "bases",
+        )
+    )
+
 
+def numbered_lines(lines: DataFrame, out: str = "line") -> DataFrame:
+    """Dense 0-based line number per file, for lines just as a source gives them: none left out.
 
-def read_fastq(spark: SparkSession, path, strict: bool = False) -> DataFrame:
-    """Four-line records: ``file, rec, header, seq, plus, qual, reason`` (null reason = well formed)."""
-    numbered = with_ordinal(read_lines(spark, path), "line")
+    Places are consecutive inside a split, so a line needs from the others only how many lines the splits before
+    its own hold: one row per split. The lines themselves stay where they were read.
+    """
+    splits = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    shifts = materialize(splits.select("file", "block", shift.alias("__shift")), "splits")
+    return lines.join(bounded(shifts), ["file", "block"]).withColumn(out, F.col("pos") + F.col("__shift")).drop("__shift")
+
+
+def read_fastq(spark: SparkSession, path, strict: bool = False, block_gzip: bool = False) -> DataFrame:
+    """Four-line records: ``file, rec, header, seq, plus, qual, reason`` (null reason = well formed).
+
+    Lines are numbered where they are read; a record whose lines lie in one task is put together there before the
+    one exchange. ``block_gzip``: the files are gzip; those written in blocks are read by ranges.
+    """
+    rows = fastq_records(read_block_gzip_lines(spark, path) if block_gzip else read_lines(spark, path))
+    if strict:
+        bad = rows.where(F.col("reason").isNotNull()).select("file", "rec", "reason").limit(5).collect()
+        if bad:
+            raise ValueError("FASTQ rejected: " + "; ".join(f"{r.file}#{r.rec}: {r.reason}" for r in bad))
+    return rows
+
+
+def fastq_records(lines: DataFrame) -> DataFrame:
+    """Four lines each of a file as a record, from ``file, block, pos, value``; see ``read_fastq``."""
+    numbered = numbered_lines(lines)
     slot = F.col("line") % 4
 
     def pick(i: int):
         return F.max(F.when(slot == i, F.col("value")))
 
-    rows = (
+    return (
         numbered.withColumn("rec", (F.col("line") / 4).cast("long"))
         .groupBy("file", "rec")
         .agg(
@@ -163,8 +219,3 @@ def read_fastq(spark: SparkSession, path, strict: bool = False) -> DataFrame:
         )
         .drop("lines")
     )
-    if strict:
-        bad = rows.where(F.col("reason").isNotNull()).select("file", "rec", "reason").limit(5).collect()
-        if bad:
-            raise ValueError("FASTQ rejected: " + "; ".join(f"{r.file}#{r.rec}: {r.reason}" for r in bad))
-    return rows

@@ -17,9 +17,13 @@ def write_fasta(df: DataFrame, path: str, header: str = "header", seq: str = "se
     df.select(record.alias("value")).write.text(path)
 
 
+def fastq_record() -> Column:
+    """The four lines of a read in one value."""
+    return F.concat_ws("\n", F.concat(F.lit("@"), "header"), "seq", F.lit("+"), "qual")
+
+
 def write_fastq(df: DataFrame, path: str) -> None:
-    record = F.concat_ws("\n", F.concat(F.lit("@"), "header"), "seq", F.lit("+"), "qual")
-    df.select(record.alias("value")).write.text(path)
+    df.select(fastq_record().alias("value")).write.text(path)
 
 
 def gff3_line(attributes: Column) -> Column:
