@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import ledger as L
 from ..session import scratch
 from ..streaming import landing as N
 from ..streaming import progress as G
 from ..streaming import runs as U
-from .ledger import BUDGET_SQL, EVENT_SQL, ORDER, run_events
+from .ledger import BUDGET_SQL, EVENT_SQL, run_events
 from .registry import query
 
 SLOT_SQL = """o AS (SELECT 'B' AS "group", 'm' || o_orderstatus AS model, o_custkey AS case_id, 1 + (length(o_orderpriority) - 5) // 3 AS repetition,
@@ -146,26 +145,29 @@ def stream_usage_alerts(t):
 @query(
     "stream_stale",
     "ST-04 J-12",
-    f"""WITH {EVENT_SQL}, l AS (SELECT project_id, status FROM ev QUALIFY row_number() OVER (PARTITION BY project_id ORDER BY ts DESC, event_id DESC) = 1)
-SELECT o_custkey AS project_id, o_orderkey AS product_id, status, 'STALE' AS to_status FROM orders JOIN l ON l.project_id = o_custkey
-WHERE o_orderpriority = '1-URGENT' AND o_totalprice >= 400000 AND status IN ('SUCCEEDED', 'READY', 'RUNNING', 'WAITING_REVIEW')""",
+    f"""WITH {EVENT_SQL}, c AS (SELECT o_custkey AS project_id, o_orderkey AS product_id, TIMESTAMP '2024-01-01' + to_minutes(o_orderkey % 40320) AS at
+  FROM orders WHERE o_orderpriority = '1-URGENT'),
+s AS (SELECT c.project_id, product_id, status FROM c JOIN ev ON ev.project_id = c.project_id AND ev.ts <= c.at
+  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT project_id, product_id, status, 'STALE' AS to_status FROM s WHERE status IN ('SUCCEEDED', 'READY', 'RUNNING', 'WAITING_REVIEW')""",
 )
 def stream_stale(t):
-    """Landing product digests against the registered ones and the live runs."""
+    """Landing product digests against the registered ones, judged by the run status of their time, which lands as well."""
+    N.use_rocksdb(t.spark)
     path = scratch(t.spark, "products")
-    moved = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") >= 400000)
+    digest = F.sha2(F.when(F.col("o_orderpriority") == "1-URGENT", "moved").otherwise(F.col("o_orderpriority")), 256)
+    minute = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("o_orderkey") % 40_320 * 60)
     rows = t.orders.select(
-        F.col("o_custkey").alias("project_id"),
-        F.col("o_orderkey").alias("product_id"),
-        F.sha2(F.when(moved, F.lit("moved")).otherwise(F.col("o_orderpriority")), 256).alias("sha256"),
+        F.col("o_custkey").alias("project_id"), F.col("o_orderkey").alias("product_id"), digest.alias("sha256"), minute.alias("ts")
     )
-    rows.write.json(path)
+    rows.repartition(5, F.xxhash64("product_id")).write.json(path)
+    N.close_landing(t.spark, path, rows.schema)
     expected = t.orders.select(
         F.col("o_custkey").alias("project_id"), F.col("o_orderkey").alias("product_id"), F.sha2("o_orderpriority", 256).alias("sha256")
     )
-    states = L.current_runs(run_events(t), ["project_id"], ORDER, "status")
-    changes = N.landing(t.spark, path, rows.schema).drop("_corrupt_record")
-    return N.drain(U.stale_marks(changes, expected, states), "stale")
+    changes = N.landing(t.spark, path, rows.schema, max_bytes=500_000).drop("_corrupt_record")
+    states = _landed_events(t, lambda df: df.select("project_id", "event_id", "ts", "status"))
+    return N.drain(U.stale_marks(changes, expected, states, ANY_ORDER), "stale")
 
 
 @query(

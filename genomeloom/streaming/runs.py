@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,67 +28,104 @@ def _judge(current: tuple[str, str] | None, run: str, target: str) -> str | None
 
 # Span of event time that is released at once: what a key holds in it is sorted in memory.
 BUCKET_SECONDS = 86_400
+# Rows that go to or come from the state in one call.
+CHUNK_ROWS = 10_000
 
 
 class InTimeOrder(StatefulProcessor):
-    """Holds the rows of a key back and releases them in (ts, event_id) order.
+    """Holds the rows of a key back and releases them in the order of time.
 
-    Rows wait in the state by bucket of event time. A timer releases a bucket when the watermark has passed its
-    end, so neither the order in which files land nor how they fall into batches can change what comes out.
-    Only a row that lands later than the watermark's delay is left out, as the watermark promises.
+    Rows wait in a list: a batch appends its rows and reads none. A timer per bucket of event time goes off when the
+    watermark has passed the bucket's end. The rows of that bucket are then taken out, sorted and released; those that
+    wait on are copied to a second list, and the two change places. A row is so written once, and once more for
+    each bucket that ends while it waits, however many batches brought the rows.
+
+    Neither the order in which files land nor how they fall into batches can change what comes out. Only a row
+    that lands later than the watermark's delay is left out, as the watermark promises, and one without time.
     """
 
-    #: Columns that are held, ``at`` (microseconds) and ``event_id`` first. The key is held too: what is released
-    #: is written from the rows alone.
-    held: tuple[str, ...] = ()
+    #: Columns that are held with their types, ``at`` (microseconds) first. The key is held too: what is released is
+    #: written from the rows alone.
+    held: tuple[tuple[str, str], ...] = ()
 
     def __init__(self, bucket_seconds: int = BUCKET_SECONDS):
         self.bucket_ms = bucket_seconds * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "bucket long", "rows string")
+        schema = ", ".join(f"{name} {kind}" for name, kind in self.held)
+        self.lists = [handle.getListState(f"waiting_{i}", schema) for i in (0, 1)]
+        self.turn = handle.getValueState("turn", "list int, until long")
+
+    def _current(self) -> tuple[int, int]:
+        """Which list rows wait in, and up to which time (microseconds) rows were released."""
+        stored = self.turn.get()
+        return (int(stored[0]), int(stored[1])) if stored is not None else (0, 0)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        waiting, ends = self.lists[self._current()[0]], set()
         for part in rows:
-            buckets = part["at"] // (1000 * self.bucket_ms)
-            for bucket, some in part.groupby(buckets):
-                slot = (int(bucket),)
-                known = self.waiting.containsKey(slot)
-                before = json.loads(self.waiting.getValue(slot)[0]) if known else []
-                # Column by column: a table of mixed columns would turn whole numbers into floats.
-                fresh = [list(row) for row in zip(*(some[c].tolist() for c in self.held), strict=True)]
-                self.waiting.updateValue(slot, (json.dumps(before + fresh),))
-                if not known:
-                    self.handle.registerTimer((int(bucket) + 1) * self.bucket_ms)
+            part = part[part["at"].notna()]
+            # Column by column: a table of mixed columns would turn whole numbers into floats.
+            fresh = list(zip(*(_cells(part[name], kind) for name, kind in self.held), strict=True))
+            for i in range(0, len(fresh), CHUNK_ROWS):
+                waiting.appendList(fresh[i : i + CHUNK_ROWS])
+            ends.update(int(b) for b in (part["at"] // (1000 * self.bucket_ms)).unique())
+        for bucket in ends:
+            self.handle.registerTimer((bucket + 1) * self.bucket_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        until = expiredTimerInfo.getExpiryTimeInMs()
-        for (bucket,) in sorted(k for k in self.waiting.keys() if (k[0] + 1) * self.bucket_ms <= until):
-            rows = sorted(json.loads(self.waiting.getValue((bucket,))[0]), key=lambda r: (r[0], r[1]))
-            self.waiting.removeKey((bucket,))
-            out = self.release(rows)
-            if len(out):
-                yield out
-
-    def release(self, rows: list[list]) -> pd.DataFrame:
+        turn, released = self._current()
+        # Buckets that ended together go together; the timers of the others then find their rows gone.
+        passed = timerValues.getCurrentWatermarkInMs() // self.bucket_ms * self.bucket_ms
+        until = max(passed, expiredTimerInfo.getExpiryTimeInMs()) * 1000
+        if until <= released:
+            return
+        here, there = self.lists[turn], self.lists[1 - turn]
+        due, stay = [], []
+        for row in here.get():
+            if row[0] < until:
+                due.append(tuple(row))
+                continue
+            stay.append(tuple(row))
+            if len(stay) == CHUNK_ROWS:
+                there.appendList(stay)
+                stay = []
+        if stay:
+            there.appendList(stay)
+        here.clear()
+        self.turn.update((1 - turn, until))
+        out = self.release(sorted(due, key=self.place))
+        if len(out):
+            yield out
+
+    def place(self, row: tuple) -> tuple:
+        return row[:2]
+
+    def release(self, rows: list[tuple]) -> pd.DataFrame:
         raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
+def _cells(column: pd.Series, kind: str) -> list:
+    """Values for the state: missing ones as None, whole numbers whole (beside nulls they come as floats)."""
+    whole = (lambda v: int(v)) if kind in ("long", "int") else (lambda v: v)
+    return [None if v is None or v != v else whole(v) for v in column.tolist()]
+
+
 class RunMachine(InTimeOrder):
     """Keeps the current run of a project; refuses illegal moves and submissions while one is active."""
 
-    held = ("at", "event_id", "project_id", "run_id", "status")
+    held = (("at", "long"), ("event_id", "long"), ("project_id", "long"), ("run_id", "string"), ("status", "string"))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.state = handle.getValueState("run", "run_id string, status string")
 
-    def release(self, rows: list[list]) -> pd.DataFrame:
+    def release(self, rows: list[tuple]) -> pd.DataFrame:
         stored = self.state.get()
         current = (stored[0], stored[1]) if stored is not None else None
         out = []
@@ -107,7 +143,7 @@ class RunMachine(InTimeOrder):
 class ReservationWatch(InTimeOrder):
     """Running reservation total per user; one alert when it passes the cap."""
 
-    held = ("at", "event_id", "user_id", "reserved")
+    held = (("at", "long"), ("event_id", "long"), ("user_id", "long"), ("reserved", "long"))
 
     def __init__(self, cap: int, bucket_seconds: int = BUCKET_SECONDS):
         super().__init__(bucket_seconds)
@@ -117,13 +153,12 @@ class ReservationWatch(InTimeOrder):
         super().init(handle)
         self.total = handle.getValueState("total", "total long, alerted boolean")
 
-    def release(self, rows: list[list]) -> pd.DataFrame:
+    def release(self, rows: list[tuple]) -> pd.DataFrame:
         stored = self.total.get()
         total, alerted = (int(stored[0]), bool(stored[1])) if stored is not None else (0, False)
         out = []
         for _, event, user, reserved in rows:
-            # A batch with a null among its numbers holds them as floats.
-            total += 0 if reserved is None or reserved != reserved else int(reserved)
+            total += reserved or 0
             if total > self.cap and not alerted:
                 out.append((user, event, total, "cap_reached"))
                 alerted = True
@@ -131,9 +166,12 @@ class ReservationWatch(InTimeOrder):
         return pd.DataFrame(out, columns=["user_id", "event_id", "reserved_total", "alert"])
 
 
-def _in_time_order(rows: DataFrame, key: str, delay: str, processor: InTimeOrder, output: str) -> DataFrame:
-    timed = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).withColumn("at", F.unix_micros("ts"))
-    return timed.groupBy(key).transformWithStateInPandas(
+def _timed(rows: DataFrame, delay: str) -> DataFrame:
+    return rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+
+
+def _in_time_order(timed: DataFrame, key: str, processor: InTimeOrder, output: str) -> DataFrame:
+    return timed.withColumn("at", F.unix_micros("ts")).groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime"
     )
 
@@ -144,13 +182,13 @@ def run_machine(events: DataFrame, delay: str = "1 day") -> DataFrame:
     ``delay``: how much later than newer events an event may land and still be judged in its place.
     """
     rows = events.select("project_id", "event_id", "ts", "run_id", "status")
-    return _in_time_order(rows, "project_id", delay, RunMachine(), RUN_OUTPUT)
+    return _in_time_order(_timed(rows, delay), "project_id", RunMachine(), RUN_OUTPUT)
 
 
 def reservation_alerts(rows: DataFrame, cap: int, delay: str = "1 day") -> DataFrame:
     """First reservation over the cap of each user, from ``user_id, event_id, ts, reserved``."""
     rows = rows.select("user_id", "event_id", "ts", "reserved")
-    return _in_time_order(rows, "user_id", delay, ReservationWatch(cap), ALERT_OUTPUT)
+    return _in_time_order(_timed(rows, delay), "user_id", ReservationWatch(cap), ALERT_OUTPUT)
 
 
 def usage_alerts(rows: DataFrame) -> DataFrame:
@@ -160,13 +198,54 @@ def usage_alerts(rows: DataFrame) -> DataFrame:
     )
 
 
-def stale_marks(changes: DataFrame, expected: DataFrame, states: DataFrame) -> DataFrame:
-    """Stream of product digests against the registered ones: live runs whose input moved turn stale."""
+# States that a changed input turns stale.
+LIVE = ("SUCCEEDED", "READY", "RUNNING", "WAITING_REVIEW")
+STALE_OUTPUT = "project_id long, product_id long, status string, to_status string"
+
+
+class StaleWatch(InTimeOrder):
+    """Keeps the status of a project; a changed product marks it stale if it is live at that time."""
+
+    #: ``kind`` 0: a status, ``ref`` is its event; 1: a changed product, ``ref`` is the product.
+    held = (("at", "long"), ("kind", "long"), ("ref", "long"), ("project_id", "long"), ("status", "string"))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.state = handle.getValueState("status", "status string")
+
+    def place(self, row: tuple) -> tuple:
+        return row[:3]
+
+    def release(self, rows: list[tuple]) -> pd.DataFrame:
+        stored = self.state.get()
+        status, out = stored[0] if stored is not None else None, []
+        for _, kind, ref, project, landed in rows:
+            if kind == 0:
+                status = landed
+            elif status in LIVE:
+                out.append((project, ref, status, "STALE"))
+        if status is not None:
+            self.state.update((status,))
+        return pd.DataFrame(out, columns=["project_id", "product_id", "status", "to_status"])
+
+
+def stale_marks(changes: DataFrame, expected: DataFrame, states: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Product digests against the registered ones: what moved marks the project stale if a run is live at that time.
+
+    ``changes`` (project_id, product_id, sha256, ts) and ``states`` (project_id, event_id, status, ts) are both streams, in
+    any order of landing up to ``delay``; a status of the same time as a change counts before it.
+    """
+    # A watermark for each stream: the slower one holds the time back.
+    states, changes = _timed(states, delay), _timed(changes, delay)
     moved = changes.join(
         expected.withColumnRenamed("sha256", "expected"), ["project_id", "product_id"]
     ).where(F.col("sha256") != F.col("expected"))
-    # States that a changed input turns stale.
-    live = states.where(F.col("status").isin("SUCCEEDED", "READY", "RUNNING", "WAITING_REVIEW"))
-    return moved.join(live.select("project_id", "status"), "project_id").select(
-        "project_id", "product_id", "status", F.lit("STALE").alias("to_status")
-    )
+    rows = states.select(
+        "project_id", "ts", F.lit(0).cast("long").alias("kind"), F.col("event_id").alias("ref"), "status"
+    ).unionByName(
+        moved.select(
+            "project_id", "ts", F.lit(1).cast("long").alias("kind"), F.col("product_id").alias("ref"),
+            F.lit(None).cast("string").alias("status"),
+        )
+    )
+    return _in_time_order(rows, "project_id", StaleWatch(), STALE_OUTPUT)
