@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import textscan as X
+from ..operators.multiterm import find_terms
 from .registry import query
 
 # Planted tokens of the corpus become key literals; some texts gain an access key or a key header.
@@ -130,27 +131,77 @@ def text_budget(t):
     return X.text_budget(t.conversations, ["conv_id"], "text")
 
 
-LEAK_SQL = r"""d AS (SELECT doc_id, source, lang, lower(text) AS low, CASE WHEN source = 'src2' THEN ' none ' WHEN source = 'src4' THEN ' (bad) masking_mode_error' WHEN source = 'src5' THEN ' see /home/x meta.json' ELSE '' END AS extra FROM documents),
-x AS (SELECT doc_id, source, low || extra AS s FROM d),
-tk AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(s, '[a-z0-9]+'))) AS w FROM x), tu AS (SELECT doc_id, source, unnest(list_distinct(regexp_extract_all(s, '[a-z0-9_]+'))) AS w FROM x),
+LEAK_SQL = r"""x AS (SELECT doc_id, source, lang,
+   CASE WHEN source = 'src7' THEN 'artifacts/truncated_' WHEN source = 'src9' THEN 'artifacts/low_anchoring/' ELSE 'artifacts/' END || doc_id || '.txt' || chr(10)
+   || lower(text) || CASE WHEN source IN ('src2', 'src3') THEN ' none ' WHEN source = 'src4' THEN ' (bad) masking_mode_error' WHEN source = 'src5' THEN ' see /home/x meta.json' ELSE '' END AS s FROM documents),
+tk AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(s, '[a-z0-9]+'))) AS w FROM x), tu AS (SELECT doc_id, source, lang, unnest(list_distinct(regexp_extract_all(s, '[a-z0-9_]+'))) AS w FROM x),
 r AS (SELECT doc_id, 'trace_word' AS kind, w AS token FROM tk WHERE w IN ('truncated', 'injected', 'injection', 'fault', 'faulty', 'bad', 'synthetic')
-  UNION ALL SELECT tu.doc_id, 'single_word', w FROM tu JOIN documents USING (doc_id) WHERE w IN ('none', 'contamination') AND NOT (w = 'none' AND lang = 'fr')
-  UNION ALL SELECT doc_id, 'enum_token', 'masking_mode_error' FROM x WHERE contains(s, 'masking_mode_error')
+  UNION ALL SELECT doc_id, 'single_word', w FROM tu WHERE w IN ('none', 'contamination') AND NOT (w = 'none' AND lang IN ('fr', 'de') AND source <> 'src3' AND doc_id % 5 <> 0)
+  UNION ALL SELECT doc_id, 'enum_token', n FROM x, (VALUES ('masking_mode_error'), ('low_anchoring')) v(n) WHERE contains(s, n)
   UNION ALL SELECT doc_id, 'private_name', n FROM x, (VALUES ('meta.json'), ('/home/')) v(n) WHERE contains(s, n))"""
 
 
 @query("leak_scan", "C-13", f"WITH {LEAK_SQL} SELECT doc_id, kind, token FROM r")
 def leak_scan(t):
-    """Answer leaks in documents; French texts may quote the tool's own "none"."""
+    """Answer leaks in documents and their names.
+
+    French and German texts may quote the tool's own "none": but for those from a source whose digest has
+    changed since (src3), and for every fifth document, which no tool wrote as it is.
+    """
+    source = F.col("source")
     extra = (
-        F.when(F.col("source") == "src2", " none ")
-        .when(F.col("source") == "src4", " (bad) masking_mode_error")
-        .when(F.col("source") == "src5", " see /home/x meta.json")
+        F.when(source.isin("src2", "src3"), " none ")
+        .when(source == "src4", " (bad) masking_mode_error")
+        .when(source == "src5", " see /home/x meta.json")
         .otherwise("")
     )
-    docs = t.documents.select("doc_id", F.concat("text", extra).alias("text"))
-    exceptions = t.documents.where("lang = 'fr'").select("doc_id", F.lit("none").alias("token"))
-    return X.leak_scan(docs, ["doc_id"], "text", exceptions=exceptions)
+    folder = (
+        F.when(source == "src7", "artifacts/truncated_").when(source == "src9", "artifacts/low_anchoring/").otherwise("artifacts/")
+    )
+    docs = t.documents.select(
+        "doc_id", F.concat(folder, "doc_id", F.lit(".txt")).alias("name"), F.concat("text", extra).alias("text")
+    )
+    digest = F.sha2(source, 256)
+    exceptions = t.documents.where("lang IN ('fr', 'de')").select(
+        "doc_id", F.lit("none").alias("token"), source.alias("source_path"), digest.alias("source_sha256")
+    )
+    origin = F.when(F.col("doc_id") % 5 == 0, "edited").otherwise("tool_verbatim")
+    extractions = t.documents.select("doc_id", origin.alias("text_origin"), F.array("source").alias("source_paths"))
+    registered = t.documents.select("source").distinct().select(
+        source.alias("source_path"), F.when(source == "src3", F.sha2(F.lit("new"), 256)).otherwise(digest).alias("sha256")
+    )
+    return X.leak_scan(
+        docs, ["doc_id"], "text", name="name", exceptions=exceptions, extractions=extractions, sources=registered
+    )
+
+
+PHRASES_SQL = r"""b AS (SELECT item_id, regexp_extract_all(lower(text), '[^\s]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS phrase FROM b),
+d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\s]+') AS w, ' ' || array_to_string(regexp_extract_all(lower(text), '[^\s]+'), ' ') || ' ' AS s FROM documents),
+g AS (SELECT DISTINCT doc_id, s, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS phrase FROM d)"""
+
+
+@query(
+    "phrase_hits",
+    "C-13",
+    f"WITH {PHRASES_SQL} SELECT doc_id, count(*) AS phrases FROM g JOIN p USING (phrase) GROUP BY doc_id".replace("\\\\", "\\"),
+)
+def phrase_hits(t):
+    """Five-word phrases of the benchmark in each document: the term table is the benchmark itself."""
+
+    def words(col):
+        return F.regexp_extract_all(F.lower(col), F.lit(r"(\S+)"))
+
+    w = F.col("w")
+    phrases = (
+        t.benchmark.select(words("text").alias("w"))
+        .where(F.size(w) >= 5)
+        .select(F.explode(F.sequence(F.lit(1), F.size(w) - 4)).alias("i"), "w")
+        .select(F.concat(F.lit(" "), F.array_join(F.slice("w", F.col("i"), F.lit(5)), " "), F.lit(" ")).alias("term"))
+    )
+    terms = phrases.select("term", F.lit("phrase").alias("kind"), F.lit("inside").alias("rule"))
+    line = F.concat(F.lit(" "), F.array_join(words("text"), " "), F.lit(" "))
+    return find_terms(t.documents, ["doc_id"], line, terms).groupBy("doc_id").agg(F.count("*").alias("phrases"))
 
 
 def _term_sql(table: str, key: str, text: str) -> str:

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.locators import contents
+from ..session import literal_table, materialize
+from .multiterm import INSIDE, TOKEN, WORD, find_terms
+
 # Secret patterns, the prefixes of checked-in fixtures, and keys whose value is dropped.
 SECRET_PATTERNS = {
     "api_key_literal": r"(?<![A-Za-z0-9])(sk-[A-Za-z0-9_.~-]{20,})",
@@ -167,45 +171,57 @@ def text_budget(df: DataFrame, keys: Sequence[str], text: str, base: int = 64, p
     )
 
 
-def leak_scan(
-    df: DataFrame, keys: Sequence[str], text: str, enum_tokens: Sequence[str] = ROOT_CAUSES, exceptions: DataFrame | None = None
-) -> DataFrame:
-    """Leaks per text as ``keys, kind, token``: trace words, bare enum words, enum tokens, private names, CR bytes.
-
-    ``exceptions`` (``keys, token``) clears single words that a tool wrote itself.
-    """
-    low = F.lower(F.col(text))
-    plain = F.array_distinct(F.regexp_extract_all(low, F.lit(r"([a-z0-9]+)")))
-    joined = F.array_distinct(F.regexp_extract_all(low, F.lit(r"([a-z0-9_]+)")))
+def leak_terms(enum_tokens: Sequence[str] = ROOT_CAUSES) -> list[dict]:
+    """What must not reach visible material, as rows of ``term, kind, rule``."""
     composite = [t for t in enum_tokens if "_" in t]
+    groups = (
+        (TRACE_WORDS, "trace_word", WORD),
+        (SINGLE_WORDS, "single_word", TOKEN),
+        (composite, "enum_token", INSIDE),
+        (PRIVATE_NAMES, "private_name", INSIDE),
+        (("\r",), "non_lf", INSIDE),
+    )
+    return [{"term": t, "kind": kind, "rule": rule} for names, kind, rule in groups for t in names]
 
-    def tagged(values: Column, kind: str) -> Column:
-        return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("token")))
-
-    def contained(names: Sequence[str]) -> Column:
-        return F.filter(F.array(*[F.lit(n) for n in names]), lambda n: F.contains(low, n))
 
-    def words(names: Sequence[str]) -> Column:
-        return F.array(*[F.lit(n) for n in names])
+def leak_scan(
+    df: DataFrame,
+    keys: Sequence[str],
+    text: str,
+    name: str | None = None,
+    terms: DataFrame | None = None,
+    exceptions: DataFrame | None = None,
+    extractions: DataFrame | None = None,
+    sources: DataFrame | None = None,
+) -> DataFrame:
+    """Leaks as ``keys, kind, token``: trace words, bare enum words, enum tokens, private names, CR bytes (token ``CR``).
 
-    found = F.concat(
-        tagged(F.array_intersect(plain, words(TRACE_WORDS)), "trace_word"),
-        tagged(F.array_intersect(joined, words(SINGLE_WORDS)), "single_word"),
-        tagged(contained(composite), "enum_token"),
-        tagged(contained(PRIVATE_NAMES), "private_name"),
-        tagged(F.when(F.contains(F.col(text), F.lit("\r")), F.array(F.lit("CR"))).otherwise(F.array().cast("array<string>")), "non_lf"),
+    ``name``: column with the file's name, which is scanned like its text. ``terms`` (``term, kind, rule``) are looked for
+    beside the fixed ones. A single word is cleared only by an exception (``keys, token, source_path,
+    source_sha256``) for a file that a tool wrote as it is (``extractions``: ``keys, text_origin, source_paths``), if it
+    names one of that file's sources and the digest under which ``sources`` (``source_path, sha256``) registers it now.
+    """
+    fixed = literal_table(df.sparkSession, leak_terms(), "term string, kind string, rule string")
+    wanted = fixed if terms is None else fixed.unionByName(terms.select("term", "kind", "rule"))
+    scanned = F.concat(F.coalesce(F.col(name), F.lit("")), F.lit("\n"), F.coalesce(F.col(text), F.lit(""))) if name else F.col(text)
+    found = find_terms(df, keys, scanned, wanted).withColumn(
+        "token", F.when(F.col("kind") == "non_lf", "CR").otherwise(F.col("token"))
     )
-    # One cheap pass drops the clean texts before anything is tokenized.
-    suspicious = low.rlike("|".join([*TRACE_WORDS, *SINGLE_WORDS, *(_literal(n) for n in (*composite, *PRIVATE_NAMES)), "\r"]))
-    rows = df.where(suspicious).select(*keys, F.explode(found).alias("f")).select(*keys, "f.kind", "f.token")
     if exceptions is None:
-        return rows
-    cleared = exceptions.select(*keys, "token", F.lit("single_word").alias("kind")).distinct()
-    return rows.join(cleared, [*keys, "kind", "token"], "left_anti")
-
-
-def _literal(name: str) -> str:
-    return name.replace(".", r"\.")
+        return found
+    if extractions is None or sources is None:
+        raise ValueError("exceptions need the extractions and the registered sources they are bound to")
+    written = extractions.where(F.col("text_origin") == "tool_verbatim").select(
+        *keys, F.explode("source_paths").alias("source_path")
+    )
+    current = sources.select("source_path", F.col("sha256").alias("source_sha256"))
+    bound = exceptions.select(*keys, F.lower("token").alias("token"), "source_path", "source_sha256").join(
+        written, [*keys, "source_path"], "left_semi"
+    )
+    cleared = bound.join(current, ["source_path", "source_sha256"], "left_semi").select(
+        *keys, "token", F.lit("single_word").alias("kind")
+    )
+    return found.join(cleared.distinct(), [*keys, "kind", "token"], "left_anti")
 
 
 def term_hits(df: DataFrame, keys: Sequence[str], text: str, terms: DataFrame) -> DataFrame:
@@ -219,42 +235,36 @@ def term_hits(df: DataFrame, keys: Sequence[str], text: str, terms: DataFrame) -
     return words.join(terms.select("term").distinct(), "term", "left_semi").select(*keys, "term")
 
 
+def locator_index(files: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``keys, file, lines, names``: what pointers can name in each file, from ``keys, file, text``.
+
+    Names are dotted JSON paths, FASTA ids, feature attributes, or the columns of a first line, by the file's ending.
+    The texts are read once and stay behind.
+    """
+    found = files.select(*keys, "file", contents("file", "text").alias("c")).where(F.col("c").isNotNull())
+    return materialize(found.select(*keys, "file", "c.lines", "c.names"), "locators")
+
+
 def resolve_pointers(pointers: DataFrame, files: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Evidence pointers ``file:locator`` with ``outcome``.
 
-    ``pointers``: ``keys, file, locator``; ``files``: ``keys, file, text``. A locator is a
-    line number, ``empty``, a dotted JSON path, a FASTA id, a GFF attribute or a TSV column.
+    ``pointers``: ``keys, file, locator``; ``files``: ``keys, file, text``. A locator is a line number, ``empty``, or a name
+    of ``locator_index``. Pointers meet the number of lines by file and the names by file and name, so any number of
+    pointers may go to one file.
     """
-    newline = F.regexp_count("text", F.lit("\n"))
-    lines = F.when(F.col("text") == "", 0).when(F.col("text").endswith("\n"), newline).otherwise(newline + 1)
-    body = files.select(*keys, "file", "text", lines.cast("long").alias("lines"))
-    rows = pointers.join(body, [*keys, "file"], "left")
-    name, loc = F.col("file"), F.col("locator")
-    last = F.regexp_extract(loc, r"([^.]+)$", 1)
-    parent = F.when(loc.contains("."), F.regexp_replace(loc, r"\.[^.]+$", ""))
-    path = F.when(
-        parent.isNotNull(),
-        F.concat(F.lit("$."), F.regexp_replace(parent, r"\.(\d+)(?=\.|$)", r"[$1]")),
-    ).otherwise(F.lit("$"))
-    holder = F.call_function("get_json_object", F.col("text"), path)
-    in_json = F.when(
-        F.substring(holder, 1, 1) == "[", last.try_cast("int") < F.json_array_length(holder)
-    ).otherwise(F.array_contains(F.json_object_keys(holder), last))
-    header = F.substring_index("text", "\n", 1)
-    in_header = F.array_contains(F.split(header, "\t"), loc)
-    in_fasta = F.array_contains(F.regexp_extract_all("text", F.lit(r"(?m)^>\s*(\S+)")), loc)
-    in_gff = loc.isin("protein_id", "Parent", "ID") & F.contains(F.col("text"), F.concat(loc, F.lit("=")))
+    index = locator_index(files, keys)
+    lines = index.select(*keys, "file", "lines")
+    names = index.select(*keys, "file", F.explode("names").alias("locator")).withColumn("named", F.lit(True))
+    rows = pointers.join(lines, [*keys, "file"], "left").join(names, [*keys, "file", "locator"], "left")
+    loc, there = F.col("locator"), F.col("lines").isNotNull()
     ok = (
-        F.when(loc == "empty", F.col("text") == "")
+        F.when(loc == "empty", F.col("lines") == 0)
         .when(loc.rlike(r"^\d+$"), loc.try_cast("long").between(1, F.col("lines")))
-        .when(name.endswith(".json"), in_json)
-        .when(name.rlike(r"\.(fa|faa|fasta)$"), in_fasta)
-        .when(name.rlike(r"\.gff3?$"), in_gff)
-        .otherwise(in_header)
+        .otherwise(F.col("named"))
     )
     outcome = (
-        F.when(_unsafe_name(name) | name.isin("expected.json", "meta.json"), F.lit("unsafe"))
-        .when(F.col("text").isNull(), F.lit("no_file"))
+        F.when(_unsafe_name(F.col("file")) | F.col("file").isin("expected.json", "meta.json"), F.lit("unsafe"))
+        .when(~there, F.lit("no_file"))
         .when(F.coalesce(ok, F.lit(False)), F.lit("resolved"))
         .otherwise(F.lit("unresolved"))
     )

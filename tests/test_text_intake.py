@@ -1,9 +1,13 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from genomeloom.functions import filenames as N
 from genomeloom.operators import intake as I
 from genomeloom.operators import ledger as L
+from genomeloom.operators import multiterm as M
 from genomeloom.operators import textscan as X
 
 
@@ -121,11 +125,64 @@ def test_secrets_and_redaction(spark):
 
 
 def test_leaks_and_exceptions(spark):
-    rows = [(1, "A bad idea"), (2, "badly done"), (3, "none here"), (4, "none_of"), (5, "x masking_mode_error y"), (6, "a\r\nb"), (7, "none quoted"), (8, "sub_bad_word")]
-    docs = spark.createDataFrame(rows, "id int, text string")
-    clear = spark.createDataFrame([(7, "none")], "id int, token string")
-    got = sorted((r.id, r.kind, r.token) for r in X.leak_scan(docs, ["id"], "text", exceptions=clear).collect())
-    assert got == [(1, "trace_word", "bad"), (3, "single_word", "none"), (5, "enum_token", "masking_mode_error"), (6, "non_lf", "CR"), (8, "trace_word", "bad")]
+    rows = [(1, "A bad idea"), (2, "badly done"), (3, "none here"), (4, "none_of"), (5, "x masking_mode_error y"), (6, "a\r\nb"), (7, "none quoted"),
+            (8, "sub_bad_word"), (9, "none"), (10, "none"), (11, "None"), (12, None), (13, "")]
+    docs = spark.createDataFrame(rows, "id int, text string").withColumn("name", F.concat(F.lit("f/"), "id", F.when(F.col("id") == 12, "/meta.json").when(F.col("id") == 13, "_Injected.txt").otherwise(".txt")))
+    # 7: cleared. 9: the source has changed since. 10: not written by a tool as it is. 11: another source's digest.
+    clear = spark.createDataFrame([(7, "none", "a", "1"), (9, "none", "b", "0"), (10, "none", "a", "1"), (11, "none", "a", "1")], "id int, token string, source_path string, source_sha256 string")
+    made = spark.createDataFrame([(7, "tool_verbatim", ["x", "a"]), (9, "tool_verbatim", ["b"]), (10, "edited", ["a"]), (11, "tool_verbatim", ["b"])], "id int, text_origin string, source_paths array<string>")
+    sources = spark.createDataFrame([("a", "1"), ("b", "2")], "source_path string, sha256 string")
+    found = X.leak_scan(docs, ["id"], "text", name="name", exceptions=clear, extractions=made, sources=sources)
+    assert sorted((r.id, r.kind, r.token) for r in found.collect()) == [
+        (1, "trace_word", "bad"), (3, "single_word", "none"), (5, "enum_token", "masking_mode_error"), (6, "non_lf", "CR"), (8, "trace_word", "bad"),
+        (9, "single_word", "none"), (10, "single_word", "none"), (11, "single_word", "none"), (12, "private_name", "meta.json"), (13, "trace_word", "injected"),
+    ]
+    with pytest.raises(ValueError):
+        X.leak_scan(docs, ["id"], "text", exceptions=clear)
+
+
+def test_ten_thousand_terms_against_brute_force(spark, monkeypatch):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcde", k=rng.randint(1, 4))) for _ in range(400)] + ["a_b", "é", "x1"]
+    terms = [(" ".join(rng.choices(words, k=rng.randint(1, 4))), kind, rule) for i in range(10_000) for kind, rule in [(f"k{i % 3}", M.RULES[i % 3])]]
+    terms += [("", "k", "inside"), (None, "k", "inside"), ("a", None, "inside"), ("Be", "k9", "word")]
+    texts = [(i, rng.choice([" ", "_", "-", ""]).join(rng.choices(words, k=60)).title()) for i in range(25)] + [(90, None), (91, "")]
+    want = set()
+    for i, text in texts:
+        low = (text or "").lower()
+        for term, kind, rule in terms:
+            if not term or kind is None:
+                continue
+            edge = {"inside": "", "word": "a-z0-9", "token": "a-z0-9_"}[rule]
+            pattern = re.escape(term.lower()) if not edge else f"(?<![{edge}]){re.escape(term.lower())}(?![{edge}])"
+            if term.lower() in low and re.search(pattern, low):
+                want.add((i, kind, term.lower()))
+    df, table = spark.createDataFrame(texts, "id int, text string"), spark.createDataFrame(terms, "term string, kind string, rule string")
+    for size in (1 << 22, 40_000):  # one automaton, and several slices of the table
+        monkeypatch.setattr(M, "MAX_TERM_BYTES", size)
+        got = [tuple(r) for r in M.find_terms(df, ["id"], "text", table).distinct().collect()]
+        assert set(got) == want and len(want) > 500
+
+
+def test_a_thousand_pointers_to_one_file(spark):
+    lines = "\n".join(f"row{i}\tx" for i in range(400))
+    files = spark.createDataFrame([("big.tsv", "a\tb\n" + lines), ("deep.json", '{"l": [[1, {"k": 2}]], "a.b": 1}'), ("bad.json", "{"), ("gone.tsv", None)], "file string, text string")
+    pointers = spark.createDataFrame(
+        [("big.tsv", str(i)) for i in range(1000)] + [("big.tsv", c) for c in "abc"]
+        + [("deep.json", p) for p in ("l.0.1.k", "l.0.2", "l.-1", "a.b", "l")] + [("bad.json", "x"), ("gone.tsv", "a"), ("gone.tsv", "1")],
+        "file string, locator string",
+    )
+    out = X.resolve_pointers(pointers, files)
+    assert not re.search(r"\btext#", out._jdf.queryExecution().executedPlan().toString())
+    got = {(r.file, r.locator): r.outcome for r in out.collect()}
+    assert len(got) == pointers.count()
+    assert sorted(int(k) for (f, k), v in got.items() if f == "big.tsv" and v == "resolved" and k.isdigit()) == list(range(1, 402))
+    rest = {k: v for k, v in got.items() if not k[1].isdigit() or k[0] == "gone.tsv"}
+    assert rest == {
+        ("big.tsv", "a"): "resolved", ("big.tsv", "b"): "resolved", ("big.tsv", "c"): "unresolved", ("deep.json", "l.0.1.k"): "resolved",
+        ("deep.json", "l.0.2"): "unresolved", ("deep.json", "l.-1"): "resolved", ("deep.json", "a.b"): "unresolved", ("deep.json", "l"): "resolved",
+        ("bad.json", "x"): "unresolved", ("gone.tsv", "a"): "no_file", ("gone.tsv", "1"): "no_file",
+    }
 
 
 def test_pointers(spark):
