@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -47,24 +47,57 @@ def coding_genes(features: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _gene_ids(features: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct gene ids: gene rows, and the parents of transcript rows without an id."""
-    named = (F.col("kind") == "gene") & F.col("fid").isNotNull()
-    implied = F.col("kind").isin(*TRANSCRIPTS) & F.col("fid").isNull()
-    gene = F.when(named, F.col("fid")).when(implied, F.get("parents", F.lit(0)))
-    return features.select(*keys, gene.alias("gene")).where(F.col("gene").isNotNull()).distinct()
-
-
 def gene_model_summary(features: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Loci, coding and non-coding genes, CDS and exon rows, transcripts per coding gene."""
-    rows = features.groupBy(*keys).agg(
-        F.count_if(F.col("kind") == "CDS").alias("cds_features"),
-        F.count_if(F.col("kind") == "exon").alias("exon_features"),
-        F.count_if(F.col("kind").isin(*TRANSCRIPTS)).alias("transcripts"),
-    )
-    loci = _gene_ids(features, keys).groupBy(*keys).agg(F.count("*").alias("gff_gene_loci"))
-    coding = coding_genes(features, keys).groupBy(*keys).agg(F.count("*").alias("coding_genes"))
-    out = rows.join(loci, list(keys), "left").join(coding, list(keys), "left").fillna(0)
+    """Loci, coding and non-coding genes, CDS and exon rows, transcripts per coding gene.
+
+    The features are read once. Each row says what it knows of a transcript or gene, which is merged by transcript, then by
+    gene, then by delivery. A locus is a gene row's id or the parent of a transcript without id; a gene is
+    coding if a CDS names a transcript of it.
+    """
+    kind, fid, first = F.col("kind"), F.col("fid"), F.get("parents", F.lit(0))
+    is_tx = kind.isin(*TRANSCRIPTS)
+
+    def fact(level: str, node: Column, gene: Column, coded: bool = False) -> Column:
+        return F.struct(F.lit(level).alias("level"), node.alias("node"), gene.alias("gene"), F.lit(coded).alias("coded"))
+
+    nothing = F.lit(None).cast("string")
+    facts = F.concat(
+        F.array(fact("row", nothing, nothing)),
+        F.array_compact(
+            F.array(
+                F.when(is_tx & fid.isNotNull(), fact("transcript", fid, first)),
+                F.when((kind == "gene") & fid.isNotNull(), fact("gene", nothing, fid)),
+                F.when(is_tx & fid.isNull() & first.isNotNull(), fact("gene", nothing, first)),
+            )
+        ),
+        F.coalesce(
+            F.when(kind == "CDS", F.transform("parents", lambda p: fact("transcript", p, nothing, True))),
+            F.array().cast("array<struct<level:string,node:string,gene:string,coded:boolean>>"),
+        ),
+    )
+    rows = features.select(*keys, "kind", F.explode(facts).alias("f")).select(*keys, "kind", "f.*")
+    is_row = F.col("level") == "row"
+    known = rows.groupBy(*keys, "level", "node", "gene").agg(
+        F.bool_or("coded").alias("coded"),
+        F.count_if(is_row & (kind == "CDS")).alias("cds_features"),
+        F.count_if(is_row & (kind == "exon")).alias("exon_features"),
+        F.count_if(is_row & is_tx).alias("transcripts"),
+    )
+    of_transcript = Window.partitionBy(*keys, "level", "node")
+    coded = F.when(F.col("level") == "transcript", F.bool_or("coded").over(of_transcript)).otherwise(False)
+    # What only CDS rows say of a transcript has done its work and goes.
+    genes = known.withColumn("coded", coded).where((F.col("level") != "transcript") | F.col("gene").isNotNull())
+    counts = ("cds_features", "exon_features", "transcripts")
+    genes = genes.groupBy(*keys, "gene").agg(
+        F.bool_or(F.col("level") == "gene").alias("locus"),
+        F.bool_or("coded").alias("coded"),
+        *[F.sum(c).alias(c) for c in counts],
+    )
+    out = genes.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in counts],
+        F.count_if("locus").alias("gff_gene_loci"),
+        F.count_if("coded").alias("coding_genes"),
+    )
     return out.withColumns(
         {
             "noncoding_genes": F.greatest(F.col("gff_gene_loci") - F.col("coding_genes"), F.lit(0).cast("long")),

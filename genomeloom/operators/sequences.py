@@ -237,15 +237,28 @@ def piece_window(pieces: DataFrame, regions: DataFrame, keys: Sequence[str], bin
 
 def check_regions(df: DataFrame, regions: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     """Declared regions must be all soft-masked bases or all N, as ``expected`` says (soft / hard)."""
-    cut = sequence_window(df.withColumn("seq_length", F.length(seq).cast("long")), regions, key, seq)
-    inside = (F.col("start") >= 1) & (F.col("start") <= F.col("end")) & (F.col("end") <= F.col("seq_length"))
-    pattern = F.when(F.col("expected") == "soft", F.col("bases").rlike("^[acgt]+$")).otherwise(
-        F.col("bases").rlike("^N+$")
-    )
-    return cut.withColumn(
-        "outcome",
-        F.when(~inside, F.lit("outside")).when(pattern, F.lit("as_declared")).otherwise(F.lit("differs")),
+    lengths = df.groupBy(key).agg(F.max(F.length(seq).cast("long")).alias("seq_length"))
+    return check_piece_regions(pieces_of(df, [key], seq), regions, [key], lengths)
+
+
+def check_piece_regions(
+    pieces: DataFrame, regions: DataFrame, keys: Sequence[str], lengths: DataFrame | None = None
+) -> DataFrame:
+    """``check_regions`` of records that come in pieces: regions meet the pieces of their stretch, and of what they
+    find only two answers per part go on. Records are those of ``lengths`` (``keys, seq_length``), else those with a piece.
+    """
+    parts = piece_window(pieces, regions.select(*keys, "start", "end").distinct(), keys)
+    found = parts.groupBy(*keys, "start", "end").agg(
+        F.bool_and(F.col("bases").rlike("^[acgt]+$")).alias("__soft"), F.bool_and(F.col("bases").rlike("^N+$")).alias("__hard")
     )
+    if lengths is None:
+        last = F.max(F.col("start") + F.length("bases") - 1)
+        lengths = pieces.groupBy(*keys).agg(last.cast("long").alias("seq_length"))
+    met = regions.join(lengths, list(keys)).join(found, [*keys, "start", "end"], "left")
+    inside = (F.col("start") >= 1) & (F.col("start") <= F.col("end")) & (F.col("end") <= F.col("seq_length"))
+    as_declared = F.when(F.col("expected") == "soft", F.col("__soft")).otherwise(F.col("__hard"))
+    outcome = F.when(~inside, F.lit("outside")).when(as_declared, F.lit("as_declared")).otherwise(F.lit("differs"))
+    return met.withColumn("outcome", outcome).drop("__soft", "__hard")
 
 
 def take_prefix(

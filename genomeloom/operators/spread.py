@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import bounded, materialize
 
 BUCKET = "__bucket"
 
@@ -99,10 +99,53 @@ def top_row(
     return df.groupBy(*keys).agg(best.alias("__best")).select(*keys, *[F.col("__best")[c].alias(c) for c in kept])
 
 
+# Distinct values of a key that one task may hold to find their median.
+MEDIAN_VALUES = 200_000
+MEDIAN_BINS = 1024
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Exact median over value frequencies: repeated values are merged before they meet."""
+    """Exact median of numbers over value frequencies: repeated values are merged before they meet.
+
+    A key with more than ``MEDIAN_VALUES`` distinct values is never gathered: its median is found by
+    narrowing ranges, see ``ranked_values``.
+    """
     freq = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    return freq.groupBy(*keys).agg(F.expr(f"percentile({value}, 0.5D, __n)").alias(out))
+    freq = materialize(freq, "frequencies")
+    wide = freq.groupBy(*keys).agg(F.count("*").alias("__d"), F.sum("__n").alias("__all")).where(F.col("__d") > MEDIAN_VALUES)
+    wide = materialize(wide, "wide-keys")
+    gather = F.expr(f"percentile({value}, 0.5D, __n)").alias(out)
+    if wide.isEmpty():
+        return freq.groupBy(*keys).agg(gather)
+    some = bounded(wide.select(*keys))
+    narrow = freq.join(some, list(keys), "left_anti").groupBy(*keys).agg(gather)
+    ranks = wide.select(*keys, F.explode(F.array(F.expr("(__all - 1) div 2"), F.expr("__all div 2"))).alias("rank")).distinct()
+    found = ranked_values(freq.join(some, list(keys), "left_semi"), ranks, keys, value, "__n")
+    return narrow.unionByName(found.groupBy(*keys).agg(F.avg(F.col(value).cast("double")).alias(out)))
+
+
+def ranked_values(freq: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str, n: str) -> DataFrame:
+    """``keys, rank, value`` for 0-based ``ranks`` (``keys, rank``) of the values of a key, each ``n`` times there.
+
+    Each round counts the values of the range that holds the rank in ``MEDIAN_BINS`` bins and goes on in one of
+    them, until the range is one value. No task holds more than the bins of a key and rank; a round narrows the
+    range a thousandfold.
+    """
+    v = F.col(value)
+    ends = freq.groupBy(*keys).agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    ranges = materialize(ranks.join(ends, list(keys)).withColumn("below", F.lit(0).cast("long")), "ranges")
+    while not ranges.where("lo < hi").isEmpty():
+        inside = freq.join(bounded(ranges), list(keys)).where(v.between(F.col("lo"), F.col("hi")))
+        share = (v.cast("double") - F.col("lo")) / (F.col("hi").cast("double") - F.col("lo"))
+        bin_ = F.when(F.col("lo") < F.col("hi"), F.least(F.floor(share * MEDIAN_BINS), F.lit(MEDIAN_BINS - 1))).otherwise(0)
+        bins = inside.groupBy(*keys, "rank", "below", bin_.alias("bin")).agg(
+            F.sum(n).alias("held"), F.min(v).alias("lo"), F.max(v).alias("hi")
+        )
+        before = Window.partitionBy(*keys, "rank").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("below", F.col("below") + F.coalesce(F.sum("held").over(before), F.lit(0)))
+        chosen = (F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("held"))
+        ranges = materialize(bins.where(chosen).select(*keys, "rank", "lo", "hi", "below"), "ranges")
+    return ranges.select(*keys, "rank", F.col("lo").alias(value))
 
 
 def carry_forward(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import attributes as A
-from ..session import MAX_LITERAL_ROWS
+from ..session import bounded, materialize
 from .sequences import read_lines
 
 FIELDS = ["seqid", "source", "kind", "start", "end", "score", "strand", "phase", "attributes"]
@@ -19,11 +19,9 @@ def _before_embedded_fasta(lines: DataFrame) -> DataFrame:
         .groupBy("file")
         .agg(F.min(F.struct("block", "pos")).alias("stop"))
     )
-    # One row per file with the directive; with few files the lines stay where they are.
-    if len(lines.inputFiles()) <= MAX_LITERAL_ROWS:
-        mark = F.broadcast(mark)
+    # One row per file with the directive; the lines stay where they are unless very many files have one.
     return (
-        lines.join(mark, "file", "left")
+        lines.join(bounded(materialize(mark, "stops")), "file", "left")
         .where(F.col("stop").isNull() | (F.struct("block", "pos") < F.col("stop")))
         .drop("stop")
     )

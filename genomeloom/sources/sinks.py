@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.residues import wrap
+from ..session import materialize
 
 
 def write_fasta(df: DataFrame, path: str, header: str = "header", seq: str = "seq", width: int = 80) -> None:
@@ -59,8 +60,10 @@ def write_gff3(
         whole = whole.unionByName(
             regions.select(F.lit(1).alias("tier"), blank.alias("ord"), F.col("raw").alias("value"))
         )
+    # Bounds of the ranges are sampled: the source is evaluated once, and its lines are read twice.
     (
-        whole.repartitionByRange("tier", "ord", "value")
+        materialize(whole, "gff3-lines")
+        .repartitionByRange("tier", "ord", "value")
         .sortWithinPartitions("tier", "ord", "value")
         .select("value")
         .write.text(path)
