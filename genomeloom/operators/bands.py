@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import bounded, literal_table
+from .spread import exact_median
 
 BAND_SCHEMA = (
     "id string, metric string, taxon_scope string, unit string, lo double, hi double, source_type string, "
@@ -247,9 +248,8 @@ def clade_summary(report: DataFrame) -> DataFrame:
             for v in ("in_band", "out_of_band", "no_band", "no_data")
         ],
     )
-    freq = rows.where("g is not null").groupBy("clade", "g").agg(F.count("*").alias("f"))
-    median = freq.groupBy("clade").agg(F.expr("cast(percentile(g, 0.5D, f) as long)").alias("genes_median"))
-    return base.join(median, "clade", "left")
+    median = exact_median(rows, ["clade"], "g", "genes_median")
+    return base.join(median.withColumn("genes_median", F.col("genes_median").cast("long")), "clade", "left")
 
 
 def specificity(report: DataFrame, keys: Sequence[str] = (), verdict: str = "band_verdict") -> DataFrame:

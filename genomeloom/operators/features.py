@@ -50,54 +50,40 @@ def coding_genes(features: DataFrame, keys: Sequence[str]) -> DataFrame:
 def gene_model_summary(features: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Loci, coding and non-coding genes, CDS and exon rows, transcripts per coding gene.
 
-    The features are read once. Each row says what it knows of a transcript or gene, which is merged by transcript, then by
-    gene, then by delivery. A locus is a gene row's id or the parent of a transcript without id; a gene is
-    coding if a CDS names a transcript of it.
+    Row counts are one pass. A second one reads the rows that say something of a gene: what they know is merged by
+    transcript, then by gene, then by delivery. A locus is a gene row's id or the parent of a transcript without
+    id; a gene is coding if a CDS names a transcript of it.
     """
     kind, fid, first = F.col("kind"), F.col("fid"), F.get("parents", F.lit(0))
     is_tx = kind.isin(*TRANSCRIPTS)
-
-    def fact(level: str, node: Column, gene: Column, coded: bool = False) -> Column:
-        return F.struct(F.lit(level).alias("level"), node.alias("node"), gene.alias("gene"), F.lit(coded).alias("coded"))
-
-    nothing = F.lit(None).cast("string")
-    facts = F.concat(
-        F.array(fact("row", nothing, nothing)),
-        F.array_compact(
-            F.array(
-                F.when(is_tx & fid.isNotNull(), fact("transcript", fid, first)),
-                F.when((kind == "gene") & fid.isNotNull(), fact("gene", nothing, fid)),
-                F.when(is_tx & fid.isNull() & first.isNotNull(), fact("gene", nothing, first)),
-            )
-        ),
-        F.coalesce(
-            F.when(kind == "CDS", F.transform("parents", lambda p: fact("transcript", p, nothing, True))),
-            F.array().cast("array<struct<level:string,node:string,gene:string,coded:boolean>>"),
-        ),
+    counts = features.groupBy(*keys).agg(
+        F.count_if(kind == "CDS").alias("cds_features"),
+        F.count_if(kind == "exon").alias("exon_features"),
+        F.count_if(is_tx).alias("transcripts"),
     )
-    rows = features.select(*keys, "kind", F.explode(facts).alias("f")).select(*keys, "kind", "f.*")
-    is_row = F.col("level") == "row"
-    known = rows.groupBy(*keys, "level", "node", "gene").agg(
-        F.bool_or("coded").alias("coded"),
-        F.count_if(is_row & (kind == "CDS")).alias("cds_features"),
-        F.count_if(is_row & (kind == "exon")).alias("exon_features"),
-        F.count_if(is_row & is_tx).alias("transcripts"),
+    telling = features.where(is_tx | kind.isin("gene", "CDS"))
+    # A CDS speaks of each of its parents, every other row of one thing.
+    about = F.when(kind == "CDS", F.col("parents")).otherwise(F.array(F.when(is_tx, fid)))
+    rows = telling.select(*keys, "kind", "fid", first.alias("first"), F.explode(about).alias("transcript"))
+    gene = F.when(kind == "gene", fid).when(is_tx, F.col("first"))
+    known = (
+        rows.select(*keys, "transcript", gene.alias("gene"), (kind == "CDS").alias("coded"))
+        .where(F.col("transcript").isNotNull() | F.col("gene").isNotNull())
+        .groupBy(*keys, "transcript", "gene")
+        .agg(F.bool_or("coded").alias("coded"))
     )
-    of_transcript = Window.partitionBy(*keys, "level", "node")
-    coded = F.when(F.col("level") == "transcript", F.bool_or("coded").over(of_transcript)).otherwise(False)
-    # What only CDS rows say of a transcript has done its work and goes.
-    genes = known.withColumn("coded", coded).where((F.col("level") != "transcript") | F.col("gene").isNotNull())
-    counts = ("cds_features", "exon_features", "transcripts")
-    genes = genes.groupBy(*keys, "gene").agg(
-        F.bool_or(F.col("level") == "gene").alias("locus"),
-        F.bool_or("coded").alias("coded"),
-        *[F.sum(c).alias(c) for c in counts],
+    # Loci have no transcript and need nothing of each other: they are spread by gene.
+    own = F.when(F.col("transcript").isNull(), F.col("gene"))
+    coded = F.bool_or("coded").over(Window.partitionBy(*keys, "transcript", own))
+    # Rows without transcript are loci; what only CDS rows say of a transcript has done its work and goes.
+    known = known.withColumn("coded", coded & F.col("transcript").isNotNull()).where(F.col("gene").isNotNull())
+    genes = known.groupBy(*keys, "gene").agg(
+        F.bool_or(F.col("transcript").isNull()).alias("locus"), F.bool_or("coded").alias("coded")
     )
-    out = genes.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in counts],
-        F.count_if("locus").alias("gff_gene_loci"),
-        F.count_if("coded").alias("coding_genes"),
+    genes = genes.groupBy(*keys).agg(
+        F.count_if("locus").alias("gff_gene_loci"), F.count_if("coded").alias("coding_genes")
     )
+    out = counts.join(genes, list(keys), "left").fillna(0, ["gff_gene_loci", "coding_genes"])
     return out.withColumns(
         {
             "noncoding_genes": F.greatest(F.col("gff_gene_loci") - F.col("coding_genes"), F.lit(0).cast("long")),

@@ -125,7 +125,10 @@ def protein_flags(df: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def protein_summary(df: DataFrame, keys: Sequence[str], id_col: str = "id", seq: str = "seq") -> DataFrame:
-    """Records, truncated median length, repeated ids, ambiguous residues and internal stops per set."""
+    """Records, truncated median length, repeated ids, ambiguous residues and internal stops per set.
+
+    Sequences are read once; the three answers come from what is stored of each record.
+    """
     rows = df.select(
         *keys,
         F.col(id_col).alias("id"),
@@ -133,6 +136,7 @@ def protein_summary(df: DataFrame, keys: Sequence[str], id_col: str = "id", seq:
         R.ambiguous_residues(seq).alias("amb"),
         R.internal_stops(seq).alias("stops"),
     )
+    rows = materialize(rows, "records")
     sums = rows.groupBy(*keys).agg(
         F.count_if(F.col("len") > 0).alias("proteins"),
         F.sum("amb").alias("ambiguous_residues"),
