@@ -7,20 +7,23 @@ only. Pieces are then numbered within their length and take the planned slot wit
 
 from __future__ import annotations
 
+import itertools
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import whole_text
+from .common import SPACE_CHARS, whole_text
 
 CAPACITY = 2048
 END_ID = 0
-# Bytes of words and ids that a task remembers before it starts anew.
-MEMO_BYTES = 32 << 20
+# Bytes that the units a task remembers may take, about 150 beside their letters, before it starts anew.
+MEMO_BYTES = 160 << 20
 # Pieces that one task numbers within a length.
 BLOCK_ROWS = 500_000
 
@@ -29,66 +32,141 @@ BLOCK_ROWS = 500_000
 TAIL = b".,;:!?*#$%&|<>()-"
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[list(SPACE_CHARS.encode())] = True
+
+
+def cut_at_spaces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All parts between white space, and how many each text has; a null text is empty."""
+    texts = texts.fill_null(b"").cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    begin, end = (int(offsets[0]), int(offsets[-1])) if len(texts) else (0, 0)
+    if begin == end:
+        return pa.array([], pa.binary()), np.zeros(len(texts), np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[begin:end]
+    inside = ~_SPACE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    text_starts = (offsets[:-1] - begin)[np.diff(offsets) > 0]
+    first[text_starts] = inside[text_starts]
+    starts = np.flatnonzero(first)
+    place = np.cumsum(inside, dtype=np.int64)
+    edges = np.append(place[starts] - 1, place[-1]).astype(np.int32)
+    parts = pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data[inside])]
+    )
+    return parts, np.diff(np.searchsorted(starts, offsets - begin))
+
+
+def sliced(values: pa.Array, begin: np.ndarray, length: np.ndarray) -> pa.Array:
+    """``length`` bytes of each value from its byte ``begin`` on."""
+    offsets = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values)]
+    ends = np.cumsum(length)
+    place = np.arange(int(ends[-1])) + np.repeat(offsets + begin - (ends - length), length)
+    data = np.frombuffer(values.buffers()[2], np.uint8)[place]
+    edges = np.append(0, ends).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+
+
 class WordCodec:
     """Ids, as little-endian 32-bit numbers, of texts cut at ASCII white space.
 
     White space always separates tokens of these vocabularies, and so does the border between letters and a run of
-    marks: the ids of a text are those of its parts, one after another. Parts are remembered. Letters, which
-    give one token with a word end each, are encoded many at a time and told apart by their word ends.
+    marks: the ids of a text are those of its units, one after another. A batch is cut into units at once and only
+    its distinct ones are looked up; the ids of all units stand in one array, from which those of the texts are
+    gathered. Letters, which give one token with a word end each, are encoded many at a time and told apart by
+    their word ends.
     """
 
     def __init__(self, path: str):
-        import numpy as np
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.np = np
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
-        self.memo: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start anew; the empty unit has number 0 and no ids."""
+        self.known: dict[bytes, int] = {b"": 0}
+        self.ids, self.lengths = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.known_bytes = 0
 
-    def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return self.np.asarray(ids, "<u4").tobytes()
+    def _encode(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn_letters(self, words: list[bytes]) -> None:
-        np = self.np
+    def _letters(self, words: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of the words and how many each has, for two thousand words at a time."""
         for at in range(0, len(words), 2000):
             some = words[at : at + 2000]
-            blob = self._encode(b" ".join(some).decode())
-            stops = 4 * (np.flatnonzero(self.ends[np.frombuffer(blob, "<u4")]) + 1)
+            ids = self._encode(b" ".join(some).decode())
+            stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(some):
-                starts = [0, *stops[:-1].tolist()]
-                self.letters.update(zip(some, (blob[a:b] for a, b in zip(starts, stops.tolist(), strict=True)), strict=True))
+                yield ids, np.diff(stops, prepend=0)
             else:  # a word that the vocabulary takes apart
-                self.letters.update((w, self._encode(w.decode())) for w in some)
-
-    def _learn(self, parts: set[bytes]) -> None:
-        split = []
-        for part in parts:
-            word = part.rstrip(TAIL)
-            text = word.decode("utf-8", "replace")
-            if text.isalpha():
-                split.append((part, word.lower(), part[len(word) :]))
-            else:
-                self.memo[part] = self._encode(part.decode("utf-8", "replace"))
-        self._learn_letters(list({w for _, w, _ in split if w not in self.letters}))
-        tails = {t: self._encode(t.decode()) for t in {t for _, _, t in split}}
-        self.memo.update((part, self.letters[word] + tails[tail]) for part, word, tail in split)
-
-    def bytes_of(self, texts: list[bytes | None]) -> Iterator[bytes]:
-        memo = self.memo
-        parts = [(t or b"").split() for t in texts]
-        self._learn({p for text in parts for p in text if p not in memo})
-        for text in parts:
-            yield b"".join(map(memo.__getitem__, text))
-        size = sum(sum(map(len, m)) + sum(map(len, m.values())) for m in (memo, self.letters))
-        if size > MEMO_BYTES:
-            memo.clear()
-            self.letters.clear()
+                each = [self._encode(w.decode()) for w in some]
+                yield np.concatenate(each), np.array([len(x) for x in each])
+
+    def _learn(self, letters: list[bytes], others: list[bytes]) -> None:
+        found = list(self._letters(letters))
+        each = [self._encode(u.decode("utf-8", "replace")) for u in others]
+        self.ids = np.concatenate([self.ids, *[ids for ids, _ in found], *each])
+        counts = [n for _, n in found] + [np.array([len(x) for x in each], np.int64)]
+        self.lengths = np.concatenate([self.lengths, *counts])
+        fresh = letters + others
+        self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
+        self.known_bytes += sum(map(len, fresh)) + 150 * len(fresh)
+
+    def _numbers(self, units: pa.Array, letters: bool) -> np.ndarray:
+        """The number of each unit, new ones learned."""
+        names = units.to_pylist()
+        numbers = list(map(self.known.get, names))
+        new = list({u for u, n in zip(names, numbers, strict=True) if n is None})
+        if new:
+            self._learn(*((new, []) if letters else ([], new)))
+            numbers = list(map(self.known.__getitem__, names))
+        return np.array(numbers, np.int64)
+
+    def _units(self, parts: pa.Array) -> np.ndarray:
+        """Two unit numbers for each part: its letters and the marks behind them, or the part as a whole and nothing."""
+        text = parts.cast(pa.string())
+        core = pc.ascii_rtrim(text, characters=TAIL.decode())
+        alpha = pc.ascii_is_alpha(core).to_numpy(zero_copy_only=False).copy()
+        beyond = np.flatnonzero(~pc.string_is_ascii(core).to_numpy(zero_copy_only=False))
+        alpha[beyond] = [w.isalpha() for w in core.take(pa.array(beyond)).to_pylist()]
+        words, whole = pa.array(np.flatnonzero(alpha)), pa.array(np.flatnonzero(~alpha))
+        out = np.zeros((len(parts), 2), np.int64)
+        if len(words):
+            cores = core.take(words)
+            lowered = pc.ascii_lower(cores).cast(pa.binary()).dictionary_encode()
+            out[alpha, 0] = self._numbers(lowered.dictionary, True)[lowered.indices.to_numpy()]
+            parts_of = text.take(words).cast(pa.binary())
+            after = pc.binary_length(cores.cast(pa.binary())).to_numpy()
+            marks = sliced(parts_of, after, pc.binary_length(parts_of).to_numpy() - after).dictionary_encode()
+            out[alpha, 1] = self._numbers(marks.dictionary, False)[marks.indices.to_numpy()]
+        if len(whole):
+            out[~alpha, 0] = self._numbers(parts.take(whole), False)
+        return out
+
+    def bytes_of(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text."""
+        if self.known_bytes > MEMO_BYTES:
+            self._forget()
+        parts, counts = cut_at_spaces(texts)
+        coded = parts.dictionary_encode()
+        units = self._units(coded.dictionary)[coded.indices.to_numpy()].ravel()
+        lengths = self.lengths[units]
+        starts = (np.cumsum(self.lengths) - self.lengths)[units]
+        # Place of every id: the start of its unit, and how far it is into it.
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        place = np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+        body = self.ids[place].tobytes()
+        stops = np.append(0, ends)[2 * np.append(0, np.cumsum(counts))] * 4
+        for a, b in itertools.pairwise(stops.tolist()):
+            yield body[a:b]
 
 
 def pieces(
@@ -112,7 +190,7 @@ def pieces(
         step = 4 * capacity
         for batch in batches:
             rows, numbers, blobs = [], [], []
-            for row, body in enumerate(codec.bytes_of(batch.column(1).to_pylist())):
+            for row, body in enumerate(codec.bytes_of(batch.column(1))):
                 body += end
                 for number, at in enumerate(range(0, len(body), step)):
                     rows.append(row)
