@@ -13,7 +13,7 @@ import html
 import json
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -24,7 +24,11 @@ CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 # A quoted attribute value ends at the next tag at the latest, so an open quote costs no more than its own tag.
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""")
-HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
+# Comments and declarations as a whole, start tags of elements that show no text.
+OPENING = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b[^>]*>|<[!?][^>]*>", re.S | re.I)
+CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in "script style noscript template svg".split()}
+# What stands in these is no markup; without an end tag they run to the end of the page.
+RAW = frozenset(("script", "style"))
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 LINK = re.compile(r"""(?:^|\s)(href|src|action)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 SPACE = re.compile(r"[ \t\r\f\v ]+")
@@ -48,9 +52,32 @@ def record_id(*parts: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
+def without_hidden(markup: str, names: Set[str], keep_tags: bool = False) -> str:
+    """Comments, declarations and the elements ``names`` become a space each; with ``keep_tags`` start tags stay.
+
+    A closed-in-itself svg has no content. Elements other than RAW that are never closed lose their tag's meaning,
+    not the rest of the page.
+    """
+    parts, at, look, endless = [], 0, 0, set()
+    while found := OPENING.search(markup, look):
+        name = (found[1] or "").lower()
+        look = found.end()
+        if name:
+            if name not in names or name in endless or (name == "svg" and found[0].endswith("/>")):
+                continue
+            close = CLOSING[name].search(markup, look)
+            if close is None and name not in RAW:
+                endless.add(name)
+                continue
+            look = close.end() if close else len(markup)
+        parts.append(markup[at : found.end() if name and keep_tags else found.start()])
+        at = look
+    return " ".join([*parts, markup[at:]])
+
+
 def plain_text(markup: str) -> str:
     """Visible text; block elements begin a line, runs of white space become one space, blank lines go."""
-    shown = HIDDEN.sub(" ", markup)
+    shown = without_hidden(markup, CLOSING.keys())
     broken = TAG.sub(lambda m: "\n" if m[2].lower() in BLOCKS else "", shown)
     return LINES.sub("\n", SPACE.sub(" ", html.unescape(broken))).strip()
 
@@ -58,7 +85,7 @@ def plain_text(markup: str) -> str:
 def links(markup: str, base: str | None) -> list[dict[str, str]]:
     """Targets of href, src and action in document order, made absolute where ``base`` allows it."""
     found = []
-    for tag in TAG.finditer(HIDDEN.sub(" ", markup)):
+    for tag in TAG.finditer(without_hidden(markup, RAW, keep_tags=True)):
         if tag[1] or "=" not in tag[3]:
             continue
         for name, a, b, c in LINK.findall(tag[3]):

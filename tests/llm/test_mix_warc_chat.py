@@ -114,6 +114,18 @@ def test_broken_markup(markup, text):
     assert warc.plain_text(markup) == text
 
 
+def test_hidden_elements_keep_their_links_and_the_rest_of_the_page():
+    page = (
+        '<p>one</p><svg viewBox="0 0 1 1"/><p>two</p><script src=/a.js>var x = "<a href=/no>";</script>'
+        '<noscript><img src="/b.png">off</noscript><template><a href="/c">t</a></template><!-- <a href=/d> -->'
+        '<style>p { background: "<img src=/e>" }</style><svg><a href="/f">drawn</a></svg><p>three</p><noscript><p>four</p>'
+    )
+    assert warc.plain_text(page) == "one\ntwo\nthree\nfour"
+    assert [x["url"] for x in warc.links(page, "http://h/")] == [f"http://h/{x}" for x in ("a.js", "b.png", "c", "f")]
+    assert warc.plain_text("<p>a</p>" + "<svg>" * 20_000 + "<p>b</p>") == "a\nb"
+    assert warc.plain_text("a<script>never closed <p>b</p>") == "a"
+
+
 def test_records_refer_to_their_response(llm, tmp_path):
     rows = [
         (1, "http://e.x/a/", "<html><title>T &amp; t</title><a href='b?c=1&amp;d'>go</a><img src=/i.png>ü</html>"),
