@@ -132,6 +132,17 @@ def elected(hashes: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
     return picked
 
 
+def thinned(place: np.ndarray, hashes: np.ndarray, row: np.ndarray, step: int) -> np.ndarray:
+    """Of neighbouring places with one hash (a word over and over) every ``step``-th and the last."""
+    if not len(place):
+        return place
+    fresh = np.ones(len(place), bool)
+    fresh[1:] = (np.diff(place) > 1) | (hashes[place[1:]] != hashes[place[:-1]]) | (row[place[1:]] != row[place[:-1]])
+    at = np.arange(len(place))
+    since = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    return place[(since % step == 0) | np.append(fresh[1:], True)]
+
+
 def fingerprints(keyed: DataFrame, least: int) -> DataFrame:
     """h1, h2 (the hash), id, digest, pos (first word) of the elected rolling lines of each text."""
     id_type = keyed.schema["id"].dataType.simpleString()
@@ -148,6 +159,7 @@ def fingerprints(keyed: DataFrame, least: int) -> DataFrame:
             values = words.hashes()
             first = rolling(values[:, 0], at, least, ODD[0])
             place = elected(first, counts, least)
+            place = thinned(place, first, row, least)
             at, row = at[place], row[place]
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(

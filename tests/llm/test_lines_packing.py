@@ -36,7 +36,14 @@ def plain_elected(words, least):
     for at in range(max(1, len(hashes) - least + 1) if hashes else 0):
         part = hashes[at : at + least]
         out.add(at + max(n for n, h in enumerate(part) if h == min(part)))
-    return out
+    # Of neighbours that are equal rolling lines every so many, and the last.
+    kept, since = set(), 0
+    for at in sorted(out):
+        line = words[at : at + least]
+        since = since + 1 if at - 1 in out and words[at - 1 : at - 1 + least] == line else 0
+        if since % least == 0 or at + 1 not in out or words[at + 1 : at + 1 + least] != line:
+            kept.add(at)
+    return kept
 
 
 def plain_dedup(rows, least, edge=lines.EDGE):
