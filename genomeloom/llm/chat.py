@@ -383,5 +383,6 @@ def others_of(turns: DataFrame) -> DataFrame:
 
 
 def op5_linked_tool_calls(turns: DataFrame) -> DataFrame:
+    """Every turn of ``conversations`` as call, result or message; a null text counts as empty; null ids, turns and repeats as in ``link_calls``."""
     linked = link_calls(calls_of(turns), results_of(turns), others=others_of(turns))
     return linked.withColumnRenamed("conv", "conv_id")

@@ -221,4 +221,5 @@ def mix(
 
 
 def op1_temperature_mix(docs: DataFrame) -> DataFrame:
+    """Every use of a document in the mixture; nulls, ties and empty tables as in ``mix``."""
     return mix(docs).select("doc_id", "source", *OUTPUTS)

@@ -407,4 +407,5 @@ def near_classes(
 
 
 def op8_order_minhash(docs: DataFrame) -> DataFrame:
+    """One row per document with its class; nulls, ties and empty tables as in ``near_classes``."""
     return near_classes(docs, carry=[])

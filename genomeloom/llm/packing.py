@@ -328,4 +328,5 @@ def word_tokenizer() -> str:
 
 
 def op4_planned_best_fit(docs: DataFrame) -> DataFrame:
+    """Pieces of all ``documents`` in sequences of 2048 tokens; nulls, repeats and empty tables as in ``pack``."""
     return pack(docs, word_tokenizer(), with_ids=False)

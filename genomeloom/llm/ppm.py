@@ -491,5 +491,6 @@ def score_documents(
 
 
 def op6_partial_matching(docs: DataFrame) -> DataFrame:
+    """Scores of all ``documents``; a null text counts as empty, a null doc_id as the empty name in the held-out rule."""
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7)) == 2
     return score_documents(docs.select("doc_id", "text"), held, stored=True)

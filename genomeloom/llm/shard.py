@@ -212,6 +212,7 @@ def shuffle_shards(
 
 
 def op2_hypergeometric_shards(docs: DataFrame) -> DataFrame:
+    """All ``documents`` in shards 0 to 15 by law ``rows``; a null text counts as empty, with size 1 and checksum 0."""
     text = whole_text()
     size = F.octet_length(text).cast("long") + 1
     placed = shuffle_shards(docs.select("doc_id", "text"), shards=16, stored=True)

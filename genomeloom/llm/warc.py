@@ -263,4 +263,5 @@ def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None
 
 
 def op10_derived_records(pages: DataFrame) -> DataFrame:
+    """Metadata and conversion records of all ``pages``; null addresses and pages as in ``responses`` and ``derive``."""
     return derive(responses(pages))
