@@ -39,7 +39,8 @@ def integrate(
     near = H.near_top(kept.where(F.col("source").isin("KEGG", "KOG")), ("source", "qseqid"))
     table = annotations.select("source", F.col("id").alias("sseqid"), "annot", F.lit(True).alias("found"))
     best = (
-        best.join(table, ["source", "sseqid"], "left")
+        # Merged: the optimizer takes an exploded table for as small as its files and would broadcast it.
+        best.join(table.hint("merge"), ["source", "sseqid"], "left")
         .join(near.select("source", "qseqid", "ambiguous"), ["source", "qseqid"], "left")
         .withColumns(
             {

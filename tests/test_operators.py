@@ -249,3 +249,22 @@ def test_ancestors_of_any_depth_and_circles(spark):
         "alone": (None, "no_ancestor"),
         "absent": (None, "unknown_parent"),
     }
+
+
+def test_exploded_annotations_are_not_broadcast(spark):
+    """Ids that ``explode`` makes out of a small file: its size says nothing about their number."""
+    from genomeloom.plans.annotation import integrate
+
+    ids = F.explode(F.array(*[F.concat(F.lit("s"), "id", F.lit(f"_{n}")) for n in range(35)])).alias("id")
+    annot = spark.range(2).select(ids, F.lit("text").alias("annot"))
+    rows = [("Nr", "q1", "s0_3", 9.0, 0.1, 99.0, 1.0), ("Nr", "q2", "s7_1", 9.0, 0.1, 99.0, 1.0)]
+    hits = spark.createDataFrame(rows, "source string, qseqid string, sseqid string, bitscore double, evalue double, qcovhsp double, scovhsp double")
+    proteins = spark.createDataFrame([("q1", "MA*"), ("q2", "MA*")], "id string, seq string")
+    domains = spark.createDataFrame([], "protein string, domains array<string>, terms array<string>")
+    best = integrate(proteins, hits, annot.select(F.lit("Nr").alias("source"), "id", "annot"), domains).best
+    single = H.annotate_best(hits, annot)
+    for df in (best, single):
+        assert {r.qseqid: r.annotated for r in df.collect()} == {"q1": True, "q2": False}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        joins = [line.split("], [")[0] for line in plan.splitlines() if "HashJoin" in line]
+        assert "SortMergeJoin" in plan and not any("sseqid" in keys for keys in joins)
