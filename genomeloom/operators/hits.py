@@ -42,9 +42,13 @@ def near_top(
 
 
 def annotate_best(best: DataFrame, annot: DataFrame) -> DataFrame:
-    """Best hits with the annotation of their subject; ``annotated`` tells a missing row from an empty text."""
+    """Best hits with the annotation of their subject; ``annotated`` tells a missing row from an empty text.
+
+    The annotation table may be far larger than its files let the optimizer expect (ids made by ``explode``), so it is
+    merged and never sent whole to the driver and every executor.
+    """
     table = annot.select(F.col("id").alias("sseqid"), "annot", F.lit(True).alias("__found"))
-    return best.join(table, "sseqid", "left").withColumns(
+    return best.join(table.hint("merge"), "sseqid", "left").withColumns(
         {"annotated": F.coalesce("__found", F.lit(False)), "annot": F.coalesce("annot", F.lit(""))}
     ).drop("__found")
 
