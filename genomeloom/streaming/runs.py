@@ -30,16 +30,23 @@ def _judge(current: tuple[str, str] | None, run: str, target: str) -> str | None
 BUCKET_SECONDS = 86_400
 # Rows that go to or come from the state in one call.
 CHUNK_ROWS = 10_000
+# Groups that keys are dealt to. A call to the state costs about as much for one row as for thousands, so the keys of
+# a group share their calls; what is due of a group is sorted in memory.
+GROUPS = 4096
 
 
 class InTimeOrder(StatefulProcessor):
-    """Holds the rows of a key back and releases them in the order of time.
+    """Holds the rows of a group of keys back and releases them in the order of time.
 
-    Rows wait in a list: a batch appends its rows and reads none. A timer per bucket of event time goes off when the
-    watermark has passed the bucket's end. The rows of that bucket are then taken out, sorted and released; those that
+    Rows wait in a list: a batch appends its rows and reads none. A timer goes off when the watermark has passed the
+    end of the earliest bucket of event time that holds a row. The rows of the buckets that ended are then taken out,
+    sorted and released, and the timer of the next bucket is set; those that
     wait on are copied to a second list, and the two change places. A row is so written once, and once more for
     each bucket that ends while it waits, however many batches brought the rows.
 
+    What a key has come to is kept in a list of its own: a release appends the keys it moved, and writes the list
+    anew when more than half of it is outdated.
+
     Neither the order in which files land nor how they fall into batches can change what comes out. Only a row
     that lands later than the watermark's delay is left out, as the watermark promises, and one without time.
     """
@@ -47,6 +54,8 @@ class InTimeOrder(StatefulProcessor):
     #: Columns that are held with their types, ``at`` (microseconds) first. The key is held too: what is released is
     #: written from the rows alone.
     held: tuple[tuple[str, str], ...] = ()
+    #: Columns of what is kept of a key, the key first.
+    kept: str = ""
 
     def __init__(self, bucket_seconds: int = BUCKET_SECONDS):
         self.bucket_ms = bucket_seconds * 1000
@@ -55,47 +64,59 @@ class InTimeOrder(StatefulProcessor):
         self.handle = handle
         schema = ", ".join(f"{name} {kind}" for name, kind in self.held)
         self.lists = [handle.getListState(f"waiting_{i}", schema) for i in (0, 1)]
-        self.turn = handle.getValueState("turn", "list int, until long")
+        self.turn = handle.getValueState("turn", "list int, until long, timer long")
+        self.known = handle.getListState("known", self.kept)
 
-    def _current(self) -> tuple[int, int]:
-        """Which list rows wait in, and up to which time (microseconds) rows were released."""
+    def _current(self) -> tuple[int, int, int]:
+        """Which list rows wait in, up to which time (microseconds) rows were released, and the timer that is set (0: none)."""
         stored = self.turn.get()
-        return (int(stored[0]), int(stored[1])) if stored is not None else (0, 0)
+        return (int(stored[0]), int(stored[1]), int(stored[2])) if stored is not None else (0, 0, 0)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        waiting, ends = self.lists[self._current()[0]], set()
+        turn, released, timer = self._current()
+        waiting, first = self.lists[turn], None
         for part in rows:
             part = part[part["at"].notna()]
             # Column by column: a table of mixed columns would turn whole numbers into floats.
             fresh = list(zip(*(_cells(part[name], kind) for name, kind in self.held), strict=True))
             for i in range(0, len(fresh), CHUNK_ROWS):
                 waiting.appendList(fresh[i : i + CHUNK_ROWS])
-            ends.update(int(b) for b in (part["at"] // (1000 * self.bucket_ms)).unique())
-        for bucket in ends:
-            self.handle.registerTimer((bucket + 1) * self.bucket_ms)
+            if fresh:
+                first = min(int(part["at"].min()), first) if first is not None else int(part["at"].min())
+        if first is not None and (not timer or self._end(first) < timer):
+            self.turn.update((turn, released, self._end(first)))
+            self.handle.registerTimer(self._end(first))
         return iter(())
 
+    def _end(self, at: int) -> int:
+        """End of the bucket of a time (microseconds), in milliseconds."""
+        return (at // (1000 * self.bucket_ms) + 1) * self.bucket_ms
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        turn, released = self._current()
-        # Buckets that ended together go together; the timers of the others then find their rows gone.
+        turn, released, _ = self._current()
+        # Buckets that ended together go together; a timer that an earlier one replaced then finds its rows gone.
         passed = timerValues.getCurrentWatermarkInMs() // self.bucket_ms * self.bucket_ms
         until = max(passed, expiredTimerInfo.getExpiryTimeInMs()) * 1000
         if until <= released:
             return
         here, there = self.lists[turn], self.lists[1 - turn]
-        due, stay = [], []
+        due, stay, first = [], [], None
         for row in here.get():
             if row[0] < until:
                 due.append(tuple(row))
                 continue
             stay.append(tuple(row))
+            first = row[0] if first is None else min(first, row[0])
             if len(stay) == CHUNK_ROWS:
                 there.appendList(stay)
                 stay = []
         if stay:
             there.appendList(stay)
         here.clear()
-        self.turn.update((1 - turn, until))
+        timer = self._end(int(first)) if first is not None else 0
+        self.turn.update((1 - turn, until, timer))
+        if timer:
+            self.handle.registerTimer(timer)
         out = self.release(sorted(due, key=self.place))
         if len(out):
             yield out
@@ -106,6 +127,20 @@ class InTimeOrder(StatefulProcessor):
     def release(self, rows: list[tuple]) -> pd.DataFrame:
         raise NotImplementedError
 
+    def recall(self) -> dict:
+        """What is kept of each key of the group."""
+        rows = [tuple(row) for row in self.known.get()]
+        self.noted = len(rows)
+        return {row[0]: row[1:] for row in rows}
+
+    def note(self, now: dict, moved: set) -> None:
+        """Keep what the keys ``moved`` have come to; ``now`` holds all keys of the group."""
+        if anew := self.noted + len(moved) > 2 * len(now):
+            self.known.clear()
+        rows = [(key, *now[key]) for key in (now if anew else moved)]
+        for i in range(0, len(rows), CHUNK_ROWS):
+            self.known.appendList(rows[i : i + CHUNK_ROWS])
+
     def close(self) -> None:
         pass
 
@@ -117,25 +152,21 @@ def _cells(column: pd.Series, kind: str) -> list:
 
 
 class RunMachine(InTimeOrder):
-    """Keeps the current run of a project; refuses illegal moves and submissions while one is active."""
+    """Keeps the current run of each project; refuses illegal moves and submissions while one is active."""
 
     held = (("at", "long"), ("event_id", "long"), ("project_id", "long"), ("run_id", "string"), ("status", "string"))
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("run", "run_id string, status string")
+    kept = "project_id long, run_id string, status string"
 
     def release(self, rows: list[tuple]) -> pd.DataFrame:
-        stored = self.state.get()
-        current = (stored[0], stored[1]) if stored is not None else None
-        out = []
+        now, moved, out = self.recall(), set(), []
         for _, event, project, run, target in rows:
+            current = now.get(project)
             reason = _judge(current, run, target)
             out.append((project, event, run, current[1] if current else None, target, reason is None, reason))
             if reason is None:
-                current = (run if target == "PENDING" else current[0], target)
-        if current is not None:
-            self.state.update(current)
+                now[project] = (run if target == "PENDING" else current[0], target)
+                moved.add(project)
+        self.note(now, moved)
         names = [f.split()[0] for f in RUN_OUTPUT.split(", ")]
         return pd.DataFrame(out, columns=names)
 
@@ -144,25 +175,23 @@ class ReservationWatch(InTimeOrder):
     """Running reservation total per user; one alert when it passes the cap."""
 
     held = (("at", "long"), ("event_id", "long"), ("user_id", "long"), ("reserved", "long"))
+    kept = "user_id long, total long, alerted boolean"
 
     def __init__(self, cap: int, bucket_seconds: int = BUCKET_SECONDS):
         super().__init__(bucket_seconds)
         self.cap = cap
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.total = handle.getValueState("total", "total long, alerted boolean")
-
     def release(self, rows: list[tuple]) -> pd.DataFrame:
-        stored = self.total.get()
-        total, alerted = (int(stored[0]), bool(stored[1])) if stored is not None else (0, False)
-        out = []
+        now, moved, out = self.recall(), set(), []
         for _, event, user, reserved in rows:
+            total, alerted = now.get(user, (0, False))
             total += reserved or 0
             if total > self.cap and not alerted:
                 out.append((user, event, total, "cap_reached"))
                 alerted = True
-        self.total.update((total, alerted))
+            now[user] = (total, alerted)
+            moved.add(user)
+        self.note(now, moved)
         return pd.DataFrame(out, columns=["user_id", "event_id", "reserved_total", "alert"])
 
 
@@ -171,7 +200,9 @@ def _timed(rows: DataFrame, delay: str) -> DataFrame:
 
 
 def _in_time_order(timed: DataFrame, key: str, processor: InTimeOrder, output: str) -> DataFrame:
-    return timed.withColumn("at", F.unix_micros("ts")).groupBy(key).transformWithStateInPandas(
+    # Rows without a key have a group of their own: nulls would turn the keys beside them into floats.
+    group = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(GROUPS))).cast("int")
+    return timed.withColumns({"at": F.unix_micros("ts"), "__group": group}).groupBy("__group").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime"
     )
 
@@ -204,28 +235,24 @@ STALE_OUTPUT = "project_id long, product_id long, status string, to_status strin
 
 
 class StaleWatch(InTimeOrder):
-    """Keeps the status of a project; a changed product marks it stale if it is live at that time."""
+    """Keeps the status of each project; a changed product marks it stale if it is live at that time."""
 
     #: ``kind`` 0: a status, ``ref`` is its event; 1: a changed product, ``ref`` is the product.
     held = (("at", "long"), ("kind", "long"), ("ref", "long"), ("project_id", "long"), ("status", "string"))
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("status", "status string")
+    kept = "project_id long, status string"
 
     def place(self, row: tuple) -> tuple:
         return row[:3]
 
     def release(self, rows: list[tuple]) -> pd.DataFrame:
-        stored = self.state.get()
-        status, out = stored[0] if stored is not None else None, []
+        now, moved, out = self.recall(), set(), []
         for _, kind, ref, project, landed in rows:
             if kind == 0:
-                status = landed
-            elif status in LIVE:
-                out.append((project, ref, status, "STALE"))
-        if status is not None:
-            self.state.update((status,))
+                now[project] = (landed,)
+                moved.add(project)
+            elif project in now and now[project][0] in LIVE:
+                out.append((project, ref, now[project][0], "STALE"))
+        self.note(now, moved)
         return pd.DataFrame(out, columns=["project_id", "product_id", "status", "to_status"])
 
 

@@ -134,3 +134,62 @@ def test_waiting_rows_are_written_once_however_many_batches(spark, tmp_path):
     assert results[0] == results[1] == sorted(results[0], key=lambda r: r[:2]) and len(results[0]) == 200
     assert {type(r[3]) for r in results[0]} == {int, type(None)}
     assert written == [300, 300]  # the second half of the time waits on once
+
+
+def test_keys_of_a_group_share_timers_and_state_calls(spark):
+    """300 rows of 100 projects over 30 days: one timer at a time, and as many state calls as for one project."""
+    import pandas as pd
+
+    calls = {"timer": [], "append": 0}
+
+    class State:
+        def __init__(self):
+            self.rows, self.value = [], None
+
+        def appendList(self, rows):
+            calls["append"] += 1
+            self.rows += rows
+
+        def clear(self):
+            self.rows = []
+
+        def update(self, value):
+            self.value = value
+
+    class Rows(State):
+        def get(self):
+            return iter(list(self.rows))
+
+    class Value(State):
+        def get(self):
+            return self.value
+
+    class Handle:
+        def getListState(self, name, schema):
+            return Rows()
+
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, at):
+            calls["timer"].append(at)
+
+    class Time:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+    day, machine = 86_400_000, U.RunMachine()
+    machine.init(Handle())
+    moves = ["PENDING", "READY", "RUNNING"]
+    rows = [((10 * i + p % 10) * day * 1000, 3 * p + i, p, f"r{p}", s) for p in range(100) for i, s in enumerate(moves)]
+    batch = pd.DataFrame(rows[::-1], columns=["at", "event_id", "project_id", "run_id", "status"])
+    list(machine.handleInputRows((0,), iter([batch]), None))
+    assert calls == {"timer": [day], "append": 1}
+    out = []
+    for days in (1, 5, 12, 40):
+        for part in machine.handleExpiredTimer((0,), Time(days * day), Time(days * day)):
+            out += part.itertuples(index=False)
+    assert calls["timer"] == [n * day for n in (1, 2, 6, 13)]
+    assert calls["append"] == 1 + 3 + 4  # rows, rows that wait on, what the projects have come to
+    assert len(out) == 300 and all(r.accepted for r in out)
+    assert [r.to_status for r in out if r.project_id == 7] == moves
