@@ -9,7 +9,7 @@ from ..operators import reconcile as C
 from ..session import literal_table, scratch
 from ..sources import sinks
 from ..sources import tables as S
-from .registry import query
+from .registry import balanced, query
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -146,9 +146,13 @@ def tool_summaries(t):
         F.when(F.col("s_nationkey") > 10, F.concat(F.lit("Version : 3."), "s_nationkey")),
     )
     path = scratch(t.spark, "logs")
-    t.supplier.select("s_suppkey", text.alias("value")).write.partitionBy("s_suppkey").text(path)
-    key = F.regexp_extract("file", r"s_suppkey=(\d+)/", 1).cast(t.supplier.schema["s_suppkey"].dataType)
-    rows = S.read_logs(t.spark, f"{path}/*/part-*").withColumn("s_suppkey", key)
+    # A file a log, all in one folder. The tasks write and publish them side by side; with version 1 the driver would move
+    # each in turn.
+    named = t.supplier.select(F.concat_ws("\n", F.concat(F.lit("supplier "), "s_suppkey"), text).alias("value"))
+    writer = balanced(named).write.option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+    key = F.regexp_extract("text", r"^supplier (\d+)\n", 1).cast(t.supplier.schema["s_suppkey"].dataType)
+    rows = S.read_logs(t.spark, path).withColumn("s_suppkey", key)
     out = S.parse_versions(S.parse_completeness(S.parse_alignment_rate(rows)))
     return out.select(
         "s_suppkey", "alignment_rate_pct", "complete_pct", F.col("n").cast("int").alias("n"), "lineage", "mode", "parsed", "version"

@@ -217,3 +217,15 @@ def test_discovery_merges_copies(spark):
     assert set(rows) == {"GCF_1.1", "own"}
     assert rows["GCF_1.1"].copies == 1 and rows["GCF_1.1"].clade == "fungi" and rows["GCF_1.1"].faa
     assert rows["own"].clade == "unknown" and not rows["own"].registered and rows["own"].gff is None
+
+
+def test_logs_land_in_one_folder(spark, monkeypatch, tmp_path):
+    """A folder per log would be made, moved and listed one after the other."""
+    from genomeloom import catalog
+    from genomeloom.catalog import files
+
+    monkeypatch.setattr(files, "scratch", lambda session, label: str(tmp_path / label))
+    rows = catalog.load()["tool_summaries"].run(spark, "/root/testdata/sf0.01").collect()
+    logs = list((tmp_path / "logs").rglob("part-*"))
+    assert len(rows) == len(logs) == 100 and {p.parent for p in logs} == {tmp_path / "logs"}
+    assert len({p.name.split("-")[1] for p in logs}) > 1  # written by more than one task
