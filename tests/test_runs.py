@@ -55,3 +55,18 @@ def test_bases_never_cross_an_exchange(spark):
         assert not re.search(r"\b(seq|bases)#", _plan(out))
     report = masking_report(docs, docs, ["k"], ["place"], F.lit(0)).first()
     assert (report["status"], report["intervals"], report["interval_bases"], report["longest"]) == ("PASS", 2000, 4000, 2)
+
+
+def test_a_large_batch_is_looked_at_by_slices():
+    """What lies beside the bytes of a batch is bounded, however large the batch is; slices change no run."""
+    import tracemalloc
+
+    texts = ["é" + "a" * 1_000_000 + "N" * 100 + "c" * 400_000 for _ in range(24)]
+    array = pa.array(texts)
+    tracemalloc.start()
+    got = spans(array)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == [plain(t) for t in texts]
+    assert peak < 80 << 20
+    assert spans(array.slice(3, 2)).to_pylist() == [plain(t) for t in texts[3:5]]
