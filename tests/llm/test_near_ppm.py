@@ -163,6 +163,42 @@ def plain_ppm(texts, order):
     return one, text
 
 
+def test_members_of_a_bucket_meet_in_chunks_and_leave_as_one_row_per_text(llm, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    texts = {}
+    for key in range(24):  # some alike, most too far from each other
+        words = list(base)
+        for place in rng.sample(range(60), rng.choice([4, 30])):
+            words[place] = f"x{key}_{place}"
+        texts[key] = " ".join(words)
+    table = llm.createDataFrame([(k, bytearray(v.encode())) for k, v in texts.items()], "key long, text binary")
+    members = llm.createDataFrame([(7, k, 60) for k in texts], "bucket long, key long, words int")
+    labels = llm.createDataFrame([(1, 0), (0, 0)], "key long, label long")
+    bag = {k: Counter(v.split()) for k, v in texts.items()}
+    want = {
+        (a, b) for a in texts for b in texts
+        if a < b and (a, b) != (0, 1) and 60 - sum((bag[a] & bag[b]).values()) <= 12
+    }
+    assert 10 < len(want) < 150
+    for chunk in (1024, 4):
+        monkeypatch.setattr(near, "CHUNK", chunk)
+        rows = near._open_pairs(members, labels, table, 0.8).collect()
+        assert len(rows) == len({r.a for r in rows}) <= len(texts)
+        found = {(r.a, b) for r in rows for b in (*r.first, *r.rest)}
+        assert found >= want
+        # Bags tell most of the others apart, too.
+        assert len(found) <= len(want) + 10
+
+
+def test_smallest_values_are_the_same_with_and_without_the_bound():
+    values = np.random.default_rng(5).integers(0, 1 << 64, (200, 90), np.uint64)
+    values[3] |= np.uint64(1 << 63)  # a row without small values
+    for rows in (values, np.delete(values, 3, axis=0)):
+        want = np.sort(np.argsort(rows, axis=1)[:, :3], axis=1)
+        assert (near.smallest(rows, 3) == want).all()
+
+
 def test_scores_against_plain(hard, hard_rows, empty):
     held = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(4)) == 1
     got = ppm.score_documents(hard, held, order=3).collect()
