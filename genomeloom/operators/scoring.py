@@ -90,9 +90,9 @@ def missing_slots(grid: DataFrame) -> DataFrame:
     return grid.where(F.col("status") == "missing").select(*SLOT)
 
 
-def final_observations(attempts: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Last attempt of every slot with the number of attempts."""
-    kept = [c for c in attempts.columns if c not in SLOT]
+def final_observations(attempts: DataFrame, order: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
+    """Last attempt of every slot with the number of attempts; of it the columns ``keep`` (default: all)."""
+    kept = [c for c in (keep or attempts.columns) if c not in SLOT]
     last = F.max_by(F.struct(*kept), F.struct(*order))
     out = attempts.groupBy(*SLOT).agg(last.alias("l"), F.count("*").alias("attempts"))
     return out.select(*SLOT, *[F.col("l")[c].alias(c) for c in kept], "attempts")
@@ -175,18 +175,19 @@ def _vote(values: Column, minimum: int) -> Column:
     return F.when(F.size(winners) == 1, winners[0])
 
 
-def case_results(facts: DataFrame, case_columns: Sequence[str], minimum: int = 2) -> DataFrame:
+def case_results(facts: DataFrame, case_columns: Sequence[str], minimum: int = 2, slots: bool = False) -> DataFrame:
     """One row per arm and case: majorities, correctness, danger, completeness, inconsistency.
 
     The slot lists hold the planned repetitions and nothing more, so one
-    aggregate over the grid is enough.
+    aggregate over the grid is enough. ``slots``: keep the list, with all that the facts say of each slot.
     """
+    own = [c for c in facts.columns if c not in (*ARM, "case_id", *case_columns)] if slots else ["repetition", "verdict", "root_cause"]
     cols = [c for c in case_columns if c != "case_id"]
     extra = [F.bool_or(F.col("code") == "dangerous").alias("human_any"),
              F.count_if(~F.coalesce(F.col("code") == "no_danger_observed", F.lit(False))).alias("human_open")] if "code" in facts.columns else []
     grouped = facts.groupBy(*ARM, "case_id").agg(
         *[F.first(c).alias(c) for c in cols],
-        F.collect_list(F.struct("repetition", "verdict", "root_cause")).alias("slots"),
+        F.collect_list(F.struct(*own)).alias("slots"),
         F.bool_and("valid").alias("complete"),
         F.count_if("valid").alias("valid_slots"),
         F.count("*").alias("planned_slots"),
@@ -221,7 +222,7 @@ def case_results(facts: DataFrame, case_columns: Sequence[str], minimum: int = 2
             "human_danger",
             F.when(F.coalesce("human_any", F.lit(False)), "danger").when(F.col("human_open") > 0, "unknown").otherwise("no_observed_danger"),
         ).drop("human_any", "human_open")
-    return out.drop("slots", "any_danger", "danger_open", "verdicts_seen", "roots_seen")
+    return out.drop(*([] if slots else ["slots"]), "any_danger", "danger_open", "verdicts_seen", "roots_seen")
 
 
 # ---- panels ---------------------------------------------------------------

@@ -21,15 +21,27 @@ class Scored:
 def score(
     cases: DataFrame, arms: Sequence[tuple[str, str]], observations: DataFrame, repetitions: int = 3, minimum: int = 2
 ) -> Scored:
-    """Grid, slot facts and case results, each written once: every panel and hypothesis reads them again.
+    """Grid, slot facts and case results: every panel and hypothesis reads them again, so they are written, once and together.
 
-    The two tables are as large as the plan, far below the logs they come from.
+    Observations and cases meet by case, where the plan fixes how many there are of each; the slots of a case never leave
+    its task. A stored row is an arm's case with its slots, and facts are those slots again.
     """
-    facts = P.slot_facts(P.complete_grid(cases, arms, observations, repetitions))
+    by_case = observations.repartition("case_id")
+    facts = P.slot_facts(P.complete_grid(cases.repartition("case_id"), arms, by_case, repetitions))
     if "code" in facts.columns:
         facts = facts.withColumn("code", F.when(F.col("valid"), F.col("code")))
-    facts = materialize(facts, "slot-facts")
-    return Scored(facts, materialize(P.case_results(facts, cases.columns, minimum), "case-results"))
+    # The two sides are dealt by one key of the join; they need no other exchange. Elsewhere a hot key could not be split then.
+    conf, name = observations.sparkSession.conf, "spark.sql.requireAllClusterKeysForCoPartition"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        results = materialize(P.case_results(facts, cases.columns, minimum, slots=True), "case-results")
+    finally:
+        conf.set(name, before)
+    # What a slot says for itself replaces what its case says under the same name.
+    own = [f.name for f in results.schema["slots"].dataType.elementType.fields]
+    shared = [*P.ARM, "case_id", *[c for c in cases.columns if c != "case_id"]]
+    return Scored(results.select(*shared, F.explode("slots").alias("s")).select(*shared, *[f"s.{c}" for c in own]), results.drop("slots"))
 
 
 def panel_by_set(scored: Scored, dims: Sequence[str] = P.DIMENSIONS) -> DataFrame:

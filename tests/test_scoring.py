@@ -139,3 +139,16 @@ def test_joint_hypothesis_is_undecidable_until_executed(spark):
         df = spark.createDataFrame([(*r, None) for r in rows], schema)
         done = score(spark.createDataFrame(cases, CASES), ARMS, df)
         assert P.hypotheses_joint(done.results, spec).first().h1_status == status
+
+
+def test_scoring_stores_one_table_that_holds_the_slots(spark):
+    from genomeloom.session import written
+
+    before, name = len(written()), "spark.sql.requireAllClusterKeysForCoPartition"
+    conf = spark.conf.get(name)
+    done = run(spark, [case("a"), case("b")], [obs("a", 1, "block", "r"), obs("b", 2, "pass", "x")])
+    assert len(written()) == before + 1 and spark.conf.get(name) == conf
+    assert (done.results.count(), done.facts.count()) == (4, 12)
+    assert "Exchange" not in done.facts._jdf.queryExecution().executedPlan().toString()
+    seen = {(r.case_id, r.repetition): (r.status, r.verdict_ok) for r in done.facts.where("group = 'B'").collect()}
+    assert seen[("a", 1)] == ("ok", True) and seen[("b", 2)] == ("ok", False) and seen[("a", 2)] == ("missing", False)
