@@ -67,32 +67,20 @@ def protein_terms(domains: DataFrame, column: str = "terms") -> DataFrame:
 def domain_sets(domains: DataFrame) -> DataFrame:
     """Sorted domain and term lists of each protein.
 
-    Pairs are made distinct before they are collected: a list is bounded by the
-    vocabulary, however many rows a protein has.
+    Sets grow where the rows are read and meet once: a set is bounded by the vocabulary, however many rows a protein has.
     """
-    pairs = (
-        domains.select(
-            "protein",
-            F.explode(
-                F.concat(
-                    F.transform("domains", lambda d: F.struct(F.lit("D").alias("k"), d.alias("v"))),
-                    F.transform("terms", lambda g: F.struct(F.lit("T").alias("k"), g.alias("v"))),
-                )
-            ).alias("p"),
-        )
-        .select("protein", "p.k", "p.v")
-        .distinct()
-    )
-    listed = pairs.groupBy("protein").agg(
-        F.array_sort(F.collect_list(F.when(F.col("k") == "D", F.col("v")))).alias("domains"),
-        F.array_sort(F.collect_list(F.when(F.col("k") == "T", F.col("v")))).alias("terms"),
+    rows = domains.select(
+        "protein",
+        F.explode_outer(
+            F.concat(
+                F.transform("domains", lambda d: F.struct(F.lit("D").alias("k"), d.alias("v"))),
+                F.transform("terms", lambda g: F.struct(F.lit("T").alias("k"), g.alias("v"))),
+            )
+        ).alias("p"),
     )
-    empty = F.array().cast("array<string>")
-    return (
-        domains.select("protein")
-        .distinct()
-        .join(listed, "protein", "left")
-        .select("protein", F.coalesce("domains", empty).alias("domains"), F.coalesce("terms", empty).alias("terms"))
+    return rows.groupBy("protein").agg(
+        F.array_sort(F.collect_set(F.when(F.col("p.k") == "D", F.col("p.v")))).alias("domains"),
+        F.array_sort(F.collect_set(F.when(F.col("p.k") == "T", F.col("p.v")))).alias("terms"),
     )
 
 

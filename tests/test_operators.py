@@ -268,3 +268,13 @@ def test_exploded_annotations_are_not_broadcast(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         joins = [line.split("], [")[0] for line in plan.splitlines() if "HashJoin" in line]
         assert "SortMergeJoin" in plan and not any("sseqid" in keys for keys in joins)
+
+
+def test_domain_sets_meet_once(spark):
+    rows = [("p", ["b", "a"], ["t"]), ("p", ["a"], ["t", "s"]), ("q", [], []), ("r", ["c"], [])]
+    df = spark.createDataFrame(rows, "protein string, domains array<string>, terms array<string>")
+    out = H.domain_sets(df)
+    assert {r.protein: (r.domains, r.terms) for r in out.collect()} == {
+        "p": (["a", "b"], ["s", "t"]), "q": ([], []), "r": (["c"], []),
+    }
+    assert out._jdf.queryExecution().sparkPlan().toString().count("LocalTableScan") + out._jdf.queryExecution().sparkPlan().toString().count("ExistingRDD") == 1
