@@ -210,8 +210,7 @@ def dangling_parents(t):
         .when(F.col("kind") == "transcript", F.transform("parents", lambda p: F.regexp_replace(p, "^g", "t")))
         .otherwise(F.col("parents"))
     )
-    found = G.dangling_parents(rows.withColumn("parents", parents), ["acc"])
-    return found.groupBy("acc", "kind", "parent", "reason").agg(F.count("*").alias("n"))
+    return G.dangling_parents(rows.withColumn("parents", parents), ["acc"], counted=True)
 
 
 @query(

@@ -106,11 +106,16 @@ def coding_residue_rule(features: DataFrame, keys: Sequence[str]) -> DataFrame:
     return out.withColumn("outcome", residue_outcome(F.col("gene_total"), F.col("gene_with_coding_transcript")))
 
 
-def dangling_parents(features: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Unresolved references: ``keys, kind, child, parent, reason``."""
+def dangling_parents(features: DataFrame, keys: Sequence[str], counted: bool = False) -> DataFrame:
+    """Unresolved references: ``keys, kind, child, parent, reason``.
+
+    ``counted``: one row with ``n`` for all children of a kind instead; they are counted before they meet their parent.
+    """
     links = features.select(
         *keys, "kind", F.col("fid").alias("child"), F.explode("parents").alias("parent")
     )
+    if counted:
+        links = links.groupBy(*keys, "kind", "parent").agg(F.count("*").alias("n"))
     ids = features.where(F.col("fid").isNotNull()).groupBy(*keys, F.col("fid").alias("parent")).agg(
         F.bool_or(F.col("kind") == "gene").alias("is_gene"),
         F.bool_or(F.col("kind").isin(*TRANSCRIPTS)).alias("is_tx"),
@@ -124,7 +129,7 @@ def dangling_parents(features: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
         seen.withColumn("reason", reason)
         .where(F.col("reason").isNotNull())
-        .select(*keys, "kind", "child", "parent", "reason")
+        .select(*keys, "kind", *([] if counted else ["child"]), "parent", "reason", *(["n"] if counted else []))
     )
 
 

@@ -278,3 +278,12 @@ def test_domain_sets_meet_once(spark):
         "p": (["a", "b"], ["s", "t"]), "q": ([], []), "r": (["c"], []),
     }
     assert out._jdf.queryExecution().sparkPlan().toString().count("LocalTableScan") + out._jdf.queryExecution().sparkPlan().toString().count("ExistingRDD") == 1
+
+
+def test_dangling_parents_are_counted_before_they_meet(spark):
+    rows = [("a", "gene", "g1", []), *[("a", "exon", None, ["g1", "x"])] * 3, ("a", "mRNA", "t1", ["g1"])]
+    df = spark.createDataFrame(rows, "acc string, kind string, fid string, parents array<string>")
+    out = G.dangling_parents(df, ["acc"], counted=True)
+    assert {tuple(r) for r in out.collect()} == {
+        ("a", "exon", "g1", "leaf_parent_not_transcript", 3), ("a", "exon", "x", "unknown_parent", 3),
+    }
