@@ -245,17 +245,24 @@ def locator_index(files: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return materialize(found.select(*keys, "file", "c.lines", "c.names"), "locators")
 
 
+# Names that travel with their file instead of being met one by one.
+FEW_NAMES = 32
+
+
 def resolve_pointers(pointers: DataFrame, files: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Evidence pointers ``file:locator`` with ``outcome``.
 
     ``pointers``: ``keys, file, locator``; ``files``: ``keys, file, text``. A locator is a line number, ``empty``, or a name
-    of ``locator_index``. Pointers meet the number of lines by file and the names by file and name, so any number of
-    pointers may go to one file.
+    of ``locator_index``. Pointers meet the number of lines by file, and with them up to FEW_NAMES names; where there are
+    files of more, names are met by file and name, so any number of pointers may go to one file.
     """
     index = locator_index(files, keys)
-    lines = index.select(*keys, "file", "lines")
-    names = index.select(*keys, "file", F.explode("names").alias("locator")).withColumn("named", F.lit(True))
-    rows = pointers.join(lines, [*keys, "file"], "left").join(names, [*keys, "file", "locator"], "left")
+    many = F.size("names") > FEW_NAMES
+    lines = index.select(*keys, "file", "lines", F.when(~many, F.col("names")).alias("few"))
+    rows = pointers.join(lines, [*keys, "file"], "left").withColumn("named", F.array_contains("few", F.col("locator")))
+    if not index.where(many).isEmpty():
+        names = index.where(many).select(*keys, "file", F.explode("names").alias("locator")).withColumn("listed", F.lit(True))
+        rows = rows.join(names, [*keys, "file", "locator"], "left").withColumn("named", F.coalesce("named", "listed"))
     loc, there = F.col("locator"), F.col("lines").isNotNull()
     ok = (
         F.when(loc == "empty", F.col("lines") == 0)

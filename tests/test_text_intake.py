@@ -198,3 +198,17 @@ def test_pointers(spark):
     }
     df = spark.createDataFrame(list(cases), "file string, locator string")
     assert {(r.file, r.locator): r.outcome for r in X.resolve_pointers(df, files).collect()} == cases
+
+
+def test_few_names_travel_with_their_file_and_many_are_met(spark):
+    wide = "\t".join(f"c{i}" for i in range(X.FEW_NAMES + 1))
+    small = spark.createDataFrame([("a.tsv", "x\ty")], "file string, text string")
+    files = small.union(spark.createDataFrame([("b.tsv", wide)], "file string, text string"))
+    asked = [("a.tsv", "x"), ("a.tsv", "z"), ("b.tsv", "c0"), ("b.tsv", "x"), ("gone.tsv", "x")]
+    pointers = spark.createDataFrame(asked, "file string, locator string")
+    for df, outcome in ((small, "no_file"), (files, "resolved")):
+        out = X.resolve_pointers(pointers, df)
+        plan = out._jdf.queryExecution().analyzed().toString()
+        assert plan.count("Join ") == (1 if df is small else 2)
+        got = {(r.file, r.locator): r.outcome for r in out.collect()}
+        assert got[("a.tsv", "x")] == "resolved" and got[("a.tsv", "z")] == "unresolved" and got[("b.tsv", "c0")] == outcome
