@@ -216,54 +216,64 @@ def edit_limit(a: int, b: int, similarity: float) -> int:
 
 
 def judged(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, same) of pairs (a, b) of keys."""
+    """(a, b, la, lb, same) of pairs (a, b) of keys, which have the labels (la, lb)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, words = None, []
         for batch in batches:
             same = []
-            for a, left, right in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+            for a, left, right in zip(*(batch.column(i).to_pylist() for i in (0, 4, 5)), strict=True):
                 if a != last:
                     last, words = a, left.split()
                 other = right.split()
                 limit = edit_limit(len(words), len(other), similarity)
                 same.append(banded_distance(words, other, limit) is not None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"]
+                [*batch.columns[:4], pa.array(same, pa.bool_())], ["a", "b", "la", "lb", "same"]
             )
 
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(compare, "a long, b long, same boolean")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "la", "lb", "left", "right")
+    return both.mapInArrow(compare, "a long, b long, la long, lb long, same boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(key, label) of all keys in ``edges`` (a, b): the smallest key that edges lead to.
 
-    Edges turn into stars around ever smaller keys until nothing moves: neighbours above a key are hung on
+    Edges turn into stars around ever smaller keys until there are stars only: neighbours above a key are hung on
     its smallest neighbour, then those below. No vertex is looked at as a whole: its neighbours meet in sums only.
     """
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     now = materialize(now, "edges")
-    mark = None
     while True:
-        sign = tuple(now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
-        if sign == mark:
-            break
-        mark = sign
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Stored, so that the join below meets two plain exchanges and a hot key can be split.
-        least = materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(
+            F.least(F.col("u"), F.min("v")).alias("m"),
+            F.count_if(F.col("v") < F.col("u")).alias("below"),
+            F.count_if(F.col("v") > F.col("u")).alias("above"),
+        )
+        least = materialize(least, "least")
+        # A key of a star is its centre or hangs on nothing but the centre.
+        if least.where("below > 1 or below = 1 and above > 0").isEmpty():
+            return least.select(F.col("u").alias("key"), F.col("m").alias("label"))
+        # One row per edge, so equal ones can wait.
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large, "edges")
         lowest = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         hung = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hung.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
         now = materialize(small, "edges")
-    return now.select(F.col("u").alias("key"), F.col("v").alias("label")).unionByName(
-        now.select(F.col("v").alias("key"), F.col("v").alias("label")).distinct()
-    )
+
+
+def united(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (key, label) after ``links`` (la, lb) between labels; a key without a label so far is its own."""
+    moved = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    moved = moved.select(F.col("key").alias("old"), F.col("label").alias("new"))
+    known = labels.join(moved, F.col("label") == F.col("old"), "left").select("key", F.coalesce("new", "label").alias("label"))
+    alone = moved.join(labels, F.col("old") == F.col("key"), "left_anti").select(F.col("old").alias("key"), F.col("new").alias("label"))
+    return materialize(known.unionByName(alone), "labels")
 
 
 def _stars(members: DataFrame, similarity: float) -> DataFrame:
@@ -275,11 +285,12 @@ def _stars(members: DataFrame, similarity: float) -> DataFrame:
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose texts are not in one class so far."""
+    """(a, b, la, lb): pairs whose texts are not in one class so far, with the labels of both."""
     left = labels.select(F.col("key").alias("a"), F.col("label").alias("la"))
     right = labels.select(F.col("key").alias("b"), F.col("label").alias("lb"))
     both = pairs.join(left, "a", "left").join(right, "b", "left")
-    return both.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+    both = both.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+    return both.where("la <> lb")
 
 
 def word_bags(texts: DataFrame) -> DataFrame:
@@ -445,21 +456,21 @@ def near_classes(
     )
     # First each text with the smallest of its centres; then only centres of another class.
     stars = materialize(_stars(members, similarity), "stars")
-    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b", F.col("a").alias("la"), F.col("b").alias("lb"))
     found = materialize(judged(first, texts, similarity), "judged")
-    labels = materialize(components(found.where("same")), "labels")
-    apart = _apart(stars.join(found.select("a", "b"), ["a", "b"], "left_anti"), labels)
-    found = found.unionByName(materialize(judged(apart, texts, similarity), "judged"))
-    labels = materialize(components(found.where("same")), "labels")
-    # Then what is open between classes that meet in a bucket: the nearest pair of two classes first, the others if it is unlike.
-    wanted = materialize(_open_pairs(members, labels, texts, similarity), "open")
-    for name in ("first", "rest"):
-        pairs = wanted.select("a", F.explode(name).alias("b")).distinct()
+    labels = components(found.where("same"))
+    # Links of later rounds are between classes, so only classes that they unite are labelled anew.
+    for name in ("stars", "first", "rest"):
+        if name == "first":
+            # What is open between classes that meet in a bucket: the nearest pair of two classes first, the others if it is unlike.
+            wanted = materialize(_open_pairs(members, labels, texts, similarity), "open")
+        # A text has one row in ``wanted``, and no partner twice in it.
+        pairs = stars if name == "stars" else wanted.select("a", F.explode(name).alias("b"))
         pairs = _apart(pairs.join(found.select("a", "b"), ["a", "b"], "left_anti"), labels)
         more = materialize(judged(pairs, texts, similarity), "judged")
         found = found.unionByName(more)
         if not more.where("same").isEmpty():
-            labels = materialize(components(found.where("same")), "labels")
+            labels = united(labels, more.where("same"))
     classed = rows.join(labels.withColumnRenamed("key", "__llm_key"), "__llm_key", "left").withColumn(
         "__llm_label", F.coalesce("label", "__llm_key")
     )

@@ -133,6 +133,35 @@ def test_every_member_of_a_class_is_tried(llm, monkeypatch):
     assert {r["class_id"] for r in got} == {0}
 
 
+def test_labels_of_stars_take_one_sum_and_links_between_classes_move_labels_only(llm, monkeypatch):
+    stored, real = [], near.materialize
+    monkeypatch.setattr(near, "materialize", lambda df, label: stored.append(label) or real(df, label))
+
+    def labelled(edges):
+        return dict(near.components(llm.createDataFrame(edges, "a long, b long")).collect())
+
+    stars = [(hub, hub + leaf) for hub in (0, 100) for leaf in range(1, 40)]
+    assert labelled(stars + stars[:5] + [(7, 7)]) == {k: min(e) // 100 * 100 for e in stars for k in e}
+    assert stored == ["edges", "least"]
+    rng = random.Random(7)
+    for edges in ([(i, i + 1) for i in range(40)], [(rng.randrange(90), rng.randrange(90)) for _ in range(60)], [(9, 3), (9, 5), (2, 9), (8, 8)]):
+        want = {k: k for e in edges if e[0] != e[1] for k in e}
+        for _ in want:
+            for a, b in edges:
+                if a != b:
+                    want[a] = want[b] = min(want[a], want[b])
+        assert labelled(edges) == want
+    assert labelled([(1, 1)]) == {}
+
+    walked, components = [], near.components
+    monkeypatch.setattr(near, "components", lambda edges: walked.extend(map(tuple, edges.collect())) or components(edges))
+    labels = llm.createDataFrame([(0, 0), (1, 0), (2, 0), (10, 10), (11, 10), (20, 20), (21, 20)], "key long, label long")
+    links = llm.createDataFrame([(10, 0), (30, 10), (40, 41)], "la long, lb long")
+    got = near.united(labels, links).collect()
+    assert len(got) == 10 and dict(got) == {**dict.fromkeys((0, 1, 2, 10, 11, 30), 0), 20: 20, 21: 20, 40: 40, 41: 40}
+    assert sorted(walked) == [(10, 0), (30, 10), (40, 41)]
+
+
 def plain_ppm(texts, order):
     counts = [defaultdict(Counter) for _ in range(order + 1)]
     for t in texts:
