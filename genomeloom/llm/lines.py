@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import give_back, materialize, written
 from .common import SPACE_CHARS, whole_text
 
 # Words of a rolling line.
@@ -216,14 +216,20 @@ def chains(later: DataFrame, least: int) -> DataFrame:
     return grouped.mapInArrow(join_up, ints.format("", id_type) + ", " + ints.format("f", id_type))
 
 
-def surroundings(keyed: DataFrame, found: DataFrame, least: int) -> DataFrame:
-    """(fid, fdigest, at, side, near): less than a rolling line of words before (side 0) or behind (side 1) ``at``."""
-    id_type = keyed.schema["id"].dataType.simpleString()
-    asked = found.select("fid", "fdigest", F.explode(F.array(
+def marks(runs: DataFrame) -> DataFrame:
+    """(id, digest, asked, cut) of the texts that ``runs`` name: the questions for ``surroundings``, whether a run is cut out."""
+    question = F.explode(F.array(
         F.struct(F.col("fstart").alias("at"), F.lit(0).alias("side")), F.struct(F.col("fend").alias("at"), F.lit(1).alias("side"))
-    )).alias("q")).groupBy("fid", "fdigest").agg(F.collect_set("q").alias("asked"))
-    asked = materialize(asked, "asked")
-    met = keyed.join(asked, F.col("id").eqNullSafe(F.col("fid")) & (F.col("digest") == F.col("fdigest")))
+    )).alias("q")
+    asked = runs.select(F.col("fid").alias("id"), F.col("fdigest").alias("digest"), question, F.lit(False).alias("cut"))
+    cut = runs.select("id", "digest", F.lit(None).cast(asked.schema["q"].dataType).alias("q"), F.lit(True).alias("cut"))
+    return asked.unionByName(cut).groupBy("id", "digest").agg(F.collect_set("q").alias("asked"), F.max("cut").alias("cut"))
+
+
+def surroundings(met: DataFrame, least: int) -> DataFrame:
+    """(fid, fdigest, at, side, near) of ``met`` (id, digest, text, asked): less than a rolling line of words before
+    (side 0) or behind (side 1) ``at``."""
+    id_type = met.schema["id"].dataType.simpleString()
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,7 +253,7 @@ def surroundings(keyed: DataFrame, found: DataFrame, least: int) -> DataFrame:
                 ["fid", "fdigest", "at", "side", "near"],
             )
 
-    out = met.select("fid", "fdigest", "text", "asked").mapInArrow(
+    out = met.select("id", "digest", "text", "asked").mapInArrow(
         look, f"fid {id_type}, fdigest long, at int, side int, near binary"
     )
     # A row that is repeated as a whole answers more than once.
@@ -255,13 +261,18 @@ def surroundings(keyed: DataFrame, found: DataFrame, least: int) -> DataFrame:
 
 
 def repeated_runs(keyed: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(id, digest, start, end, before, behind): chains of ``keyed`` (id, digest, text) that stand at an earlier
-    place, in words, with the words around that place.
+    """Chains of ``keyed`` (id, digest, text) that stand at an earlier place, as in ``chains``.
 
     Places are ordered by id (null last), then digest, then word.
     """
     # Tables that are joined are stored first: the joins then meet two plain exchanges, and a hot key can be split.
-    found = materialize(fingerprints(keyed, least), "prints")
+    prints = materialize(fingerprints(keyed, least), "prints")
+    spent = written()[-1:]
+    # Half a hash is enough to leave out what stands once; only the others' places are ordered.
+    often = materialize(prints.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "often")
+    found = materialize(prints.join(often, "h1"), "again")
+    # The largest table but the texts; nothing reads it any more.
+    give_back(keyed.sparkSession, spent)
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("digest").alias("digest"), F.col("pos").alias("pos"))
     firsts = (
         found.groupBy("h1", "h2")
@@ -280,8 +291,11 @@ def repeated_runs(keyed: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         .where((place != F.col("first")) & ~overlaps)
         .select("id", "digest", "pos", F.col("first.id").alias("fid"), F.col("first.digest").alias("fdigest"), F.col("first.pos").alias("fpos"))
     )
-    runs = materialize(chains(later, least), "chains")
-    around = materialize(surroundings(keyed, runs, least), "around")
+    return materialize(chains(later, least), "chains")
+
+
+def with_surroundings(runs: DataFrame, around: DataFrame) -> DataFrame:
+    """(id, digest, start, end, before, behind): ``runs`` with the words around the place where they stood before."""
     for side, at, name in ((0, "fstart", "before"), (1, "fend", "behind")):
         part = around.where(F.col("side") == side).select(
             F.col("fid").alias("__fid"), F.col("fdigest").alias("__fdigest"), F.col("at").alias("__at"), F.col("near").alias(name)
@@ -366,17 +380,30 @@ def dedup_lines(
     keyed = docs.select(
         F.col(id_col).alias("id"), digest.alias("digest"), whole_text(text_col).cast("binary").alias("text")
     )
-    runs = (
-        repeated_runs(keyed, min_words)
+    runs = repeated_runs(keyed, min_words)
+    named = materialize(
+        marks(runs).select(*[F.col(c).alias(f"__llm_{c}") for c in ("id", "digest", "asked", "cut")]), "marks"
+    )
+    # The texts travel once, to what names them; of those only the ones that lose words travel again.
+    stored = [c for c in names if docs.schema[c].dataType != T.NullType()]
+    rows = docs.select(*[f"`{c}`" for c in stored]).withColumn("__llm_own", digest)
+    here = F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.col("__llm_own") == F.col("__llm_digest"))
+    met = materialize(rows.join(named, here, "left").drop("__llm_id", "__llm_digest"), "met")
+    text = whole_text(text_col).cast("binary").alias("text")
+    asked = met.where(F.size("__llm_asked") > 0).select(
+        F.col(id_col).alias("id"), F.col("__llm_own").alias("digest"), text, F.col("__llm_asked").alias("asked")
+    )
+    around = materialize(surroundings(asked, min_words), "around")
+    cuts = (
+        with_surroundings(runs, around)
         .groupBy("id", "digest")
         .agg(F.collect_set(F.struct("start", "end", "before", "behind")).alias("runs"))
         .select(F.col("id").alias("__llm_id"), F.col("digest").alias("__llm_digest"), F.col("runs").alias("__llm_runs"))
     )
-    runs = materialize(runs, "cuts")
-    rows = docs.select(*[f"`{c}`" for c in names]).withColumn("__llm_own", digest)
-    joined = rows.join(
-        runs, F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.col("__llm_own") == F.col("__llm_digest")), "left"
-    )
+    cuts = materialize(cuts, "cuts")
+    met = met.select("*", *[F.lit(None).alias(c) for c in names if c not in stored])
+    joined = met.where("__llm_cut").join(cuts, here, "left")
+    whole = met.where("not coalesce(__llm_cut, false)").select(*[f"`{c}`" for c in names], F.lit(0).alias("n_removed"))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -405,7 +432,7 @@ def dedup_lines(
         "__llm_runs",
         F.col(text_col).cast("binary").alias("__llm_text"),
     )
-    return staged.mapInArrow(clean, out.add("n_removed", T.IntegerType()))
+    return staged.mapInArrow(clean, out.add("n_removed", T.IntegerType())).unionByName(whole)
 
 
 def op3_winnowed_lines(docs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ import xxhash
 
 import corpus_pipeline
 from genomeloom.llm import lines, packing
+from genomeloom.session import written
 
 
 def words_with_lines(text):
@@ -144,6 +145,39 @@ def test_a_short_common_line_stays(llm):
     assert sorted(tuple(r) for r in got.select("doc_id", "text").collect()) == rows
 
 
+def test_texts_are_read_twice_and_prints_given_back(llm, monkeypatch):
+    """Once for the fingerprints, once to meet what names them; only prints that stand twice are ordered."""
+    from pyspark.sql import functions as F
+
+    seen, stored, real = llm.sparkContext.accumulator(0), {}, lines.materialize
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def kept(df, label):
+        out = real(df, label)
+        stored[label] = out.count()
+        return out
+
+    monkeypatch.setattr(lines, "materialize", kept)
+    before = set(written())
+    rng = random.Random(8)
+    own = lambda n: " ".join("w%x" % rng.getrandbits(40) for _ in range(n))
+    passage = own(60)
+    rows = [(i, own(200)) for i in range(30)] + [(i, f"{own(30)}\n{passage}\n{own(30)}") for i in range(30, 36)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = docs.mapInArrow(counted, docs.schema).withColumn("nothing", F.lit(None))
+    got = lines.dedup_lines(docs)
+    left = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert got.columns == ["doc_id", "text", "nothing", "n_removed"]
+    assert left == {i: t.replace(passage + "\n", "") if i > 30 else t for i, t in rows}
+    assert seen.value == 2 * len(rows)
+    assert stored["met"] == len(rows) and stored["again"] * 4 < stored["prints"]
+    assert not [p for p in written() if p not in before and "/prints-" in p]
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
