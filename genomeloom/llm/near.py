@@ -476,7 +476,10 @@ def near_classes(
     )
     place = F.struct(F.col("__llm_id").isNull().alias("none"), F.col("__llm_id").alias("id"), F.col("__llm_row").alias("row"))
     classed = materialize(classed.drop("label", "__llm_key"), "classed")
-    best = classed.groupBy("__llm_label").agg(F.min(place).alias("__llm_best"), F.count("*").alias("class_size"))
+    # Stored, so that the rows of a large class can be split.
+    best = materialize(
+        classed.groupBy("__llm_label").agg(F.min(place).alias("__llm_best"), F.count("*").alias("class_size")), "best"
+    )
     return classed.join(best, "__llm_label").select(
         *[f"`{c}`" for c in dict.fromkeys(names)],
         F.col("__llm_best.id").alias("class_id"),
