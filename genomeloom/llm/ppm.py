@@ -8,8 +8,9 @@ the symbols of a context are among those of its suffix, what is excluded at an o
 longer context alone, so all denominators are aggregates of the trie and are computed once. The end
 of a text is a symbol. Below the empty context every symbol left is as likely as any other.
 
-The trie grows with the corpus. Executors read it from the shared folder in shards by the last byte of
-the context, one at a time.
+What a place of a text adds to its score depends on the place's gram alone, the last ``ORDER`` + 1 symbols. So Spark
+computes one value for every distinct gram of all texts, by joins with the trie. The grams that are used most, as many as
+a worker holds, are read by each scoring task once; places with any other gram leave the task and meet its value by a join.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ ORDER = 5
 BITS = 9  # of a symbol: 256 bytes, the end, and the place before a text
 END, BEFORE = 256, 257
 SYMBOLS = 257
-# Symbols that are handled at once, nodes of a shard, and tokens of a chunk: these bound a task's memory.
+# Symbols that are handled at once, grams that a worker holds, and tokens of a chunk: these bound a task's memory.
 CHUNK_SYMBOLS = 1 << 19
 TRAIN_SYMBOLS = 1 << 20
 SHARD_NODES = 4_000_000
@@ -87,32 +88,65 @@ def _bundles(texts: Iterator[tuple[list, list[bytes]]], symbols: int) -> Iterato
 # --- training -----------------------------------------------------------------------------------
 
 
+def summed(gram: np.ndarray, n: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted grams, each once, with the sums of their counts."""
+    order = np.argsort(gram)
+    gram = gram[order]
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+    return gram[first], np.add.reduceat(n[order], first), np.add.reduceat(uses[order], first)
+
+
 def count_grams(texts: DataFrame, order: int) -> DataFrame:
-    """(gram, n) over the texts (one binary column)."""
+    """(gram, n, uses) over the texts (text binary, learn boolean): ``uses`` in all of them, ``n`` in those to learn from."""
+
+    def bundle(learn: list[bool], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        packed, starts = grams(texts, order)
+        own = np.repeat(np.array(learn, np.uint64), np.diff(starts, append=len(packed)))
+        marked, uses = np.unique(packed.view(np.uint64) << np.uint64(1) | own, return_counts=True)
+        n = np.where(marked & np.uint64(1), uses, 0)
+        return (marked >> np.uint64(1)).view(np.int64), n, uses
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = ((b.column(0).to_pylist(), b.column(0).to_pylist()) for b in batches)
-        for _, held in _bundles(whole, TRAIN_SYMBOLS):
-            packed, n = np.unique(grams(held, order)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(packed), pa.array(n.astype(np.int64))], ["gram", "n"])
+        whole = ((b.column(1).to_pylist(), b.column(0).to_pylist()) for b in batches)
+        held, size = [], 0
+        for learn, texts in _bundles(whole, TRAIN_SYMBOLS):
+            held.append(bundle(learn, texts))
+            size += len(held[-1][0])
+            if size >= TRAIN_SYMBOLS:
+                held = [summed(*map(np.concatenate, zip(*held, strict=True)))]
+                size = len(held[0][0])
+                if size >= TRAIN_SYMBOLS // 2:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, held[0])), ["gram", "n", "uses"])
+                    held, size = [], 0
+        if held:
+            held = summed(*map(np.concatenate, zip(*held, strict=True)))
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, held)), ["gram", "n", "uses"])
 
-    return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(count, "gram long, n long, uses long")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
 
 
-class Trie:
-    """Stored model: nodes and contexts in shards by last context byte."""
+class Model:
+    """Values of all grams: the path of those that a worker holds, and the others (None if there are none)."""
 
-    def __init__(self, path: str, shards: int, order: int, root: int):
-        self.path, self.shards, self.order, self.root = path, shards, order, root
+    def __init__(self, path: str, others: DataFrame | None, order: int):
+        self.path, self.others, self.order = path, others, order
 
 
-def train(texts: DataFrame, order: int = ORDER) -> Trie:
-    """Count, compute the denominators, and write the trie to the shared folder."""
+def suffix(gram: str, symbols: Column | int) -> Column:
+    """The last symbols of a packed number."""
+    masks = F.array(*[F.lit(low_bits(i)).cast("bigint") for i in range(64 // BITS + 1)])
+    return F.col(gram).bitwiseAND(F.get(masks, symbols if isinstance(symbols, Column) else F.lit(symbols)))
+
+
+def train(texts: DataFrame, order: int = ORDER) -> Model:
+    """Count, compute the denominators, and write the value of every gram of the texts (text, learn) to the shared folder."""
     spark = texts.sparkSession
-    level = materialize(count_grams(texts, order), "grams")
+    used = materialize(count_grams(texts, order), "grams")
+    level = used.where("n > 0").select("gram", "n")
     parts = [level.select(F.lit(order).alias("k"), "gram", "n")]
     for k in range(order - 1, -1, -1):
-        level = level.groupBy(F.col("gram").bitwiseAND(F.lit(low_bits(k + 1))).alias("gram")).agg(F.sum("n").alias("n"))
+        level = level.groupBy(suffix("gram", k + 1).alias("gram")).agg(F.sum("n").alias("n"))
         parts.append(level.select(F.lit(k).alias("k"), "gram", "n"))
     nodes = parts[0]
     for part in parts[1:]:
@@ -121,8 +155,6 @@ def train(texts: DataFrame, order: int = ORDER) -> Trie:
     contexts = nodes.groupBy("k", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
     contexts = materialize(contexts, "contexts")
     # What a context has seen, counted at its suffix.
-    masks = F.array(*[F.lit(low_bits(i)).cast("bigint") for i in range(order + 1)])
-    suffix = lambda c, k: F.col(c).bitwiseAND(F.get(masks, k))
     longer = nodes.where("k > 0").select(
         (F.col("k") - 1).alias("k"), suffix("gram", F.col("k")).alias("gram"), F.col("context").alias("child")
     )
@@ -152,178 +184,189 @@ def train(texts: DataFrame, order: int = ORDER) -> Trie:
             F.log10((F.col("total") + F.col("kinds")).cast("double")).alias("whole"),
         )
     )
+    links = materialize(links, "links")
     root = contexts.where("k = 0").select("kinds").first()
-    rows = nodes.count()
-    shards = max(1, -(-rows // SHARD_NODES))
-    path = scratch(spark, "trie")
-
-    def sharded(df: DataFrame, last: Column) -> DataFrame:
-        """The empty context goes to every shard."""
-        all_ = F.sequence(F.lit(0), F.lit(shards - 1))
-        own = F.array(F.pmod(last.bitwiseAND(F.lit(low_bits(1))), F.lit(shards)).cast("int"))
-        return df.withColumn("shard", F.explode(F.when(F.col("k") == 0, all_).otherwise(own)))
-
-    valued = nodes.join(links.select("k", "context", "whole"), ["k", "context"]).select(
-        "k",
-        F.col("gram").alias("key"),
-        F.log10(F.col("n").cast("double")).alias("a"),
-        F.col("whole").alias("b"),
-        F.lit(0.0).alias("c"),
-        F.lit(True).alias("node"),
-        F.col("context").alias("last"),
+    known = (
+        used.where("n > 0")
+        .withColumn("context", F.shiftright("gram", BITS))
+        .join(links.where(F.col("k") == order).select("context", "whole"), "context")
+        .select("gram", "uses", (F.log10(F.col("n").cast("double")) - F.col("whole")).alias("value"))
     )
-    linked = links.select(
-        "k",
-        F.col("context").alias("key"),
-        F.col("leave").alias("a"),
-        F.col("weight").alias("b"),
-        F.col("pass").alias("c"),
-        F.lit(False).alias("node"),
-        F.col("context").alias("last"),
+    missed = used.where("n = 0").select("gram", "uses")
+    values = known.unionByName(missed_values(missed, nodes, links, order, SYMBOLS - (root[0] if root else 0)))
+    return held_apart(values.withColumn("often", often("uses")).drop("uses"), order)
+
+
+# Orders whose nodes and contexts are few whatever the corpus: 257 symbols after 258 contexts.
+LOW = 2
+
+
+def missed_values(missed: DataFrame, nodes: DataFrame, links: DataFrame, order: int, left: int) -> DataFrame:
+    """(gram, uses, value) of grams (gram, uses) that training has not seen; below the empty context ``left`` symbols are left.
+
+    From the highest order down: the first context that is known is left, contexts below it pass a symbol on that they
+    have not seen either, and the first node ends it.
+    """
+
+    def met(low: bool) -> DataFrame:
+        orders = F.col("k") < LOW if low else F.col("k") >= LOW
+        few = F.broadcast if low else lambda df: df
+        ks = [F.lit(k) for k in range(order + 1) if (k < LOW) == low]
+        at = missed.withColumn("k", F.explode(F.array(*ks) if ks else F.array().cast("array<int>")))
+        at = at.withColumn("part", suffix("gram", F.col("k") + 1)).withColumn("context", F.shiftright("part", BITS))
+        node = nodes.where(orders).select("k", F.col("gram").alias("part"), F.log10(F.col("n").cast("double")).alias("a"))
+        return at.join(few(node), ["k", "part"], "left").join(few(links.where(orders)), ["k", "context"], "left")
+
+    steps = met(True).unionByName(met(False)).select("gram", "uses", F.struct("k", "a", "leave", "weight", "pass", "whole").alias("step"))
+    start = F.struct(
+        F.lit(0.0).alias("out"),
+        F.lit(None).cast("double").alias("weight"),
+        F.lit(0.0).alias("pass"),
+        F.lit(False).alias("ended"),
     )
-    whole = valued.unionByName(linked)
-    sharded(whole, F.col("last")).drop("last").write.partitionBy("shard", "k", "node").parquet(path)
-    return Trie(path, shards, order, root[0] if root else 0)
+
+    def down(state: Column, step: Column) -> Column:
+        node = step["a"] - F.coalesce(state["weight"], step["whole"])
+        leave = F.when(state["weight"].isNull(), F.coalesce(step["leave"], F.lit(0.0))).otherwise(F.lit(0.0))
+        added = F.when(state["ended"], F.lit(0.0)).otherwise(F.coalesce(node, state["pass"] + leave))
+        return F.struct(
+            (state["out"] + added).alias("out"),
+            F.coalesce(step["weight"], state["weight"]).alias("weight"),
+            F.coalesce(step["pass"], state["pass"]).alias("pass"),
+            (state["ended"] | step["a"].isNotNull()).alias("ended"),
+        )
+
+    def end(state: Column) -> Column:
+        return state["out"] - F.when(state["ended"], F.lit(0.0)).otherwise(F.lit(math.log10(max(1, left))))
+
+    walked = steps.groupBy("gram").agg(F.first("uses").alias("uses"), F.collect_list("step").alias("steps"))
+    return walked.select("gram", "uses", F.aggregate(F.sort_array("steps", asc=False), start, down, end).alias("value"))
+
+
+def often(uses: str) -> Column:
+    """Classes that grow with the number of uses: each number up to 1023 is one, then 128 to an octave."""
+    return F.when(F.col(uses) < 1024, F.col(uses)).otherwise(F.floor(F.log2(F.col(uses).cast("double")) * 128)).cast("int")
+
+
+def held_apart(values: DataFrame, order: int) -> Model:
+    """Store the values (gram, value, often) and choose the classes of use that a worker holds."""
+    spark = values.sparkSession
+    path = scratch(spark, "values")
+    values.write.parquet(path)
+    values = spark.read.schema(values.schema).parquet(path)
+    sizes = values.groupBy("often").count().orderBy(F.desc("often")).collect()
+    held, least = 0, None
+    for often_, n in sizes:
+        if held + n > SHARD_NODES:
+            least = often_ + 1
+            break
+        held += n
+    if least is None:
+        return Model(path, None, order)
+    path = scratch(spark, "held-values")
+    values.where(F.col("often") >= least).select("gram", "value").write.parquet(path)
+    return Model(path, values.where(F.col("often") < least).select("gram", "value"), order)
 
 
 # --- scoring ------------------------------------------------------------------------------------
 
 
-class HashTable:
-    """Open addressing over whole arrays: number -> row."""
+class Values:
+    """Open addressing over whole arrays: gram -> value."""
 
     FREE = np.int64(-1)
 
-    def __init__(self, keys: np.ndarray):
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
         bits = max(4, math.ceil(math.log2(1.5 * len(keys) + 1)))
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
         self.keys = np.full(1 << bits, self.FREE)
-        self.rows = np.zeros(1 << bits, np.int32)
+        self.values = np.zeros(1 << bits)
         for first in range(0, len(keys), 1 << 17):  # in slices: the work space stays small
-            part = keys[first : first + (1 << 17)]
+            part, own = keys[first : first + (1 << 17)], values[first : first + (1 << 17)]
             at, open_ = self._home(part), np.arange(len(part))
             while len(open_):
                 place = at[open_]
                 empty = self.keys[place] == self.FREE
                 self.keys[place[empty]] = part[open_[empty]]
                 won = self.keys[place] == part[open_]
-                self.rows[place[won]] = open_[won] + first
+                self.values[place[won]] = own[open_[won]]
                 open_ = open_[~won]
                 at[open_] = (at[open_] + 1) & self.mask
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * ODD) >> self.shift).view(np.int64)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Row of each key, or -1."""
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each key, 0 where there is none; and the places of those without."""
         at = self._home(keys)
-        got = self.keys[at]
-        out = np.where(got == keys, self.rows[at], -1)
-        open_ = np.flatnonzero((got != keys) & (got != self.FREE))
+        got, out = self.keys[at], self.values[at]
+        open_ = np.flatnonzero(got != keys)
+        at, got, keys = at[open_], got[open_], keys[open_]
+        none = [open_[:0]]
         while len(open_):
-            at[open_] = (at[open_] + 1) & self.mask
-            got = self.keys[at[open_]]
-            hit = got == keys[open_]
-            out[open_[hit]] = self.rows[at[open_[hit]]]
-            open_ = open_[~hit & (got != self.FREE)]
-        return out
-
-
-class SortedTable:
-    """Sorted numbers: number -> row. Slower than hashing and a third of its size; for what is rarely asked."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
-
-
-class Shard:
-    """Nodes and contexts of one shard, by order. Only the nodes of the highest order are asked for every symbol."""
-
-    def __init__(self, path: str, shard: int, order: int, root: int):
-        import pyarrow.fs
-        import pyarrow.parquet
-
-        files, place = pyarrow.fs.FileSystem.from_uri(path)
-        place = f"{place}/shard={shard}"
-        self.order, self.root = order, root
-        self.nodes, self.contexts = [], []
-        for k in range(order + 1):
-            for node, into in ((True, self.nodes), (False, self.contexts)):
-                names = ["key", "a", "b"] if node else ["key", "a", "b", "c"]
-                keys, values = np.zeros(0, np.int64), [np.zeros(1)] * (len(names) - 1)
-                part = f"{place}/k={k}/node={str(node).lower()}"
-                if files.get_file_info(part).type != pyarrow.fs.FileType.NotFound:
-                    data = pyarrow.parquet.read_table(part, filesystem=files, partitioning=None, columns=names)
-                    if not (node and k == order):
-                        data = data.sort_by("key")
-                    keys, *values = (data[c].to_numpy() for c in names)
-                    del data
-                if node and k == order:
-                    # Asked first, so never below another context.
-                    into.append((HashTable(keys), values[0] - values[1]))
-                else:
-                    into.append((SortedTable(keys), *values))
-        pa.default_memory_pool().release_unused()
-
-    def score(self, packed: np.ndarray) -> np.ndarray:
-        """log10 of the probability of the last symbol of every number."""
-        table, fresh_value = self.nodes[self.order]
-        row = table.find(packed)
-        out = np.where(row >= 0, fresh_value[row], 0.0)
-        open_ = np.flatnonzero(row < 0)
-        gram = packed[open_]
-        fresh = np.ones(len(open_), bool)  # no context was known so far
-        weight, pass_ = np.zeros(len(open_)), np.zeros(len(open_))
-        for k in range(self.order, -1, -1):
-            gram = gram & low_bits(k + 1)
-            if k < self.order:
-                table, a, b = self.nodes[k]
-                row = table.find(gram)
-                hit = np.flatnonzero(row >= 0)
-                out[open_[hit]] += a[row[hit]] - np.where(fresh[hit], b[row[hit]], weight[hit])
-                stay = np.flatnonzero(row < 0)
-                open_, gram, fresh, weight, pass_ = (x[stay] for x in (open_, gram, fresh, weight, pass_))
-                out[open_] += np.where(fresh, 0.0, pass_)
-            table, leave, below, skip = self.contexts[k]
-            row = table.find(gram >> BITS)
-            known = np.flatnonzero(row >= 0)
-            out[open_[known]] += np.where(fresh[known], leave[row[known]], 0.0)
-            weight[known], pass_[known] = below[row[known]], skip[row[known]]
-            fresh[known] = False
-        out[open_] -= math.log10(max(1, SYMBOLS - self.root))
-        return out
-
-
-def score_texts(rows: DataFrame, trie: Trie) -> DataFrame:
-    """(row, score) of texts (row long, text binary): log10 probability of text and end."""
-    path, shards, order, root = trie.path, trie.shards, trie.order, trie.root
+            free = got == self.FREE
+            none.append(open_[free])
+            more = np.flatnonzero(~free)
+            open_, keys, at = open_[more], keys[more], (at[more] + 1) & self.mask
+            got = self.keys[at]
+            out[open_] = self.values[at]
+            more = np.flatnonzero(got != keys)
+            open_, keys, at, got = open_[more], keys[more], at[more], got[more]
+        none = np.concatenate(none)
+        out[none] = 0.0
+        return out, none
+
+
+def read_values(path: str) -> Values:
+    import pyarrow.fs
+    import pyarrow.parquet
+
+    files, place = pyarrow.fs.FileSystem.from_uri(path)
+    data = pyarrow.parquet.read_table(place, filesystem=files, partitioning=None, columns=["gram", "value"])
+    keys, values = data["gram"].to_numpy(), data["value"].to_numpy()
+    del data
+    table = Values(keys, values)
+    del keys, values
+    pa.default_memory_pool().release_unused()
+    return table
+
+
+def score_texts(rows: DataFrame, model: Model) -> DataFrame:
+    """(row, score, gram) of texts (row long, text binary): a text's log10 probability, with its end, as far as the worker
+    holds the values; and a row for each place with another gram, without score."""
+    path, order = model.path, model.order
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded: dict[int, Shard] = {}
+        values = None
         source = ((b.column(0).to_pylist(), b.column(1).to_pylist()) for b in batches)
         for tags, texts in _bundles(source, CHUNK_SYMBOLS):
+            values = values or read_values(path)
             packed, starts = grams(texts, order)
-            values = np.zeros(len(packed))
-            last = (packed >> BITS) & low_bits(1)
-            for shard in range(shards):
-                if shard not in loaded:
-                    loaded = {shard: Shard(path, shard, order, root)}
-                if shards == 1:
-                    values = loaded[0].score(packed)
-                else:
-                    own = np.flatnonzero(last % shards == shard)
-                    values[own] = loaded[shard].score(packed[own])
+            found, other = values.find(packed)
+            tags = np.array(tags, np.int64)
+            nothing = pa.nulls(len(tags), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tags, pa.int64()), pa.array(np.add.reduceat(values, starts))], ["row", "score"]
+                [pa.array(tags), pa.array(np.add.reduceat(found, starts)), nothing], ["row", "score", "gram"]
             )
+            if len(other):
+                text = np.searchsorted(starts, other, "right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tags[text]), pa.nulls(len(other), pa.float64()), pa.array(packed[other])],
+                    ["row", "score", "gram"],
+                )
+
+    return rows.mapInArrow(score, "row long, score double, gram long")
+
 
-    return rows.mapInArrow(score, "row long, score double")
+def whole_scores(rows: DataFrame, model: Model) -> DataFrame:
+    """(row, score) of texts (row long, text binary)."""
+    scored = score_texts(rows, model)
+    if model.others is None:
+        return scored.select("row", "score")
+    scored = materialize(scored, "scored")
+    met = scored.where("gram is not null").select("row", "gram").join(model.others, "gram")
+    met = met.select("row", F.col("value").alias("score"))
+    return scored.where("gram is null").select("row", "score").unionByName(met).groupBy("row").agg(F.sum("score").alias("score"))
 
 
 # --- word base ----------------------------------------------------------------------------------
@@ -462,14 +505,14 @@ def score_documents(
     if not stored:
         base = materialize(base, "to-score")
     placed = base.withColumn("row", F.monotonically_increasing_id())
-    trie = train(base.where("not held_out").select("text"), order)
+    model = train(base.select("text", (~F.col("held_out")).alias("learn")), order)
     uses = word_uses(placed.select("row", "text", (~F.col("held_out")).alias("learn")))
     gains = materialize(word_gains(uses), "word-gains")
     totals = gains.agg(F.sum("kinds").alias("kinds"), F.sum("tokens").alias("tokens")).first()
     learned = base.where("not held_out").count()
     tokens = (totals["tokens"] or 0) + learned
     kinds = (totals["kinds"] or 0) + (learned > 0)
-    scored = score_texts(placed.select("row", "text"), trie)
+    scored = whole_scores(placed.select("row", "text"), model)
     known = gains.where("row is not null").select("row", "gain", "known", "words")
     narrow = placed.select("row", "doc_id", "held_out")
     n = F.coalesce("words", F.lit(0)) + 1

@@ -5,6 +5,8 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from genomeloom.llm import near, ppm
@@ -267,6 +269,61 @@ def test_shards_give_the_same_scores(hard, monkeypatch):
     assert key(ppm.score_documents(docs, held).collect()) == one
 
 
+def test_values_that_a_worker_does_not_hold_meet_their_places_by_a_join(hard, hard_rows, monkeypatch):
+    """However few are held, down to none, the scores are those of plain Python, of unseen grams too."""
+    lowered = [(i, (t or "").encode().lower()) for i, t, *_ in hard_rows if i is not None and i < 30]
+    _, whole = plain_ppm([t for i, t in lowered if i % 4 != 1], 4)
+    want = Counter((i, round(whole(t), 4)) for i, t in lowered)
+    for held in (200, 0):
+        monkeypatch.setattr(ppm, "SHARD_NODES", held)
+        got = ppm.score_documents(hard.where("doc_id < 30"), F.col("doc_id") % 4 == 1, order=4).collect()
+        assert Counter((r["doc_id"], round(r["score"], 4)) for r in got) == want
+
+
+def test_a_task_reads_the_values_once_whatever_its_number_of_chunks(llm, hard_rows, monkeypatch):
+    texts = [(t or "").encode() for _, t, *_ in hard_rows]
+    monkeypatch.setattr(ppm, "SHARD_NODES", 3000)
+    learned = llm.createDataFrame([(bytearray(t), i % 4 != 1) for i, t in enumerate(texts)], "text binary, learn boolean")
+    model = ppm.train(learned.repartition(3), 3)
+    tables, read = [], pq.read_table
+    monkeypatch.setattr(pq, "read_table", lambda *a, **b: tables.append(read(*a, **b)) or tables[-1])
+
+    class Rows:
+        def mapInArrow(self, function, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.binary())], ["row", "text"])
+            return list(function(iter([batch])))
+
+    taken = []
+    for symbols in (1 << 19, 1000):
+        monkeypatch.setattr(ppm, "CHUNK_SYMBOLS", symbols)
+        tables.clear()
+        ppm.score_texts(Rows(), model)
+        taken.append((len(tables), sum(t.num_rows for t in tables)))
+    assert taken[0] == taken[1] and taken[0][1] <= 3000
+
+
+def test_grams_are_counted_once_per_task_where_they_fit(llm, monkeypatch):
+    monkeypatch.setattr(ppm, "TRAIN_SYMBOLS", 500)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["ab", "cd", "e"]) for _ in range(80)).encode() for _ in range(90)]
+    rows = []
+
+    class Texts:
+        def mapInArrow(self, function, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array([i % 3 > 0 for i in range(90)])], ["text", "learn"])
+            rows.extend(x for b in function(iter([batch])) for x in zip(*(c.to_pylist() for c in b.columns), strict=True))
+            return llm.createDataFrame(rows, schema)
+
+    got = {r["gram"]: (r["n"], r["uses"]) for r in ppm.count_grams(Texts(), 3).collect()}
+    want = defaultdict(lambda: [0, 0])
+    for i, t in enumerate(texts):
+        for g in ppm.grams([t], 3)[0].tolist():
+            want[g][0] += i % 3 > 0
+            want[g][1] += 1
+    assert got == {g: tuple(n) for g, n in want.items()}
+    assert len(rows) == len(got) < 500
+
+
 def test_held_out_text_is_predicted_better_than_chance(llm):
     rng = random.Random(7)
     rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(60))) for i in range(40)]
