@@ -217,7 +217,8 @@ def missed_values(missed: DataFrame, nodes: DataFrame, links: DataFrame, order:
         node = nodes.where(orders).select("k", F.col("gram").alias("part"), F.log10(F.col("n").cast("double")).alias("a"))
         return at.join(few(node), ["k", "part"], "left").join(few(links.where(orders)), ["k", "context"], "left")
 
-    steps = met(True).unionByName(met(False)).select("gram", "uses", F.struct("k", "a", "leave", "weight", "pass", "whole").alias("step"))
+    step = F.struct("k", "a", "leave", "weight", "pass", "whole").alias("step")
+    steps = met(True).unionByName(met(False)).select("gram", "uses", step)
     start = F.struct(
         F.lit(0.0).alias("out"),
         F.lit(None).cast("double").alias("weight"),
